@@ -53,7 +53,7 @@ class Workspace:
         schema = core_schema(self.mapping, table, self.remote_id)
         version = self.store.latest(table) if version is None else version
         if version is None:
-            return self.store.spark.createDataFrame([], schema)
+            return shaped(self.store.spark.range(0).select(), schema)
         return shaped(self.store.read_core(table, version), schema)
 
     def staged(self, provider: str, table: str) -> DataFrame | None:
