@@ -7,6 +7,7 @@ clients, parts stock, suppliers users, events applications, nations countries.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import functions as F
 
@@ -118,7 +119,7 @@ def context(spark, sf, **tables) -> Context:
             "concat('R', o_custkey) AS responsible_user_external_id",
         ),
     }
-    return Context(lambda name: (tables.get(name) or sources[name])(), instant(AS_OF))
+    return Context(cache(lambda name: (tables.get(name) or sources[name])()), instant(AS_OF))
 
 
 CONTEXT_SQL = f"""maps AS (SELECT * FROM ({MAPS}) AS maps(col, val, target)),

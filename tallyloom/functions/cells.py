@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.spec import literal
+
 # Cell texts that stand for "no value".
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -26,21 +28,26 @@ LEADING_SPACE = r"(?U)^[\s\x1c-\x1f]+"
 DAY_MICROS = 86_400_000_000.0
 
 
-def null_token(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    return F.when(~c.isin(*tokens), c)
+# Cleaning runs on every column of an extract, so its steps build SQL text: one
+# expression per column instead of a tree of column objects.
+
+
+def null_token(sql: str, tokens: Sequence[str] = NULL_TOKENS) -> str:
+    listed = ", ".join(literal(t) for t in tokens)
+    return f"CASE WHEN {sql} NOT IN ({listed}) THEN {sql} END"
 
 
-def strip_chars(c: Column, chars: str = STRIPPED_CHARS) -> Column:
-    return F.translate(c, chars, "")
+def strip_chars(sql: str, chars: str = STRIPPED_CHARS) -> str:
+    return f"translate({sql}, {literal(chars)}, '')"
 
 
-def strip_literal(c: Column, text: str = STRIPPED_LITERAL) -> Column:
-    return F.replace(c, F.lit(text), F.lit(""))
+def strip_literal(sql: str, text: str = STRIPPED_LITERAL) -> str:
+    return f"replace({sql}, {literal(text)}, '')"
 
 
-def clean_cell(c: Column) -> Column:
+def clean_cell(sql: str) -> str:
     """Null tokens first: a cell emptied by the later steps stays ``''``, not null."""
-    return strip_literal(strip_chars(null_token(c)))
+    return strip_literal(strip_chars(null_token(sql)))
 
 
 def left_trim(c: Column) -> Column:

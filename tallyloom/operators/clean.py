@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallyloom.functions import cells
 from tallyloom.spec import quoted
 
 
-def each_text(df: DataFrame, fn: Callable[[Column], Column]) -> DataFrame:
-    return df.select(
-        *[
-            fn(F.col(quoted(f.name))).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(quoted(f.name))
-            for f in df.schema.fields
-        ]
-    )
+def each_text(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
+    """Apply a cell expression to every text column."""
+    out = []
+    for f in df.schema.fields:
+        name = quoted(f.name)
+        out.append(f"{fn(name)} AS {name}" if isinstance(f.dataType, T.StringType) else name)
+    return df.selectExpr(*out)
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = cells.NULL_TOKENS) -> DataFrame:

@@ -11,18 +11,21 @@ from tallyloom.functions import cells
 from tallyloom.spec import Field, Provider, quoted
 
 
-def source_column(df: DataFrame, source: str) -> Column | None:
+CASTABLE = ("INT", "BIGINT", "DECIMAL", "TIMESTAMPTZ")
+
+
+def source_column(headers: Sequence[str], source: str) -> Column | None:
     """Expression of a mapped source: a header, ``a+b`` or ``a|b``; None if absent.
 
     A header that arrives as it is written wins over its reading as a join. A
     join with a missing part fails, since half a value would overwrite a whole one.
     """
-    if source in df.columns:
+    if source in headers:
         return F.col(quoted(source))
     for mark, sep in (("+", " "), ("|", "")):
         if mark in source:
             parts = source.split(mark)
-            missing = [p for p in parts if p not in df.columns]
+            missing = [p for p in parts if p not in headers]
             if missing:
                 raise ValueError(f"source {source!r} lacks {missing}")
             return cells.concat_cols([F.col(quoted(p)) for p in parts], sep)
@@ -36,9 +39,10 @@ def project_mapping(
 
     One source may feed several targets; unmapped columns fall away.
     """
+    headers = df.columns
     out = []
     for f in fields:
-        c = source_column(df, f.sources[provider])
+        c = source_column(headers, f.sources[provider])
         if c is None:
             continue
         if f.type == "GEOGRAPHY":
@@ -59,53 +63,60 @@ def stamp_source(df: DataFrame, provider: Provider) -> DataFrame:
 
 def filled_columns(df: DataFrame) -> list[str]:
     """Columns with at least one value: one aggregate, one row back."""
-    counts = df.agg(*[F.count(F.col(quoted(c))).alias(c) for c in df.columns]).head()
-    return [c for c in df.columns if counts[c] > 0]
+    names = df.columns
+    counts = df.agg(*[F.expr(f"count({quoted(c)}) AS {quoted(c)}") for c in names]).head()
+    return [c for c, n in zip(names, counts) if n > 0]
 
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(quoted(c)) for c in filled_columns(df)])
+    return df.selectExpr(*[quoted(c) for c in filled_columns(df)])
 
 
-def typed(f: Field, c: Column, strict: bool = True) -> Column:
+def typed(f: Field, strict: bool = True) -> Column:
     """Cast a staged text to the declared type; ``strict`` fails on a bad value."""
+    c = F.col(quoted(f.name))
     if f.type == "TEXT":
         return c
     if f.type == "GEOGRAPHY":
-        return cells.point(c)
+        return cells.point(c).alias(f.name)
     if f.type == "BOOLEAN":
-        return cells.boolean_text(c)
-    return c.cast(f.spark_type) if strict else c.try_cast(f.spark_type)
+        return cells.boolean_text(c).alias(f.name)
+    cast = "cast" if strict else "try_cast"
+    return F.expr(f"{cast}({quoted(f.name)} AS {f.spark_type}) AS {quoted(f.name)}")
 
 
 def typed_select(df: DataFrame, fields: Sequence[Field], strict: bool = True) -> DataFrame:
     """The staged columns the mapping knows, with their declared types."""
     known = {f.name: f for f in fields}
-    return df.select(
-        *[typed(known[c], F.col(quoted(c)), strict).alias(c) for c in df.columns if c in known]
-    )
+    return df.select(*[typed(known[c], strict) for c in df.columns if c in known])
 
 
 def bad_casts(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Staged rows with a value that its declared type refuses, for quarantine."""
-    castable = [
-        f for f in fields if f.name in df.columns and f.type in ("INT", "BIGINT", "DECIMAL", "TIMESTAMPTZ")
+    headers = df.columns
+    refused = [
+        f"({c} IS NOT NULL AND try_cast({c} AS {f.spark_type}) IS NULL)"
+        for f in fields
+        if f.name in headers and f.type in CASTABLE and (c := quoted(f.name))
     ]
-    bad = F.lit(False)
-    for f in castable:
-        c = F.col(quoted(f.name))
-        bad = bad | (c.isNotNull() & c.try_cast(f.spark_type).isNull())
-    return df.filter(bad)
+    return df.filter(" OR ".join(refused) or "false")
+
+
+def delivered_columns(
+    columns: Sequence[str], fields: Sequence[Field], remote_id: str = "remote_id"
+) -> list[str]:
+    """Delivered columns as SQL: instants without zone, the remote identifier as ``ID``."""
+    out = []
+    for f in fields:
+        if f.name not in columns:
+            continue
+        c = quoted(f.name)
+        name = "ID" if f.name == remote_id else c
+        out.append(f"cast({c} AS timestamp_ntz) AS {name}" if f.type == "TIMESTAMPTZ" else f"{c} AS {name}")
+    return out
 
 
 def outbound_select(
     df: DataFrame, fields: Sequence[Field], remote_id: str = "remote_id"
 ) -> DataFrame:
-    """Delivered columns: instants without zone, the remote identifier as ``ID``."""
-    out = []
-    for f in fields:
-        c = F.col(quoted(f.name))
-        if f.type == "TIMESTAMPTZ":
-            c = c.cast("timestamp_ntz")
-        out.append(c.alias("ID" if f.name == remote_id else f.name))
-    return df.select(*out)
+    return df.selectExpr(*delivered_columns(df.columns, fields, remote_id))

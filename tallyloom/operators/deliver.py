@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.cells import decimal_text
-from tallyloom.operators.conform import outbound_select
+from tallyloom.operators.conform import delivered_columns, outbound_select
 from tallyloom.spec import Delivery, Field, Mapping, quoted
 
 # Fixed value: payloads above this many characters are refused by the receiver.
@@ -48,27 +48,16 @@ def delivery(
     A spec may override the selection of known records by SQL over the core
     table; ``{columns}`` stands for the delivered columns, ``{core}`` for the table.
     """
-    fields = [
-        f for f in mapping.resolve(spec.table, system=True, outbound=True) if f.name in core.columns
-    ]
-    if known and spec.update_sql:
-        shaped = outbound_select(core, fields, remote_id)
-        extra = [c for c in core.columns if c not in shaped.columns]
-        kept = core.select(
-            *_delivered(fields, remote_id), *[F.col(quoted(c)) for c in extra if c != remote_id]
-        )
-        columns = ", ".join(quoted(c) for c in shaped.columns)
-        return core.sparkSession.sql(spec.update_sql.replace("{columns}", columns), core=kept)
-    return deliverable(core, fields, known, remote_id, since)
-
-
-def _delivered(fields: Sequence[Field], remote_id: str) -> list[Column]:
-    out = []
-    for f in fields:
-        c = F.col(quoted(f.name))
-        c = c.cast("timestamp_ntz") if f.type == "TIMESTAMPTZ" else c
-        out.append(c.alias("ID" if f.name == remote_id else f.name))
-    return out
+    fields = mapping.resolve(spec.table, system=True, outbound=True)
+    if not (known and spec.update_sql):
+        return deliverable(core, fields, known, remote_id, since)
+    names = core.columns
+    given = [f.name for f in fields]
+    delivered = delivered_columns(names, fields, remote_id)
+    others = [quoted(c) for c in names if c not in given]
+    columns = ", ".join(c.split(" AS ")[-1] for c in delivered)
+    sql = spec.update_sql.replace("{columns}", columns)
+    return core.sparkSession.sql(sql, core=core.selectExpr(*delivered, *others))
 
 
 def value_text(c: Column, kind: T.DataType) -> Column:

@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.spec import quoted
+from tallyloom.spec import literal, quoted
 
 HOT_SPLITS = 64
 NULL_SPLITS = 4096
@@ -51,14 +51,8 @@ def lookup(
     scatters rows without a key (default: all columns). ``hot`` lists heavy
     values of the first key column.
     """
-    named = [s for s in set.values() if isinstance(s, str)]
-    payload = list(dict.fromkeys([*pick, *named, *carry]))
-    if dim_where is not None:
-        dim = dim.filter(dim_where)
-    keyed = dim.select(
-        *[F.col(quoted(d)).alias(f"__k{i}") for i, d in enumerate(on.values())],
-        *[F.col(quoted(c)).alias(f"__d_{c}") for c in payload],
-    )
+    keys = [f"{quoted(d)} AS __k{i}" for i, d in enumerate(on.values())]
+    keyed = _keyed(dim, keys, set, dim_where, carry, pick)
     return _apply(facts, keyed, list(on), set, when, only_null, row_key, hot)
 
 
@@ -82,34 +76,32 @@ def lookup_any_key(
     The alternatives are unpivoted into one key column, which keeps this an
     equi-join; ``fk = a OR fk = b`` would compare every pair of rows.
     """
+    either = f"explode(array({', '.join(quoted(k) for k in keys)})) AS __k0"
+    keyed = _keyed(dim, [either], set, dim_where, carry, pick)
+    return _apply(facts, keyed, [fk], set, when, only_null, row_key, hot)
+
+
+def _keyed(dim, keys, set, dim_where, carry, pick) -> DataFrame:
+    """The lookup side, cut to its keys and payload."""
     named = [s for s in set.values() if isinstance(s, str)]
-    payload = list(dict.fromkeys([*pick, *named, *carry]))
+    payload = dict.fromkeys([*pick, *named, *carry])
     if dim_where is not None:
         dim = dim.filter(dim_where)
-    keyed = dim.select(
-        F.explode(F.array(*[F.col(quoted(k)) for k in keys])).alias("__k0"),
-        *[F.col(quoted(c)).alias(f"__d_{c}") for c in payload],
-    )
-    return _apply(facts, keyed, [fk], set, when, only_null, row_key, hot)
+    return dim.selectExpr(*keys, *[f"{quoted(c)} AS {quoted(f'__d_{c}')}" for c in payload])
 
 
 def _one_per_key(keyed: DataFrame) -> DataFrame:
     """Smallest payload of each key; a single column needs no struct and hashes."""
-    keys = [c for c in keyed.columns if c.startswith("__k")]
-    payload = [c for c in keyed.columns if c not in keys]
-    for k in keys:
-        keyed = keyed.filter(F.col(k).isNotNull())
+    names = keyed.columns
+    keys = [c for c in names if c.startswith("__k")]
+    payload = [quoted(c) for c in names if c not in keys]
+    keyed = keyed.filter(" AND ".join(f"{k} IS NOT NULL" for k in keys))
     if not payload:
         return keyed.distinct()
     if len(payload) == 1:
-        only = F.col(quoted(payload[0]))
-        return keyed.groupBy(*keys).agg(F.min(only).alias(payload[0]))
-    row = F.struct(*[F.col(quoted(c)) for c in payload])
-    return (
-        keyed.groupBy(*keys)
-        .agg(F.min(row).alias("__d"))
-        .select(*keys, *[F.col(f"__d.{quoted(c)}").alias(c) for c in payload])
-    )
+        return keyed.groupBy(*keys).agg(F.expr(f"min({payload[0]}) AS {payload[0]}"))
+    smallest = keyed.groupBy(*keys).agg(F.expr(f"min(struct({', '.join(payload)})) AS __d"))
+    return smallest.select(*keys, "__d.*")
 
 
 def _apply(facts, keyed, fks, set, when, only_null, row_key, hot) -> DataFrame:
@@ -117,44 +109,45 @@ def _apply(facts, keyed, fks, set, when, only_null, row_key, hot) -> DataFrame:
     # and those of hot keys, and gives both sides a shuffle of their own, without
     # which AQE does not split the partitions of keys nobody listed as hot.
     dim = _one_per_key(keyed)
-    row = F.xxhash64(*[F.col(quoted(c)) for c in (row_key or facts.columns)])
-    keyless = F.lit(False)
-    for fk in fks:
-        keyless = keyless | F.col(quoted(fk)).isNull()
-    salt = F.when(keyless, F.pmod(row, F.lit(NULL_SPLITS)) + 1)
+    types = {f.name: f.dataType for f in facts.schema.fields}
+    helpers = ["__salt", *dim.columns]
+    row = f"xxhash64({', '.join(quoted(c) for c in (row_key or types))})"
+    keyless = " OR ".join(f"{quoted(fk)} IS NULL" for fk in fks)
+    spread, dim_salt = "", "CASE WHEN __k0 IS NULL THEN 1 ELSE 0 END"
     if hot:
-        salts = F.sequence(F.lit(0), F.lit(HOT_SPLITS - 1))
-        one = F.array(F.lit(0))
-        dim_salt = F.explode(F.when(F.col("__k0").isin(*hot), salts).otherwise(one))
-        salt = salt.when(F.col(quoted(fks[0])).isin(*hot), F.pmod(row, F.lit(HOT_SPLITS)))
-    else:
-        dim_salt = F.when(F.col("__k0").isNull(), 1).otherwise(0)
-    condition = salt.otherwise(0).cast("int") == F.col("__salt")
-    for i, fk in enumerate(fks):
-        condition = condition & (F.col(quoted(fk)) == F.col(f"__k{i}"))
-
-    joined = facts.join(dim.withColumn("__salt", dim_salt), condition, "left")
-    matched = F.col("__k0").isNotNull()
+        listed = ", ".join(literal(v) if isinstance(v, str) else str(v) for v in hot)
+        spread = f"WHEN {quoted(fks[0])} IN ({listed}) THEN pmod({row}, {HOT_SPLITS})"
+        dim_salt = (
+            f"explode(CASE WHEN __k0 IN ({listed}) THEN sequence(0, {HOT_SPLITS - 1}) "
+            "ELSE array(0) END)"
+        )
+    salt = f"CASE WHEN {keyless} THEN pmod({row}, {NULL_SPLITS}) + 1 {spread} ELSE 0 END"
+    meets = [f"cast({salt} AS int) = __salt"]
+    meets += [f"{quoted(fk)} = __k{i}" for i, fk in enumerate(fks)]
+    joined = facts.join(
+        dim.selectExpr("*", f"{dim_salt} AS __salt"), F.expr(" AND ".join(meets)), "left"
+    )
 
     def at_dim(name: str) -> Column:
         return F.col(quoted(f"__d_{name}"))
 
-    guard = matched
-    if only_null is not None:
-        guard = guard & F.col(quoted(only_null)).isNull()
-    if when is not None:
-        guard = guard & (when(at_dim) if callable(when) and not isinstance(when, Column) else _as_column(when))
+    guard = F.expr(
+        "__k0 IS NOT NULL" + (f" AND {quoted(only_null)} IS NULL" if only_null else "")
+    )
+    if isinstance(when, Column | str):
+        guard = guard & _as_column(when)
+    elif when is not None:
+        guard = guard & when(at_dim)
 
     out = {}
     for target, setter in set.items():
         value = at_dim(setter) if isinstance(setter, str) else setter(at_dim)
-        if target in facts.columns:
-            kind = facts.schema[target].dataType
-            out[target] = F.when(guard, value.cast(kind)).otherwise(F.col(quoted(target)))
+        if target in types:
+            kept = F.col(quoted(target))
+            out[target] = F.when(guard, value.cast(types[target])).otherwise(kept)
         else:
             out[target] = F.when(guard, value)
-    names = [*facts.columns, *[t for t in set if t not in facts.columns]]
-    return joined.select(*[out[c].alias(c) if c in out else F.col(quoted(c)) for c in names])
+    return joined.withColumns(out).drop(*helpers)
 
 
 def _as_column(when: Column | str) -> Column:
@@ -176,9 +169,7 @@ def recode(
     ``shared`` the key is not unique: a row whose own code is unmapped takes the
     target of another row of its key.
     """
-    keyed = F.lit(True)
-    for k in key:
-        keyed = keyed & F.col(quoted(k)).isNotNull()
+    keyed = " AND ".join(f"{quoted(k)} IS NOT NULL" for k in key)
     out = df
     for column, name in columns.items():
         out = lookup(
@@ -214,9 +205,8 @@ def recode(
         if shared:
             hit = hit | F.col(quoted(f"__kin_{c}"))
         done[c] = F.when(hit, F.col(quoted(f"__target_{c}"))).otherwise(F.col(quoted(c)))
-    return out.select(
-        *[done[c].alias(c) if c in done else F.col(quoted(c)) for c in df.columns]
-    )
+    helpers = [f"__{part}_{c}" for c in columns for part in ("target", "own", "kin")]
+    return out.withColumns(done).drop(*helpers)
 
 
 def _any_own(columns: Mapping[str, str]) -> Column:

@@ -39,7 +39,7 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -
     joined = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
     row = F.col("__place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     number = (F.col("__offset") + row + F.lit(start)).cast("bigint")
-    return joined.select(*[F.col(quoted(c)) for c in df.columns], number.alias(out))
+    return joined.withColumn(out, number).drop("__part", "__place", "__offset")
 
 
 def assign_batches(
@@ -47,10 +47,7 @@ def assign_batches(
 ) -> DataFrame:
     """Cut rows, in order, into batches of ``size``; only the last may be shorter."""
     numbered = number_rows(df, order, "__row")
-    return numbered.select(
-        *[F.col(quoted(c)) for c in df.columns],
-        F.floor(F.col("__row") / F.lit(size)).cast("bigint").alias(out),
-    )
+    return numbered.withColumn(out, F.expr(f"__row div {size}")).drop("__row")
 
 
 def assign_serials(df: DataFrame, column: str, order: Sequence[str], after: int) -> DataFrame:

@@ -30,19 +30,15 @@ def one_per_key(staging: DataFrame, key: str, order_by: Sequence[str] = ()) -> D
     ``max`` of a struct combines before the shuffle, so a key that holds a large
     share of the rows arrives as one row per input partition.
     """
-    rest = [c for c in staging.columns if c != key and c not in order_by]
-    ranked = F.struct(*[F.col(quoted(c)) for c in (*order_by, *rest)])
-    return (
-        staging.filter(F.col(quoted(key)).isNotNull())
-        .groupBy(F.col(quoted(key)).alias(key))
-        .agg(F.max(ranked).alias("__row"))
-        .select(
-            *[
-                F.col(quoted(c)) if c == key else F.col(f"__row.{quoted(c)}").alias(c)
-                for c in staging.columns
-            ]
-        )
-    )
+    names = staging.columns
+    payload = [c for c in names if c != key]
+    ranked = [*order_by, *[c for c in payload if c not in order_by]]
+    k, cells = quoted(key), ", ".join(quoted(c) for c in ranked)
+    rows = staging.filter(f"{k} IS NOT NULL")
+    if not payload:
+        return rows.distinct()
+    best = rows.groupBy(k).agg(F.expr(f"max(struct({cells})) AS __row"))
+    return best.selectExpr(*[quoted(c) if c == key else f"__row.{quoted(c)}" for c in names])
 
 
 def _prepared(staging: DataFrame, key: str, where: str | Column | None, order_by, unique) -> DataFrame:
@@ -115,25 +111,20 @@ def _merge(
     Core rows without a key can match nothing and would all meet in one task:
     they go round the join.
     """
-    core_key, staged_key = F.col(quoted(f"__core_{key}")), F.col(quoted(f"__staged_{key}"))
-    held = core.filter(F.col(quoted(key)).isNotNull()).select(
-        *[F.col(quoted(c)).alias(f"__core_{c}") for c in core.columns]
-    )
-    staged = rows.select(*[F.col(quoted(c)).alias(f"__staged_{c}") for c in rows.columns])
-    both = held.join(staged, core_key == staged_key, how)
-    matched = staged_key.isNotNull()
-    names = [*core.columns, *[c for c in rows.columns if c not in core.columns]]
-    if CHANGED not in names:
-        names.append(CHANGED)
+    old_names, new_names = core.columns, rows.columns
+    key_sql = quoted(key)
+    held = core.filter(f"{key_sql} IS NOT NULL").toDF(*[f"__core_{c}" for c in old_names])
+    staged = rows.toDF(*[f"__staged_{c}" for c in new_names])
+    staged_key = quoted(f"__staged_{key}")
+    both = held.join(staged, F.expr(f"{quoted(f'__core_{key}')} = {staged_key}"), how)
+
+    names = list(dict.fromkeys([*old_names, *new_names, CHANGED]))
     out = []
     for c in names:
-        old = F.col(quoted(f"__core_{c}")) if c in core.columns else F.lit(None)
-        if c in rows.columns:
-            new = F.when(matched, F.col(quoted(f"__staged_{c}"))).otherwise(old)
-        elif c == CHANGED:
-            new = F.when(matched, _changed_at(core, as_of)).otherwise(old)
-        else:
-            new = old
-        out.append(new.alias(c))
-    keyless = core.filter(F.col(quoted(key)).isNull())
-    return both.select(*out).unionByName(keyless, allowMissingColumns=True)
+        old = quoted(f"__core_{c}") if c in old_names else "NULL"
+        new = quoted(f"__staged_{c}") if c in new_names else "__as_of" if c == CHANGED else None
+        value = f"CASE WHEN {staged_key} IS NOT NULL THEN {new} ELSE {old} END" if new else old
+        out.append(f"{value} AS {quoted(c)}")
+    merged = both.withColumn("__as_of", _changed_at(core, as_of)).selectExpr(*out)
+    keyless = core.filter(f"{key_sql} IS NULL")
+    return merged.unionByName(keyless, allowMissingColumns=True)

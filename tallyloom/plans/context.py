@@ -48,14 +48,16 @@ def core_schema(mapping: Mapping, table: str, remote_id: str = REMOTE_ID) -> T.S
 
 def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with all columns of ``schema``: those it lacks are null."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            F.col(quoted(f.name)) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ],
-        *[F.col(quoted(c)) for c in df.columns if c not in schema.names],
-    )
+    have = df.columns
+    if have[: len(schema.names)] == schema.names:
+        return df
+    declared = [
+        quoted(f.name)
+        if f.name in have
+        else f"cast(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+        for f in schema.fields
+    ]
+    return df.selectExpr(*declared, *[quoted(c) for c in have if c not in schema.names])
 
 
 def instant(as_of: datetime) -> Column:

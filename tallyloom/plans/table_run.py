@@ -10,6 +10,7 @@ import traceback
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ class Workspace:
         return None if path is None else self.store.spark.read.parquet(path)
 
     def context(self, as_of: datetime, geo_parity: bool = False, hot=None) -> Context:
-        return Context(self.core, instant(as_of), self.remote_id, geo_parity, hot or {})
+        return Context(cache(self.core), instant(as_of), self.remote_id, geo_parity, hot or {})
 
 
 def conform_extract(
@@ -99,7 +100,7 @@ def upsert_staged(
     filled = {"archived": F.when(new, F.lit(False)).otherwise(F.col("archived"))}
     if numbered:
         filled[serial] = F.when(new, F.col("__serial")).otherwise(F.col(quoted(serial)))
-    return merged.withColumns(filled).select(*[F.col(quoted(c)) for c in core.columns])
+    return merged.withColumns(filled).drop("__held", "__serial")
 
 
 def new_serials(core: DataFrame, rows: DataFrame, key: str, serial: str) -> DataFrame:

@@ -40,7 +40,7 @@ class Store:
         if version is None:
             raise FileNotFoundError(f"core table {table} has no snapshot under {self.root}")
         df = self.spark.read.parquet(self.core_path(table, version))
-        return df.select(*[F.col(quoted(c)) for c in columns]) if columns else df
+        return df.selectExpr(*map(quoted, columns)) if columns else df
 
     def has_core(self, table: str) -> bool:
         return self.latest(table) is not None
@@ -64,13 +64,11 @@ class Store:
         empty columns costs no pass of its own.
         """
         seen = Observation(f"staged-{provider}-{table}-{run}")
-        counts = [F.count(F.col(quoted(c))).alias(c) for c in df.columns]
+        counts = [F.expr(f"count({quoted(c)}) AS {quoted(c)}") for c in df.columns]
         path = self.staging_path(provider, table, run)
         df.observe(seen, *counts).write.mode("errorifexists").parquet(path)
         filled = [c for c in df.columns if seen.get[c] > 0]
-        return self.spark.read.schema(df.schema).parquet(path).select(
-            *[F.col(quoted(c)) for c in filled]
-        )
+        return self.spark.read.schema(df.schema).parquet(path).selectExpr(*map(quoted, filled))
 
     def complete(self, path: str) -> bool:
         return bool(_glob(self.spark, f"{path}/_SUCCESS"))

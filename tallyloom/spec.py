@@ -26,6 +26,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Field:
     """One mapped column of one core table."""
