@@ -130,9 +130,10 @@ PAYMENT_FIELDS = [
 ORDERS = Provider("orders", "house", "Malawi")
 
 
-def orders_text(spark, sf):
+def orders_text(spark, sf, orders=None):
     """Orders as a provider would deliver them: dotted headers, every value text."""
-    return table(spark, sf, "orders").selectExpr(
+    orders = table(spark, sf, "orders") if orders is None else orders
+    return orders.selectExpr(
         "cast(o_orderkey AS string) AS `order.key`",
         "cast(o_orderdate AS string) AS `order.date`",
         "concat(' ', o_custkey, ' ') AS o_custkey",

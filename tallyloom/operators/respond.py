@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,17 +14,21 @@ from tallyloom.spec import quoted
 SUCCESS = "Success"
 REFUSED = "errorlist"
 
+# How markup characters are written inside a value.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
 _RESULT = r"(?s)<result\b[^>]*>.*?</result>"
 
 
-def _sound(fragment: Column) -> Column:
-    """Whether a fragment parses, since the path functions fail on one that does not."""
-    parsed = F.from_xml(
-        fragment,
-        "__broken STRING",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"},
+def _named(fragment: Column, name: str) -> Column:
+    """Text of the value under the element of that name, at any depth; null if none."""
+    pattern = (
+        r"""(?s)<\w+\b[^>]*?\bname\s*=\s*["']""" + re.escape(name) + r"""["'][^>]*>\s*<value>(.*?)</value>"""
     )
-    return parsed.isNotNull() & parsed["__broken"].isNull()
+    text = F.regexp_extract(fragment, pattern, 1)
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return F.nullif(text, F.lit(""))
 
 
 def response_results(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -56,16 +61,12 @@ def response_ids(
 ) -> DataFrame:
     """Pairs of external key and remote identifier, matched by field name.
 
-    A result that lacks either field, or does not parse, gives no row.
+    A result that lacks either field, or is cut short, gives no row.
     """
-    results = response_results(df, text, keep)
     fragment = F.col("result")
-
-    def named(name: str) -> Column:
-        path = F.xpath_string(fragment, F.lit(f"(//*[@name='{name}']/value)[1]"))
-        return F.when(_sound(fragment), F.nullif(path, F.lit("")))
-
-    pairs = results.select(
-        *[F.col(quoted(c)) for c in keep], named(key).alias(key), named(id_col).alias(id_col)
+    pairs = response_results(df, text, keep).select(
+        *[F.col(quoted(c)) for c in keep],
+        _named(fragment, key).alias(key),
+        _named(fragment, id_col).alias(id_col),
     )
     return pairs.filter(F.col(quoted(key)).isNotNull() & F.col(quoted(id_col)).isNotNull())
