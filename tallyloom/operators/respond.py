@@ -22,9 +22,7 @@ _RESULT = r"(?s)<result\b[^>]*>.*?</result>"
 
 def _named(fragment: Column, name: str) -> Column:
     """Text of the value under the element of that name, at any depth; null if none."""
-    pattern = (
-        r"""(?s)<\w+\b[^>]*?\bname\s*=\s*["']""" + re.escape(name) + r"""["'][^>]*>\s*<value>(.*?)</value>"""
-    )
+    pattern = rf"""\bname\s*=\s*["']{re.escape(name)}["'][^>]*>\s*<value>([^<]*)</value>"""
     text = F.regexp_extract(fragment, pattern, 1)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))

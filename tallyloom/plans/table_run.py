@@ -87,12 +87,12 @@ def upsert_staged(
     feed = provider.tables.get(table, TableFeed())
     key = ws.mapping.business_key(table)
     fields = ws.mapping.resolve(table, provider.name, system=True)
-    rows = typed_select(staging.filter(feed.filter) if feed.filter else staging, fields)
-    rows = one_per_key(rows, key, [c for c in feed.order_by if c in rows.columns])
+    staged = typed_select(staging.filter(feed.filter) if feed.filter else staging, fields)
+    rows = one_per_key(staged, key, [c for c in feed.order_by if c in staged.columns])
     serial = ws.mapping.surrogate(table)
     numbered = serial != key and serial not in rows.columns
     if numbered:
-        serials = new_serials(core, rows, key, serial)
+        serials = new_serials(core, staged, key, serial)
         rows = rows.join(serials, F.col(quoted(key)) == F.col("__fresh"), "left").drop("__fresh")
     merged = upsert(core.withColumn("__held", F.lit(True)), rows, key, instant(as_of), unique=True)
     # What the database defaults on insert: not archived, and the next serials.
@@ -103,12 +103,11 @@ def upsert_staged(
     return merged.withColumns(filled).drop("__held", "__serial")
 
 
-def new_serials(core: DataFrame, rows: DataFrame, key: str, serial: str) -> DataFrame:
+def new_serials(core: DataFrame, staged: DataFrame, key: str, serial: str) -> DataFrame:
     """The next serial for each staged key that the core lacks, in key order."""
     held = core.select(F.col(quoted(key)).alias("__held")).filter("__held IS NOT NULL")
-    fresh = rows.select(F.col(quoted(key)).alias("__fresh")).join(
-        held, F.col("__fresh") == F.col("__held"), "left_anti"
-    )
+    keys = staged.select(F.col(quoted(key)).alias("__fresh")).filter("__fresh IS NOT NULL")
+    fresh = keys.distinct().join(held, F.col("__fresh") == F.col("__held"), "left_anti")
     top = core.agg(F.max(F.col(quoted(serial))).alias("top")).head()["top"] or 0
     numbered = assign_serials(fresh, "__serial", ["__fresh"], after=int(top))
     kind = core.schema[serial].dataType
