@@ -89,6 +89,14 @@ def upsert_all(spark, sf):
     return upsert.upsert(core(spark, sf), staged(spark, sf), KEY, as_of(), order_by=["shipped"])
 
 
+@check("upsert_shuffled", f"{ctes()} {_MATCHED} UNION ALL {_NEW.format(stamp=STAMP)}")
+def upsert_shuffled(spark, sf):
+    """The same by the join that serves staged rows of any size."""
+    return upsert.upsert(
+        core(spark, sf), staged(spark, sf), KEY, as_of(), order_by=["shipped"], small=False
+    )
+
+
 @check(
     "upsert_filtered",
     f"{ctes(_PRICED)} {_MATCHED} UNION ALL {_NEW.format(stamp=STAMP)}",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.lookup import lookup
+from tallyloom.operators.upsert import lacking
 from tallyloom.spec import quoted
 
 
@@ -48,7 +49,7 @@ def new_members(
         DataFrame.unionAll, [s.filter(F.col(quoted(key)).isNotNull()).select(*cols) for s in sources]
     ).distinct()
     target = next(dst for dst, src in set.items() if src == key)
-    return dim.unionByName(_lacking(found, dim, target), allowMissingColumns=True)
+    return dim.unionByName(lacking(found, target, dim, target), allowMissingColumns=True)
 
 
 def new_member_pairs(
@@ -62,10 +63,5 @@ def new_member_pairs(
     for source in sources:
         rows = source.filter(F.col(quoted(key)).isNotNull())
         found = rows.select(*[F.col(quoted(c)) for c in columns]).distinct()
-        dim = dim.unionByName(_lacking(found, dim, key), allowMissingColumns=True)
+        dim = dim.unionByName(lacking(found, key, dim, key), allowMissingColumns=True)
     return dim
-
-
-def _lacking(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    known = dim.select(F.col(quoted(key)).alias("__known")).filter(F.col("__known").isNotNull())
-    return rows.join(known, F.col(quoted(key)) == F.col("__known"), "left_anti")

@@ -14,6 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import fits_broadcast
 from tallyloom.spec import quoted
 
 CHANGED = "change_timestamp"
@@ -54,6 +55,23 @@ def _changed_at(core: DataFrame, as_of: datetime | Column) -> Column:
     return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast(kind)
 
 
+def lacking(
+    rows: DataFrame, key: str, core: DataFrame, core_key: str, small: bool | None = None
+) -> DataFrame:
+    """The ``rows`` whose key ``core`` lacks.
+
+    ``left_anti`` on keys that are not null: ``NOT IN`` would broadcast all core
+    keys, and one null among them would block every row. When ``rows`` are few
+    (``small``, by default found from their size) the core keys are first cut to
+    those among them, so that no core key is shuffled.
+    """
+    known = core.selectExpr(f"{quoted(core_key)} AS __known").filter("__known IS NOT NULL")
+    if fits_broadcast(rows) if small is None else small:
+        wanted = rows.selectExpr(f"{quoted(key)} AS __wanted")
+        known = known.join(wanted, F.expr("__known = __wanted"), "left_semi")
+    return rows.join(known, F.expr(f"{quoted(key)} = __known"), "left_anti")
+
+
 def insert_missing(
     staging: DataFrame,
     core: DataFrame,
@@ -62,15 +80,9 @@ def insert_missing(
     order_by: Sequence[str] = (),
     unique: bool = False,
 ) -> DataFrame:
-    """Core plus the staged rows whose key it lacks.
-
-    ``left_anti`` on keys that are not null: ``NOT IN`` would broadcast all core
-    keys, and one null among them would block every insert.
-    """
+    """Core plus the staged rows whose key it lacks."""
     rows = _prepared(staging, key, where, order_by, unique)
-    keys = core.select(F.col(quoted(key)).alias("__core_key")).filter("__core_key IS NOT NULL")
-    new = rows.join(keys, F.col(quoted(key)) == F.col("__core_key"), "left_anti")
-    return core.unionByName(new, allowMissingColumns=True)
+    return core.unionByName(lacking(rows, key, core, key), allowMissingColumns=True)
 
 
 def update_matched(
@@ -94,26 +106,43 @@ def upsert(
     where: str | Column | None = None,
     order_by: Sequence[str] = (),
     unique: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Insert what is missing, then update what matches, as one full outer join.
+    """Insert what is missing and update what matches.
 
-    Inserted rows match too, so they carry ``change_timestamp`` as well.
+    Inserted rows count as matched, so they carry ``change_timestamp`` as well.
     ``where`` is a predicate on staged columns: rows that fail it do neither.
+
+    Where the staged rows are within the broadcast limit (``small``, by default
+    found from their size), the core is updated in place of a scan and never
+    shuffled. Otherwise both steps are one full outer join on the key.
     """
-    return _merge(core, _prepared(staging, key, where, order_by, unique), key, as_of, "full_outer")
+    rows = _prepared(staging, key, where, order_by, unique)
+    if not (fits_broadcast(rows) if small is None else small):
+        return _merge(core, rows, key, as_of, "full_outer")
+    updated = _merge(core, rows, key, as_of, "left_outer", around=False)
+    new = lacking(rows, key, core, key, small=True)
+    stamped = new.withColumn(CHANGED, _changed_at(core, as_of))
+    return updated.unionByName(stamped, allowMissingColumns=True)
 
 
 def _merge(
-    core: DataFrame, rows: DataFrame, key: str, as_of: datetime | Column, how: str
+    core: DataFrame,
+    rows: DataFrame,
+    key: str,
+    as_of: datetime | Column,
+    how: str,
+    around: bool = True,
 ) -> DataFrame:
     """Join on the key alone, so that both sides keep a partitioning they already have.
 
-    Core rows without a key can match nothing and would all meet in one task:
-    they go round the join.
+    Core rows without a key can match nothing and would all meet in one task of a
+    shuffle: they go ``around`` the join.
     """
     old_names, new_names = core.columns, rows.columns
     key_sql = quoted(key)
-    held = core.filter(f"{key_sql} IS NOT NULL").toDF(*[f"__core_{c}" for c in old_names])
+    held = core.filter(f"{key_sql} IS NOT NULL") if around else core
+    held = held.toDF(*[f"__core_{c}" for c in old_names])
     staged = rows.toDF(*[f"__staged_{c}" for c in new_names])
     staged_key = quoted(f"__staged_{key}")
     both = held.join(staged, F.expr(f"{quoted(f'__core_{key}')} = {staged_key}"), how)
@@ -126,5 +155,7 @@ def _merge(
         value = f"CASE WHEN {staged_key} IS NOT NULL THEN {new} ELSE {old} END" if new else old
         out.append(f"{value} AS {quoted(c)}")
     merged = both.withColumn("__as_of", _changed_at(core, as_of)).selectExpr(*out)
+    if not around:
+        return merged
     keyless = core.filter(f"{key_sql} IS NULL")
     return merged.unionByName(keyless, allowMissingColumns=True)

@@ -440,16 +440,17 @@ def derive_replacements(
 
 RULES: dict[str, Sequence[Rule]] = {
     # Codes come before the rules that test them; a missing unit number is filled
-    # before detached accounts lose theirs.
+    # before detached accounts lose theirs. Payments and applications meet on the
+    # same key, one after the other, so that one shuffle of the accounts serves both.
     "accounts": (
         account_codes,
         account_amounts,
         account_payments,
+        account_application,
         account_client,
         account_stock,
         account_unit,
         account_detached,
-        account_application,
         account_users,
         _country(ACCOUNT, only_null=True),
     ),

@@ -19,11 +19,11 @@ from tallyloom.operators.clean import clean_extract
 from tallyloom.operators.conform import project_mapping, stamp_source, typed_select
 from tallyloom.operators.numbering import assign_serials
 from tallyloom.operators.skew import heavy_keys
-from tallyloom.operators.upsert import null_keys, one_per_key, upsert
+from tallyloom.operators.upsert import lacking, null_keys, one_per_key, upsert
 from tallyloom.plans import prep
 from tallyloom.plans.context import REMOTE_ID, Context, core_schema, instant, shaped
 from tallyloom.plans.rules import KEYS, apply_rules
-from tallyloom.session import freeze
+from tallyloom.session import freeze, scratch_scope
 from tallyloom.sources.extracts import has_rows
 from tallyloom.sources.snapshots import Store
 from tallyloom.spec import Mapping, Provider, TableFeed, quoted
@@ -105,9 +105,8 @@ def upsert_staged(
 
 def new_serials(core: DataFrame, staged: DataFrame, key: str, serial: str) -> DataFrame:
     """The next serial for each staged key that the core lacks, in key order."""
-    held = core.select(F.col(quoted(key)).alias("__held")).filter("__held IS NOT NULL")
-    keys = staged.select(F.col(quoted(key)).alias("__fresh")).filter("__fresh IS NOT NULL")
-    fresh = keys.distinct().join(held, F.col("__fresh") == F.col("__held"), "left_anti")
+    keys = staged.selectExpr(f"{quoted(key)} AS __fresh").filter("__fresh IS NOT NULL")
+    fresh = lacking(keys.distinct(), "__fresh", core, key)
     top = core.agg(F.max(F.col(quoted(serial))).alias("top")).head()["top"] or 0
     numbered = assign_serials(fresh, "__serial", ["__fresh"], after=int(top))
     kind = core.schema[serial].dataType
@@ -155,17 +154,17 @@ def run_table(
         provider.name, table, run, conform_extract(extract, ws.mapping, provider, table)
     )
     run_prep(ws, provider, table)
-    version = ws.store.latest(table)
-    core = ws.core(table, version)
     key = ws.mapping.business_key(table)
     if key not in staged.columns:
         return Outcome(provider.name, table, "failed", message=f"staging has no {key}")
-    merged = upsert_staged(ws, core, staged, provider, table, as_of)
-    if feed.rules:
-        merged = freeze(merged, f"upsert-{table}")
-        hot = heavy_keys(merged, KEYS.get(feed.rules, ()))
-        merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot))
-    written = ws.store.write_core(table, merged, after=version)
+    version = ws.store.latest(table)
+    with scratch_scope(ws.store.spark):
+        merged = upsert_staged(ws, ws.core(table, version), staged, provider, table, as_of)
+        if feed.rules:
+            merged = freeze(merged, f"upsert-{table}")
+            hot = heavy_keys(merged, KEYS.get(feed.rules, ()))
+            merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot))
+        written = ws.store.write_core(table, merged, after=version)
     skipped = null_keys(staged, key).count()
     message = f"{skipped} staged rows without {key}" if skipped else None
     return Outcome(provider.name, table, "written", written, message)

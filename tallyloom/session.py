@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +53,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tallyloom/{label}-{uuid.uuid4().hex}"
 
 
+_frozen: ContextVar[list[str] | None] = ContextVar("frozen", default=None)
+
+
 def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -59,4 +65,32 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    paths = _frozen.get()
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables frozen inside the block when it ends.
+
+    For work whose result has been written elsewhere by then; a frame that still
+    reads a frozen table must not leave the block.
+    """
+    token = _frozen.set([])
+    try:
+        yield
+    finally:
+        paths = _frozen.get() or []
+        _frozen.reset(token)
+        for name in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size of ``df`` is within the session's broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return limit > 0 and int(size) <= limit

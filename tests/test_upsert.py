@@ -27,8 +27,9 @@ def plain(df):
     return sorted((tuple(r) for r in df.drop("change_timestamp").collect()), key=repr)
 
 
-def test_null_cell_overwrites_and_absent_column_stays(core, staging):
-    out = upsert.upsert(core, staging, "k", NOW)
+@pytest.mark.parametrize("small", [True, False, None])
+def test_null_cell_overwrites_and_absent_column_stays(core, staging, small):
+    out = upsert.upsert(core, staging, "k", NOW, small=small)
     assert plain(out) == [(1, "a", "MWK", 1.0), (2, "b", "UGX", None), (3, None, "ZMW", 3.0), (None, "c", None, 9.0)]
     stamped = {r["k"] for r in out.filter("change_timestamp IS NOT NULL").collect()}
     assert stamped == {"b", "c"}  # inserted rows are stamped like updated ones
@@ -79,8 +80,22 @@ def test_declared_unique_staging_still_sets_null_keys_aside(core, staging):
     assert out.count() == 4
 
 
-def test_many_null_core_keys_go_round_the_join(spark, staging):
+@pytest.mark.parametrize("small", [True, False])
+def test_many_null_core_keys_go_round_the_join(spark, staging, small):
     core = spark.range(200).selectExpr("id", "cast(NULL AS string) AS k", "0.0D AS amount")
-    out = upsert.upsert(core, staging, "k", NOW)
+    out = upsert.upsert(core, staging, "k", NOW, small=small)
     assert out.filter("k IS NULL").count() == 200
     assert out.count() == 202
+
+
+def test_few_staged_rows_never_shuffle_the_core(spark, tmp_path):
+    spark.range(10_000).selectExpr("cast(id AS string) AS k", "id AS v").write.parquet(str(tmp_path / "core"))
+    spark.range(5).selectExpr("cast(id AS string) AS k", "-id AS v").write.parquet(str(tmp_path / "new"))
+    core, staged = (spark.read.parquet(str(tmp_path / n)) for n in ("core", "new"))
+    out = upsert.upsert(core, staged, "k", NOW)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan
+    branch = plan.split("LeftOuter")[1].split("BroadcastExchange")[0]
+    assert "Exchange hashpartitioning" not in branch
+    assert out.count() == 10_000
+    assert upsert.upsert(core, staged, "k", NOW, small=False).exceptAll(out).count() == 0
