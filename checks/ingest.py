@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.registry import check, table
 from tallyloom.functions import cells
 from tallyloom.operators import clean, conform
+from tallyloom.session import scratch_path
 from tallyloom.sources import extracts, reports
 from tallyloom.spec import Field, Provider
 
@@ -51,6 +52,21 @@ def ingest_clean(spark, sf):
     return clean.clean_extract(docs.unionByName(pages))
 
 
+@check(
+    "extract_read",
+    f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, {clean_sql("lang || ', ' || text")} AS body,
+        CAST(n_chars AS VARCHAR) AS "size.chars" FROM documents""",
+)
+def extract_read(spark, sf):
+    """Whole texts, with quotes and line breaks, written as CSV files and read back."""
+    path = scratch_path(spark, "extract")
+    docs = table(spark, sf, "documents").selectExpr(
+        "doc_id", "concat(lang, ', ', text) AS body", "n_chars AS `size.chars`"
+    )
+    docs.write.option("header", True).option("escape", '"').csv(path)
+    return clean.clean_extract(extracts.read_extract(spark, path))
+
+
 @check(
     "fragment_union",
     """SELECT event_id, ts, user_id FROM events WHERE event_type = 'view'

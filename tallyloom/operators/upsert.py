@@ -44,7 +44,7 @@ def one_per_key(staging: DataFrame, key: str, order_by: Sequence[str] = ()) -> D
 
 def _prepared(staging: DataFrame, key: str, where: str | Column | None, order_by, unique) -> DataFrame:
     if where is not None:
-        staging = staging.filter(where)
+        staging = staging.alias("a").filter(where)
     if unique:
         return staging.filter(F.col(quoted(key)).isNotNull())
     return one_per_key(staging, key, order_by)
@@ -111,7 +111,8 @@ def upsert(
     """Insert what is missing and update what matches.
 
     Inserted rows count as matched, so they carry ``change_timestamp`` as well.
-    ``where`` is a predicate on staged columns: rows that fail it do neither.
+    ``where`` is a predicate on staged columns, plain or as ``a.<column>``: rows
+    that fail it do neither.
 
     Where the staged rows are within the broadcast limit (``small``, by default
     found from their size), the core is updated in place of a scan and never

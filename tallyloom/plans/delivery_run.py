@@ -20,8 +20,8 @@ def payloads(
     core = ws.core(spec.table)
     pk = ws.mapping.surrogate(spec.table)
     key = ws.mapping.business_key(spec.table)
-    order = list(dict.fromkeys([pk, key]))
     records = delivery(core, ws.mapping, spec, known, ws.remote_id)
+    order = [c for c in dict.fromkeys([pk, key]) if c in records.columns]
     rendered = render_update(records) if known else render_add(records)
     batched = assign_batches(rendered.select(*order, "record"), order, spec.slice_length)
     return build_payloads(batched, order, root, application, spec.form)

@@ -87,7 +87,9 @@ def upsert_staged(
     feed = provider.tables.get(table, TableFeed())
     key = ws.mapping.business_key(table)
     fields = ws.mapping.resolve(table, provider.name, system=True)
-    staged = typed_select(staging.filter(feed.filter) if feed.filter else staging, fields)
+    staged = typed_select(
+        staging.alias("a").filter(feed.filter) if feed.filter else staging, fields
+    )
     rows = one_per_key(staged, key, [c for c in feed.order_by if c in staged.columns])
     serial = ws.mapping.surrogate(table)
     numbered = serial != key and serial not in rows.columns

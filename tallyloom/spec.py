@@ -96,7 +96,7 @@ class Mapping:
 class TableFeed:
     """How one provider feeds one core table."""
 
-    filter: str | None = None  # SQL predicate on staged columns
+    filter: str | None = None  # SQL predicate on staged columns, plain or as a.<column>
     prep: str | None = None  # "core" or "users"
     rules: str | None = None  # name of the rules run after the upsert
     order_by: tuple[str, ...] = ()  # which of several staged rows of a key wins

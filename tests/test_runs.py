@@ -90,7 +90,7 @@ UPYA = Provider(
         "webusers": TableFeed(prep="users"),
         "stock": TableFeed(rules="stock"),
         "accounts": TableFeed(prep="core"),
-        "payments": TableFeed(rules="payments", filter="amount IS NULL OR amount <> '-1'"),
+        "payments": TableFeed(rules="payments", filter="a.amount IS NULL OR a.amount <> '-1'"),
     },
 )
 
