@@ -29,16 +29,6 @@ def _named(fragment: Column, name: str) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def response_results(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per ``<result>`` of each response, with its own text."""
-    return df.select(
-        *[F.col(quoted(c)) for c in keep],
-        F.posexplode(F.regexp_extract_all(F.col(quoted(text)), F.lit(_RESULT), F.lit(0))).alias(
-            "position", "result"
-        ),
-    )
-
-
 def response_errors(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """Every status that is not success, and every slice refused as a whole.
 
@@ -61,10 +51,9 @@ def response_ids(
 
     A result that lacks either field, or is cut short, gives no row.
     """
-    fragment = F.col("result")
-    pairs = response_results(df, text, keep).select(
-        *[F.col(quoted(c)) for c in keep],
-        _named(fragment, key).alias(key),
-        _named(fragment, id_col).alias(id_col),
+    results = F.regexp_extract_all(F.col(quoted(text)), F.lit(_RESULT), F.lit(0))
+    pairs = F.transform(
+        results, lambda r: F.struct(_named(r, key).alias(key), _named(r, id_col).alias(id_col))
     )
-    return pairs.filter(F.col(quoted(key)).isNotNull() & F.col(quoted(id_col)).isNotNull())
+    whole = F.filter(pairs, lambda p: p[key].isNotNull() & p[id_col].isNotNull())
+    return df.select(*[F.col(quoted(c)) for c in keep], F.inline(whole))
