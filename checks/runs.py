@@ -12,9 +12,12 @@ from functools import cache
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
+from tallyloom.plans import prep
 from tallyloom.plans.context import Context, core_schema, instant, shaped
 from tallyloom.plans.rules import apply_rules, derive_replacements
 from tallyloom.plans.table_run import Workspace, conform_extract, upsert_staged
+from tallyloom.session import scratch_path
+from tallyloom.sources.snapshots import Store
 from tallyloom.spec import Field, Mapping, Provider, TableFeed
 
 AS_OF = datetime(2002, 1, 1)
@@ -623,3 +626,133 @@ def replacements_rules(spark, sf):
         "responsible_user_ext_id",
         "acc_responsible_user_ext_id",
     )
+
+
+# -- prep steps -------------------------------------------------------------
+
+
+@check(
+    "products_prep",
+    """WITH known AS (SELECT DISTINCT p_brand AS product, p_brand AS product_external_name FROM part),
+    staged AS (SELECT 'Brand#' || CAST(l_quantity AS INTEGER) AS product FROM lineitem
+        UNION SELECT o_orderpriority FROM orders UNION SELECT nullif(c_mktsegment, 'BUILDING')
+        FROM customer)
+    SELECT * FROM known UNION ALL SELECT product, product FROM staged
+    WHERE product IS NOT NULL AND product NOT IN (SELECT product FROM known)""",
+)
+def products_prep(spark, sf):
+    """Stock and accounts of several providers; one of them lacks the column."""
+    known = table(spark, sf, "part").selectExpr(
+        "p_brand AS product", "p_brand AS product_external_name"
+    )
+    staged = [
+        table(spark, sf, "lineitem").selectExpr(
+            "concat('Brand#', cast(l_quantity AS int)) AS product"
+        ),
+        table(spark, sf, "orders").selectExpr("o_orderpriority AS product"),
+        table(spark, sf, "customer").selectExpr("nullif(c_mktsegment, 'BUILDING') AS product"),
+        table(spark, sf, "supplier").selectExpr("s_name AS holder"),
+    ]
+    return prep.add_products(known.distinct(), staged)
+
+
+@check(
+    "pricing_groups_prep",
+    """WITH known AS (SELECT DISTINCT p_brand AS product, p_type AS pricing_group FROM part),
+    first AS (SELECT DISTINCT o_orderstatus AS product, o_orderpriority AS pricing_group FROM orders),
+    one AS (SELECT * FROM known UNION ALL SELECT * FROM first
+        WHERE pricing_group NOT IN (SELECT pricing_group FROM known)),
+    second AS (SELECT DISTINCT c_mktsegment AS product, CASE WHEN c_acctbal > 0 THEN '2-HIGH'
+        ELSE 'NEW' END AS pricing_group FROM customer)
+    SELECT * FROM one UNION ALL SELECT * FROM second
+    WHERE pricing_group NOT IN (SELECT pricing_group FROM one)""",
+)
+def pricing_groups_prep(spark, sf):
+    known = table(spark, sf, "part").selectExpr("p_brand AS product", "p_type AS pricing_group")
+    staged = [
+        table(spark, sf, "orders").selectExpr(
+            "o_orderstatus AS product", "o_orderpriority AS pricing_group"
+        ),
+        table(spark, sf, "customer").selectExpr(
+            "c_mktsegment AS product",
+            "CASE WHEN c_acctbal > 0 THEN '2-HIGH' ELSE 'NEW' END AS pricing_group",
+        ),
+    ]
+    return prep.add_pricing_groups(known.distinct(), staged)
+
+
+_PEOPLE_SQL = """WITH core AS (SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS number,
+        nullif(c_name, 'Customer#000000003') AS email, c_mktsegment AS name FROM customer),
+    one AS (SELECT id, number, CASE WHEN s_name <> email THEN s_name ELSE email END AS email,
+        CASE WHEN s_name <> email THEN 'S' || s_nationkey ELSE name END AS name
+        FROM core LEFT JOIN supplier ON id = s_suppkey),
+    two AS (SELECT id, number, CASE WHEN n_name <> email THEN n_name ELSE email END AS email,
+        CASE WHEN n_name <> email THEN 'N' || n_regionkey ELSE name END AS name
+        FROM one LEFT JOIN nation ON id = n_nationkey)"""
+
+
+def people(spark, sf, user_id: str, number: str, email: str, name: str):
+    core = table(spark, sf, "customer").selectExpr(
+        f"c_custkey AS {user_id}",
+        f"cast(c_custkey AS string) AS {number}",
+        f"nullif(c_name, 'Customer#000000003') AS {email}",
+        f"c_mktsegment AS {name}",
+    )
+    staged = [
+        table(spark, sf, "supplier").selectExpr(
+            f"cast(s_suppkey AS string) AS {number}",
+            f"s_name AS {email}",
+            f"concat('S', s_nationkey) AS {name}",
+        ),
+        table(spark, sf, "nation").selectExpr(
+            f"cast(n_nationkey AS string) AS {number}",
+            f"n_name AS {email}",
+            f"concat('N', n_regionkey) AS {name}",
+        ),
+    ]
+    return core, staged
+
+
+@check(
+    "users_prep",
+    f"{_PEOPLE_SQL} SELECT id AS user_id, number AS user_upya_id, email AS user_email, name AS "
+    "username FROM two",
+)
+def users_prep(spark, sf):
+    """Two providers repair the same users one after the other."""
+    core, staged = people(spark, sf, "user_id", "user_upya_id", "user_email", "username")
+    return prep.repair_users(core, staged)
+
+
+@check(
+    "webusers_prep",
+    f"{_PEOPLE_SQL} SELECT id AS webuser_id, number AS webuser_upya_id, email AS webuser_email, "
+    "name AS webuser_username FROM two",
+)
+def webusers_prep(spark, sf):
+    core, staged = people(
+        spark, sf, "webuser_id", "webuser_upya_id", "webuser_email", "webuser_username"
+    )
+    return prep.repair_webusers(core, staged)
+
+
+@check(
+    "staged_snapshot",
+    """SELECT 'A' || o_orderkey AS account_external_id,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN 'U' || o_orderkey END AS unit_number,
+        'Ann ' || o_orderstatus AS owner_name, 'upya' AS external_sys FROM orders""",
+)
+def staged_snapshot(spark, sf):
+    """A staging write that drops the wholly empty columns while it writes."""
+    extract = accounts_extract(spark, sf).selectExpr(
+        "contractNumber",
+        "paygNumber",
+        "`client.profile.firstName`",
+        "`client.profile.lastName`",
+        "'none' AS status",
+        "'n/a' AS recorder",
+    )
+    staged = conform_extract(extract, MAPPING, PROVIDER, "accounts")
+    store = Store(spark, scratch_path(spark, "staged"))
+    kept = store.write_staging("upya", "accounts", "r1", staged)
+    return kept.drop("organization", "country")

@@ -475,6 +475,9 @@ RULES: dict[str, Sequence[Rule]] = {
     ),
 }
 
+# Rule sets that join a table with itself.
+READ_TWICE = ("stock",)
+
 # Foreign keys that rules join on and that heavy values may skew.
 KEYS: dict[str, Sequence[str]] = {
     "accounts": (

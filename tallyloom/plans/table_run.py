@@ -1,7 +1,8 @@
 """One table run: extract -> clean -> conform -> stage -> prep -> upsert -> rules -> snapshot.
 
-The new core version appears as a whole or not at all. What the rules need of
-the upserted table is taken from a frozen copy, so the upsert is computed once.
+The new core version appears as a whole or not at all. From the staged rows to the
+new version it is one job; only rules that read their own table a second time get
+a frozen copy of the upserted rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from tallyloom.operators.skew import heavy_keys
 from tallyloom.operators.upsert import lacking, null_keys, one_per_key, upsert
 from tallyloom.plans import prep
 from tallyloom.plans.context import REMOTE_ID, Context, core_schema, instant, shaped
-from tallyloom.plans.rules import KEYS, apply_rules
+from tallyloom.plans.rules import KEYS, READ_TWICE, apply_rules
 from tallyloom.session import freeze, scratch_scope
 from tallyloom.sources.extracts import has_rows
 from tallyloom.sources.snapshots import Store
@@ -115,6 +116,25 @@ def new_serials(core: DataFrame, staged: DataFrame, key: str, serial: str) -> Da
     return numbered.select("__fresh", F.col("__serial").cast(kind).alias("__serial"))
 
 
+def skewed_keys(
+    ws: Workspace,
+    core: DataFrame,
+    staged: DataFrame,
+    provider: Provider,
+    table: str,
+    rules: str,
+) -> dict[str, list]:
+    """Heavy values of the keys the rules join on, from both inputs of the upsert.
+
+    What is heavy after it was heavy in one of them, and both are stored tables,
+    so only their key columns are read.
+    """
+    keys = KEYS.get(rules, ())
+    fields = [f for f in ws.mapping.resolve(table, provider.name, system=True) if f.name in keys]
+    found = [heavy_keys(core, keys), heavy_keys(typed_select(staged, fields), keys)]
+    return {k: sorted({v for hot in found for v in hot.get(k, [])}) for k in keys}
+
+
 def run_prep(ws: Workspace, provider: Provider, table: str) -> None:
     kind = provider.tables.get(table, TableFeed()).prep
     if kind == "core":
@@ -160,11 +180,13 @@ def run_table(
     if key not in staged.columns:
         return Outcome(provider.name, table, "failed", message=f"staging has no {key}")
     version = ws.store.latest(table)
+    core = ws.core(table, version)
     with scratch_scope(ws.store.spark):
-        merged = upsert_staged(ws, ws.core(table, version), staged, provider, table, as_of)
+        merged = upsert_staged(ws, core, staged, provider, table, as_of)
         if feed.rules:
-            merged = freeze(merged, f"upsert-{table}")
-            hot = heavy_keys(merged, KEYS.get(feed.rules, ()))
+            if feed.rules in READ_TWICE:
+                merged = freeze(merged, f"upsert-{table}")
+            hot = skewed_keys(ws, core, staged, provider, table, feed.rules)
             merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot))
         written = ws.store.write_core(table, merged, after=version)
     skipped = null_keys(staged, key).count()

@@ -51,6 +51,15 @@ class Store:
         df.write.mode("errorifexists").parquet(self.core_path(table, version))
         return version
 
+    def expire(self, table: str, keep: int = 2) -> list[int]:
+        """Drop all but the newest ``keep`` finished versions; returns what was dropped."""
+        found = _glob(self.spark, f"{self.root}/core/{table}/v=*/_SUCCESS")
+        versions = sorted(int(p.split("/v=")[1].split("/")[0]) for p, _ in found)
+        old = versions[: -max(keep, 1)]
+        for version in old:
+            _delete(self.spark, self.core_path(table, version))
+        return old
+
     def latest_staging(self, provider: str, table: str) -> str | None:
         """Path of the staging run that was finished last."""
         found = _glob(self.spark, f"{self.root}/staging/{provider}/{table}/run=*/_SUCCESS")
@@ -89,3 +98,8 @@ def _glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return [(s.getPath().toString(), s.getModificationTime()) for s in (fs.globStatus(path) or [])]
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 
+from tallyloom.operators.skew import heavy_keys
 from tallyloom.plans import delivery_run
 from tallyloom.plans.rules import RULES
 from tallyloom.plans.table_run import Workspace, run_all, run_table
@@ -169,6 +170,28 @@ def test_rules_read_other_tables(spark, ws, rows):
     assert rows(ws.core("stock"), "account_id", "holder_id") == [(1, 2)]
 
 
+def test_heavy_keys_come_from_both_inputs_and_change_nothing(spark, ws, monkeypatch):
+    from tallyloom.plans import table_run
+
+    monkeypatch.setattr(table_run, "heavy_keys", lambda df, keys: heavy_keys(df, keys, 0.2, 0))
+    accounts = extract(spark, ["contractNumber", "payg"], ("A1", "P1"), ("A2", "P2"), ("A3", "P3"))
+    run_table(ws, UPYA, "accounts", accounts, NOW, "r1")
+
+    def lines(prefix, key):
+        return [(f"{prefix}{i}", "2024-01-05", key if i < 40 else f"A{i}", "g", "1") for i in range(60)]
+
+    run_table(ws, UPYA, "payments", pay(spark, *lines("x", "A1")), NOW, "r1")
+    core, staged = ws.core("payments"), ws.staged("upya", "payments")
+    hot = table_run.skewed_keys(ws, core, staged, UPYA, "payments", "payments")
+    assert hot["account_external_id"] == ["A1"]
+    assert heavy_keys(core.filter("false"), ["account_id"]) == {}
+    run_table(ws, UPYA, "payments", pay(spark, *lines("y", "A2")), LATER, "r2")
+    got = ws.core("payments").groupBy("account_external_id", "unit_number").count().collect()
+    counts = {(r[0], r[1]): r[2] for r in got}
+    assert counts[("A1", "P1")] == counts[("A2", "P2")] == 40
+    assert sum(counts.values()) == 120
+
+
 def test_users_prep_repairs_emails(spark, ws, rows):
     header = ["agent", "other", "name", "email"]
     run_table(ws, UPYA, "users", extract(spark, header, ("U1", None, "Ann", "old@x")), NOW, "r1")
@@ -195,6 +218,15 @@ def test_a_concurrent_version_is_not_overwritten(spark, ws):
         ws.store.write_core("payments", ws.core("payments"), after=None)
 
 
+def test_old_versions_can_be_dropped(spark, ws):
+    for n in range(4):
+        ws.store.write_core("country", spark.range(n + 1), after=None if n == 0 else n - 1)
+    assert ws.store.expire("country", keep=2) == [0, 1]
+    assert ws.store.latest("country") == 3
+    assert ws.store.read_core("country", 2).count() == 3
+    assert ws.store.expire("country", keep=2) == []
+
+
 def test_delivery_round_trip(spark, ws, rows):
     lines = [(f"t{i}", "2024-01-05 10:00:00", "A1", "g", f"{i}.50") for i in range(5)]
     run_table(ws, UPYA, "payments", pay(spark, *lines), NOW, "r1")
@@ -241,6 +273,7 @@ def test_stream_equals_batch_and_survives_a_replay(spark, ws, tmp_path, rows):
     version = ws.store.latest("payments")
     run()  # nothing has landed
     assert ws.store.latest("payments") == version
+    assert not list((tmp_path / "store").glob("frozen*"))
     # the last batch is seen again, as after a crash between snapshot and commit
     (tmp_path / "cp" / "commits" / "1").unlink()
     crc = tmp_path / "cp" / "commits" / ".1.crc"
