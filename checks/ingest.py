@@ -63,7 +63,10 @@ def extract_read(spark, sf):
     docs = table(spark, sf, "documents").selectExpr(
         "doc_id", "concat(lang, ', ', text) AS body", "n_chars AS `size.chars`"
     )
-    docs.write.option("header", True).option("escape", '"').csv(path)
+    writer = docs.write.option("header", True).option("escape", '"')
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.csv(path)
     return clean.clean_extract(extracts.read_extract(spark, path))
 
 

@@ -483,12 +483,12 @@ _ACCOUNT_SQL = """src AS (SELECT o_orderkey AS id, CAST(o_totalprice AS DECIMAL(
         CASE WHEN o_orderstatus = 'P' THEN CAST(0.25 AS DECIMAL(18,8)) END AS given,
         o_orderdate AS registered, CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS unlock,
         CASE WHEN o_custkey > 100 THEN CAST(o_custkey / 10.0 AS DECIMAL(18,8)) END AS included
-    FROM orders), paid AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS paid
+    FROM orders), paid AS (SELECT l_orderkey, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS paid
         FROM lineitem GROUP BY 1)"""
 
 
 def derived_accounts(spark, sf):
-    """Orders as accounts: paid is the sum of their lines, terms follow from the priority."""
+    """Orders as accounts: paid is the price of their largest line, terms follow from the priority."""
     orders = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS id",
         "cast(cast(o_totalprice AS decimal(18,2)) AS decimal(18,8)) AS recurring_amount",
@@ -506,7 +506,7 @@ def derived_accounts(spark, sf):
         "cast(o_custkey AS decimal(18,8)) AS cumulative_activation_days",
     )
     paid = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,8)").alias("total_paid")
+        F.max(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,8)").alias("total_paid")
     )
     return orders.join(paid, orders.id == paid.l_orderkey, "left").drop("l_orderkey")
 

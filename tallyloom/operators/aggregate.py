@@ -45,9 +45,8 @@ def new_members(
     insert, are the same as their distinct union.
     """
     cols = [F.col(quoted(src)).alias(dst) for dst, src in set.items()]
-    found = reduce(
-        DataFrame.unionAll, [s.filter(F.col(quoted(key)).isNotNull()).select(*cols) for s in sources]
-    ).distinct()
+    given = [s.filter(F.col(quoted(key)).isNotNull()).select(*cols) for s in sources]
+    found = reduce(DataFrame.unionAll, given).distinct()
     target = next(dst for dst, src in set.items() if src == key)
     return dim.unionByName(lacking(found, target, dim, target), allowMissingColumns=True)
 

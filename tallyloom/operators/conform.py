@@ -111,8 +111,8 @@ def delivered_columns(
         if f.name not in columns:
             continue
         c = quoted(f.name)
-        name = "ID" if f.name == remote_id else c
-        out.append(f"cast({c} AS timestamp_ntz) AS {name}" if f.type == "TIMESTAMPTZ" else f"{c} AS {name}")
+        value = f"cast({c} AS timestamp_ntz)" if f.type == "TIMESTAMPTZ" else c
+        out.append(f"{value} AS {'ID' if f.name == remote_id else c}")
     return out
 
 

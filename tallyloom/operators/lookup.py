@@ -172,11 +172,12 @@ def recode(
     keyed = " AND ".join(f"{quoted(k)} IS NOT NULL" for k in key)
     out = df
     for column, name in columns.items():
+        target, own = f"__target_{column}", f"__own_{column}"
         out = lookup(
-            out.withColumns({f"__target_{column}": F.lit(None).cast("string"), f"__own_{column}": F.lit(False)}),
+            out.withColumns({target: F.expr("cast(NULL AS string)"), own: F.lit(False)}),
             maps.filter(F.col("col") == name),
             on={column: "val"},
-            set={f"__target_{column}": "target", f"__own_{column}": lambda d: F.lit(True)},
+            set={target: "target", own: lambda d: F.lit(True)},
             when=keyed,
             row_key=key,
         )
@@ -231,7 +232,9 @@ def null_on_match(
     )
 
 
-def set_if_exists(df: DataFrame, other: DataFrame, set: Mapping[str, Column], when: Column) -> DataFrame:
+def set_if_exists(
+    df: DataFrame, other: DataFrame, set: Mapping[str, Column], when: Column
+) -> DataFrame:
     """Conditional overwrite that applies only if ``other`` has any row.
 
     The test is a scalar subquery over one row, not a join.

@@ -42,7 +42,13 @@ def one_per_key(staging: DataFrame, key: str, order_by: Sequence[str] = ()) -> D
     return best.selectExpr(*[quoted(c) if c == key else f"__row.{quoted(c)}" for c in names])
 
 
-def _prepared(staging: DataFrame, key: str, where: str | Column | None, order_by, unique) -> DataFrame:
+def _prepared(
+    staging: DataFrame,
+    key: str,
+    where: str | Column | None,
+    order_by: Sequence[str],
+    unique: bool,
+) -> DataFrame:
     if where is not None:
         staging = staging.alias("a").filter(where)
     if unique:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import traceback
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from datetime import datetime
 from functools import cache
 
@@ -211,7 +211,7 @@ def run_all(
             except Exception as error:
                 text = "".join(traceback.format_exception_only(error)).strip()
                 done = Outcome(provider.name, table, "failed", message=text[:2000])
-            outcomes.append((run, done.provider, done.table, done.status, done.version, done.message))
+            outcomes.append((run, *astuple(done)))
     log = ws.store.spark.createDataFrame(
         outcomes,
         "run string, provider string, table string, status string, version int, message string",

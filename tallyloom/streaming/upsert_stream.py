@@ -18,7 +18,11 @@ from tallyloom.spec import Provider
 
 
 def read_landing(
-    spark: SparkSession, folder: str, header: list[str], sep: str = ",", max_files: int | None = None
+    spark: SparkSession,
+    folder: str,
+    header: list[str],
+    sep: str = ",",
+    max_files: int | None = None,
 ) -> DataFrame:
     """CSV files as they land, every column text."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
