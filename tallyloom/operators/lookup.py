@@ -107,13 +107,14 @@ def _one_per_key(keyed: DataFrame) -> DataFrame:
 def _apply(facts, keyed, fks, set, when, only_null, row_key, hot) -> DataFrame:
     # The salt is a join key on both sides. It scatters fact rows without a key
     # and those of hot keys, and gives both sides a shuffle of their own, without
-    # which AQE does not split the partitions of keys nobody listed as hot.
+    # which AQE does not split the partitions of keys nobody listed as hot. Its
+    # plain value 0 is computed, since a literal would be folded out of the join.
     dim = _one_per_key(keyed)
     types = {f.name: f.dataType for f in facts.schema.fields}
     helpers = ["__salt", *dim.columns]
     row = f"xxhash64({', '.join(quoted(c) for c in (row_key or types))})"
     keyless = " OR ".join(f"{quoted(fk)} IS NULL" for fk in fks)
-    spread, dim_salt = "", "CASE WHEN __k0 IS NULL THEN 1 ELSE 0 END"
+    spread, dim_salt = "", "cast(pmod(xxhash64(__k0), 1) AS int)"
     if hot:
         listed = ", ".join(literal(v) if isinstance(v, str) else str(v) for v in hot)
         spread = f"WHEN {quoted(fks[0])} IN ({listed}) THEN pmod({row}, {HOT_SPLITS})"
@@ -121,7 +122,8 @@ def _apply(facts, keyed, fks, set, when, only_null, row_key, hot) -> DataFrame:
             f"explode(CASE WHEN __k0 IN ({listed}) THEN sequence(0, {HOT_SPLITS - 1}) "
             "ELSE array(0) END)"
         )
-    salt = f"CASE WHEN {keyless} THEN pmod({row}, {NULL_SPLITS}) + 1 {spread} ELSE 0 END"
+    plain = f"pmod(xxhash64({quoted(fks[0])}), 1)"
+    salt = f"CASE WHEN {keyless} THEN pmod({row}, {NULL_SPLITS}) + 1 {spread} ELSE {plain} END"
     meets = [f"cast({salt} AS int) = __salt"]
     meets += [f"{quoted(fk)} = __k{i}" for i, fk in enumerate(fks)]
     joined = facts.join(

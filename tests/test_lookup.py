@@ -168,3 +168,32 @@ def test_lookup_against_brute_force(spark, facts, dim):
         known = [w for w in hits if w is not None]
         want[i] = (min(known) if known else None) if hits and v is None else v
     assert got == want
+
+
+def test_keys_nobody_listed_are_split_by_aqe(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    kept = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(0, 60_000, 1, 8).selectExpr(
+            "id", "CASE WHEN id < 20000 THEN 'hot' ELSE concat('k', id) END AS k"
+        )
+        dim = spark.range(0, 60_000, 1, 4).selectExpr("concat('k', id) AS k", "id AS v")
+        dim = dim.union(spark.sql("SELECT 'hot', -1L"))
+        out = lookup.lookup(facts, dim, {"k": "k"}, {"v": "v"}, row_key=["id"])
+        assert out.agg(F.count("*"), F.min("v")).head()[:] == (60_000, -1)
+        # the plan of the action itself is final only after it has run
+        out.write.format("noop").mode("overwrite").save()
+        frame = out.select("id", "v")
+        frame.collect()
+        assert "skew=true" in plan_of(frame)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
