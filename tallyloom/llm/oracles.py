@@ -40,3 +40,23 @@ SELECT p.page_id, host, path, b.rule,
             ELSE 'allow' END AS verdict
 FROM parts p LEFT JOIN best b USING (page_id)
 """
+
+NEAR = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * pairs.n >= 80 * (x.n + y.n - pairs.n)),
+either AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach(a, b) AS (SELECT a, b FROM either UNION SELECT r.a, e.b FROM reach r JOIN either e ON r.b = e.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(l.b, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.a = d.doc_id
+"""

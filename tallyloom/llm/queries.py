@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import oracles, pii, quality, secrets, urls, warczip
+from tallyloom.llm import neardup, oracles, pii, quality, secrets, urls, warczip
 from tallyloom.session import configure, freeze, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 # Rows per Arrow batch: operators cut batches by bytes, this bounds what one batch holds.
-BATCH_ROWS = "1000"
+BATCH_ROWS = "256"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -91,3 +91,10 @@ SITES = (
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by site rules, then by the default patterns."""
     return urls.judge_urls(table(spark, sf_dir, "pages"), SITES + urls.PATTERNS)
+
+
+@query("op5_minhash_near_dup", oracles.NEAR)
+def minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document, on lower-cased 4-word shingles."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
