@@ -60,3 +60,19 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.d
        d.doc_id <= coalesce(l.b, d.doc_id) AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.a = d.doc_id
 """
+
+REPEATS = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)),
+again AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows JOIN again USING (s)),
+kept AS (
+  SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS t, count(*) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words d LEFT JOIN kept USING (doc_id)
+"""

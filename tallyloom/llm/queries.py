@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import neardup, oracles, pii, quality, secrets, urls, warczip
+from tallyloom.llm import neardup, oracles, pii, quality, secrets, substring, urls, warczip
 from tallyloom.session import configure, freeze, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, on lower-cased 4-word shingles."""
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op2_substring_dedup", oracles.REPEATS)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that no repeated 35-word window covers."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), texts_too=False).drop("kept")
