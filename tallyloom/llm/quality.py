@@ -19,9 +19,13 @@ get the same result. Empty labels: no cutoffs. Texts are read whole.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.session import freeze
+
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = "[#*$%&|<>]"
@@ -114,8 +118,6 @@ def binomial_cdf(x: Column, n: Column, rate: float) -> Column:
 
     Terms from x downwards shrink below the mean, so the sum is scaled by the term at x.
     """
-    import math
-
     odds = math.log((1 - rate) / rate)
 
     def step(acc: Column, k: Column) -> Column:
@@ -166,6 +168,7 @@ def fit(
         .groupBy("stratum", F.col("f.name").alias("name"))
         .agg(F.array_distinct(F.percentile_approx("f.value", list(QUANTILES), 10_000)).alias("cutoffs"))
     )
+    proposed = freeze(proposed, "cutoffs")  # a row per stratum and feature
     tested = (
         rows.where("holdout")
         .select("stratum", F.col("f.name").alias("name"), F.col("f.value").alias("value"))
@@ -174,10 +177,8 @@ def fit(
         .groupBy("stratum", "name", "cutoff")
         .agg(F.count("*").alias("n"), F.count(F.when(F.col("value") > F.col("cutoff"), 1)).alias("x"))
     )
-    size = tested.agg(F.count("*").alias("candidates"))
-    passed = tested.crossJoin(F.broadcast(size)).where(  # one row
-        binomial_cdf(F.col("x"), F.col("n"), alpha / len(FEATURES)) <= delta / F.col("candidates")
-    )
+    candidates = proposed.agg(F.sum(F.size("cutoffs"))).first()[0] or 1
+    passed = tested.where(binomial_cdf(F.col("x"), F.col("n"), alpha / len(FEATURES)) <= delta / candidates)
     best = passed.groupBy("stratum", "name").agg(F.min("cutoff").alias("cutoff"))
     return best.groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("name", "cutoff"))).alias("cutoffs")  # at most one per feature

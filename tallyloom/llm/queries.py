@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import neardup, oracles, pii, quality, secrets, substring, urls, warczip
+from tallyloom.llm import containment, neardup, oracles, pii, quality, secrets, substring, urls, warczip
 from tallyloom.session import configure, freeze, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,9 @@ def minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that no repeated 35-word window covers."""
     return substring.remove_repeats(table(spark, sf_dir, "documents"), texts_too=False).drop("kept")
+
+
+@query("op1_benchmark_containment", oracles.LEAKS)
+def benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in every document."""
+    return containment.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
