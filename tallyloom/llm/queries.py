@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import containment, neardup, oracles, pii, quality, secrets, substring, urls, warczip
+from tallyloom.llm import containment, lines, neardup, oracles, pii, quality, secrets, substring, urls, warczip
 from tallyloom.session import configure, freeze, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,10 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document."""
     return containment.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_line_alignment")
+def line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document loses to earlier ones, and a digest of what is left."""
+    done = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "line_dedup.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
