@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import containment, lines, neardup, oracles, pii, quality, secrets, substring, urls, warczip
+from tallyloom.llm import containment, lines, neardup, oracles, packing, pii, quality, secrets, substring, urls, warczip
 from tallyloom.session import configure, freeze, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 # Rows per Arrow batch: operators cut batches by bytes, this bounds what one batch holds.
 BATCH_ROWS = "256"
 
@@ -117,3 +120,9 @@ def line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that every document loses to earlier ones, and a digest of what is left."""
     done = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "line_dedup.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op7_bm25_packing")
+def bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
