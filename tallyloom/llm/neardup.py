@@ -81,11 +81,12 @@ def _sketcher(k: int, lower: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(row, texts),
+                        batch["key"].slice(row, texts),
                         pa.array(np.diff(bounds), pa.int64()),
                         pa.array(fingerprints(values, bounds), pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * COORDINATES, pa.int32()), flat),
                     ],
-                    names=["doc_id", "n", "node", "sig"],
+                    names=["doc_id", "key", "n", "node", "sig"],
                 )
 
     return sketch
@@ -139,9 +140,9 @@ def _close(n: Column, m: Column, percent: int) -> Column:
 
 
 def sketches(docs: DataFrame, k: int, lower: bool, id: str = "doc_id", text: str = "text") -> DataFrame:
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return freeze(rows.mapInArrow(_sketcher(k, lower), f"doc_id {kind}, n long, node binary, sig array<long>"), "sketches")
+    return freeze(rows.mapInArrow(_sketcher(k, lower), f"doc_id {kind}, key long, n long, node binary, sig array<long>"), "sketches")
 
 
 def links(docs: DataFrame, sketched: DataFrame, k: int, lower: bool, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,23 +204,21 @@ def links(docs: DataFrame, sketched: DataFrame, k: int, lower: bool, percent: in
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool = True, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, node (its class, null without shingles), component_id, kept."""
+    """Per row: doc_id, n_shingles, component_id, kept, node (its class, null without shingles), key (hash of the text)."""
     sketched = sketches(docs, k, lower, id, text)
     labels = components(links(docs, sketched, k, lower, percent, id, text))
     classes = sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = named.groupBy("component").agg(F.min(F.struct(F.col("least").isNull(), "least", "node")).alias("first"))
-    named = named.join(lowest, "component").select(
-        "node", F.col("first.least").alias("component_id"), (F.col("first.node") == F.col("node")).alias("leads")
-    )
+    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(lowest, "component").select("node", "component_id")
     # copies may be a third of all rows: their class is a hot key of the side that is split
-    full = sketched.where("n > 0").select("doc_id", "n", "node").join(named, "node", "left")
-    bare = sketched.where("n = 0").select("doc_id", "n", "node").withColumn("component_id", F.col("doc_id")).withColumn("leads", F.lit(True))
+    full = sketched.where("n > 0").select("doc_id", "key", "n", "node").join(named, "node", "left")
+    bare = sketched.where("n = 0").select("doc_id", "key", "n", "node").withColumn("component_id", F.col("doc_id"))
     return full.unionByName(bare).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         "node",
-        "leads",
+        "key",
     )
