@@ -1,29 +1,79 @@
-"""Training-data pipeline over ``documents``, stage by stage."""
+"""Training-data pipeline over ``documents``: quality, line dedup, near-dedup, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir), works on everything its predecessor kept and returns
+the columns of documents, the last one pieces of packed sequences. Rows without an id, or that
+share one, are handled as the operators state it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import quality
-from tallyloom.llm.queries import prepare, table
+from tallyloom.llm import containment, lines, neardup, packing, quality
+from tallyloom.llm.queries import TOKENIZER, prepare, table
 from tallyloom.session import freeze
 
 
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the fitted cutoffs reject."""
     prepare(spark)
-    measured = quality.measure(docs, into="_q")
-    cutoffs = freeze(quality.fit(measured, table(spark, sf_dir, "labels"), q="_q"), "cutoffs")
-    judged = quality.judge(measured, cutoffs, q="_q", into="_verdict")
-    return judged.where("_verdict.kept").select(*docs.columns)
+    measured = quality.measure(docs, into="_q").select("doc_id", "lang", F.xxhash64("text").alias("_key"), "_q")
+    narrow = freeze(measured, "quality")
+    judged = quality.judge(narrow, quality.fit(narrow, table(spark, sf_dir, "labels"), q="_q"), q="_q", into="_verdict")
+    gone = judged.where("not _verdict.kept").select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "lang", "_key")]).distinct()
+    gone = freeze(gone, "rejected")
+    same = (
+        docs["doc_id"].eqNullSafe(gone["_doc_id"])
+        & docs["lang"].eqNullSafe(gone["_lang"])
+        & (F.xxhash64(docs["text"]) == gone["__key"])
+    )
+    return docs.join(gone, same, "left_anti")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that align with an earlier document; those left without a word go."""
+    done = lines.dedup_lines(docs, into="_lines").where("not _lines.emptied")
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("_lines.n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        done = done.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return done.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id."""
+    found = neardup.near_duplicates(docs)
+    gone = found.where("node is not null and not kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    gone = freeze(gone, "copies")
+    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_key"])
+    return docs.join(gone, same, "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    hits = containment.find_items(docs, table(spark, sf_dir, "benchmark"))
+    hits = freeze(hits.select(F.col("doc_id").alias("_id")).distinct(), "hits")
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_id"]), "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences."""
+    return packing.pack(docs, TOKENIZER)
 
 
-STAGES = [("quality", quality_stage)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written to the shared folder and read again."""
     docs = table(prepare(spark), sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = freeze(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
