@@ -76,15 +76,17 @@ def lnglat_text(c: Column, parity: bool = False) -> Column:
 
 
 def point(c: Column) -> Column:
-    """``lng lat`` text to a point; malformed text fails."""
+    """``lng lat`` text to a point; text that is not exactly two numbers fails."""
+    refused = F.raise_error(F.concat(F.lit("not a point: "), c))
+    return F.when(c.isNotNull(), F.coalesce(try_point(c), refused))
+
+
+def try_point(c: Column) -> Column:
+    """The same, with null for text that is not exactly two numbers."""
     parts = F.split(F.trim(c), r"\s+")
-    return F.when(
-        c.isNotNull(),
-        F.struct(
-            F.element_at(parts, 1).cast("double").alias("lng"),
-            F.element_at(parts, 2).cast("double").alias("lat"),
-        ),
-    )
+    lng, lat = (F.get(parts, i).try_cast("double") for i in (0, 1))
+    whole = (F.size(parts) == 2) & lng.isNotNull() & lat.isNotNull()
+    return F.when(whole, F.struct(lng.alias("lng"), lat.alias("lat")))
 
 
 def latitude(p: Column, parity: bool = False) -> Column:
@@ -110,12 +112,12 @@ def first_match(c: Column, pattern: str) -> Column:
     return F.regexp_substr(c, F.lit(pattern))
 
 
-def boolean_text(c: Column) -> Column:
+def boolean_text(c: Column, strict: bool = True) -> Column:
     word = F.lower(F.trim(c))
     return (
         F.when(word.isin(*TRUE_WORDS), True)
         .when(word.isin(*FALSE_WORDS), False)
-        .otherwise(c.cast("boolean"))
+        .otherwise(c.cast("boolean") if strict else c.try_cast("boolean"))
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,6 @@ from tallyloom.functions import cells
 from tallyloom.spec import Field, Provider, quoted
 
 
-CASTABLE = ("INT", "BIGINT", "DECIMAL", "TIMESTAMPTZ")
-
-
 def source_column(headers: Sequence[str], source: str) -> Column | None:
     """Expression of a mapped source: a header, ``a+b`` or ``a|b``; None if absent.
 
@@ -78,9 +76,9 @@ def typed(f: Field, strict: bool = True) -> Column:
     if f.type == "TEXT":
         return c
     if f.type == "GEOGRAPHY":
-        return cells.point(c).alias(f.name)
+        return (cells.point(c) if strict else cells.try_point(c)).alias(f.name)
     if f.type == "BOOLEAN":
-        return cells.boolean_text(c).alias(f.name)
+        return cells.boolean_text(c, strict).alias(f.name)
     cast = "cast" if strict else "try_cast"
     return F.expr(f"{cast}({quoted(f.name)} AS {f.spark_type}) AS {quoted(f.name)}")
 
@@ -93,13 +91,17 @@ def typed_select(df: DataFrame, fields: Sequence[Field], strict: bool = True) ->
 
 def bad_casts(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Staged rows with a value that its declared type refuses, for quarantine."""
-    headers = df.columns
-    refused = [
-        f"({c} IS NOT NULL AND try_cast({c} AS {f.spark_type}) IS NULL)"
-        for f in fields
-        if f.name in headers and f.type in CASTABLE and (c := quoted(f.name))
-    ]
-    return df.filter(" OR ".join(refused) or "false")
+    known = [f for f in fields if f.name in df.columns and f.type != "TEXT"]
+    refused = [F.col(quoted(f.name)).isNotNull() & _untyped(f).isNull() for f in known]
+    return df.filter(reduce(Column.__or__, refused, F.lit(False)))
+
+
+def _untyped(f: Field) -> Column:
+    """The value of a staged text, or null where a strict cast would fail."""
+    c = F.col(quoted(f.name))
+    if f.type == "GEOGRAPHY":
+        return cells.try_point(c)
+    return cells.boolean_text(c, strict=False) if f.type == "BOOLEAN" else c.try_cast(f.spark_type)
 
 
 def delivered_columns(

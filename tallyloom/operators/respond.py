@@ -15,18 +15,37 @@ SUCCESS = "Success"
 REFUSED = "errorlist"
 
 # How markup characters are written inside a value.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
 
 _RESULT = r"(?s)<result\b[^>]*>.*?</result>"
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|lt|gt|quot|apos|amp);"
+
+
+def _decoded(text: Column) -> Column:
+    """Character references as characters, each once; a CDATA section as it stands."""
+    literal = F.regexp_extract(text, r"(?s)\A\s*<!\[CDATA\[(.*?)\]\]>\s*\z", 1)
+    gaps = F.split(text, _REFERENCE, -1)
+    names = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1))
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def char(name: Column) -> Column:
+        hexed = F.conv(F.substring(name, 3, 6), 16, 10).cast("int")
+        code = F.when(name.rlike("^#[xX]"), hexed).otherwise(F.substring(name, 2, 7).try_cast("int"))
+        # the UTF-32 form of a code point is its number in four bytes
+        wide = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(name.startswith("#"), wide).otherwise(F.element_at(known, name))
+
+    plain = F.array_join(
+        F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(char(F.get(names, i)), F.lit("")))), ""
+    )
+    return F.when(F.ltrim(text).startswith("<![CDATA["), literal).when(F.contains(text, F.lit("&")), plain).otherwise(text)
 
 
 def _named(fragment: Column, name: str) -> Column:
     """Text of the value under the element of that name, at any depth; null if none."""
-    pattern = rf"""\bname\s*=\s*["']{re.escape(name)}["'][^>]*>\s*<value>([^<]*)</value>"""
-    text = F.regexp_extract(fragment, pattern, 1)
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.nullif(text, F.lit(""))
+    value = r"((?:<!\[CDATA\[.*?\]\]>|[^<])*)"
+    pattern = rf"""(?s)\bname\s*=\s*["']{re.escape(name)}["'][^>]*>\s*<value>{value}</value>"""
+    return F.nullif(_decoded(F.regexp_extract(fragment, pattern, 1)), F.lit(""))
 
 
 def response_errors(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -44,16 +63,34 @@ def response_errors(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataF
     return df.select(*kept, F.explode(rows).alias("status"))
 
 
+def _results(df: DataFrame, text: str, key: str, id_col: str, keep: Sequence[str]) -> DataFrame:
+    results = F.regexp_extract_all(F.col(quoted(text)), F.lit(_RESULT), F.lit(0))
+    pairs = F.transform(
+        results,
+        lambda r: F.struct(_named(r, key).alias(key), _named(r, id_col).alias(id_col), r.alias("result")),
+    )
+    return df.select(*[F.col(quoted(c)) for c in keep], F.inline(pairs))
+
+
 def response_ids(
     df: DataFrame, text: str, key: str, id_col: str = "ID", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Pairs of external key and remote identifier, matched by field name.
 
-    A result that lacks either field, or is cut short, gives no row.
+    A result that lacks either field gives no row here; ``response_unpaired`` lists it.
     """
-    results = F.regexp_extract_all(F.col(quoted(text)), F.lit(_RESULT), F.lit(0))
-    pairs = F.transform(
-        results, lambda r: F.struct(_named(r, key).alias(key), _named(r, id_col).alias(id_col))
-    )
-    whole = F.filter(pairs, lambda p: p[key].isNotNull() & p[id_col].isNotNull())
-    return df.select(*[F.col(quoted(c)) for c in keep], F.inline(whole))
+    found = _results(df, text, key, id_col, keep)
+    return found.where(F.col(quoted(key)).isNotNull() & F.col(quoted(id_col)).isNotNull()).drop("result")
+
+
+def response_unpaired(
+    df: DataFrame, text: str, key: str, id_col: str = "ID", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Results without a readable key or identifier, with their text, and results cut short."""
+    found = _results(df, text, key, id_col, keep)
+    lacking = found.where(F.col(quoted(key)).isNull() | F.col(quoted(id_col)).isNull())
+    rest = F.regexp_replace(F.col(quoted(text)), _RESULT, "")
+    cut = F.regexp_extract(rest, r"(?s)<result\b.*", 0)
+    none = F.lit(None).cast("string")
+    short = df.select(*[F.col(quoted(c)) for c in keep], none.alias(key), none.alias(id_col), cut.alias("result"))
+    return lacking.unionByName(short.where("result != ''"))

@@ -33,8 +33,10 @@ def _user(df: DataFrame, ctx: Context, fk: str, row_key: str, **sets: str) -> Da
     """Set columns from the user whose identifier, at either provider, is ``fk``.
 
     ``user_id`` and ``full_name`` are always carried, so all lookups of one
-    table share one reduced user side.
+    table share one reduced user side. Where only the identifier is set, users
+    without one are no candidates.
     """
+    only_id = set(sets.values()) == {"user_id"}
     return lookup_any_key(
         df,
         fk,
@@ -42,6 +44,7 @@ def _user(df: DataFrame, ctx: Context, fk: str, row_key: str, **sets: str) -> Da
         USER_KEYS,
         sets,
         carry=["user_id", "full_name"],
+        dim_where="user_id IS NOT NULL" if only_id else None,
         pick=["user_id"],
         row_key=[row_key],
         hot=ctx.heavy(fk),

@@ -210,7 +210,7 @@ def run_all(
                 done = run_table(ws, provider, table, extracts(provider, table), as_of, run)
             except Exception as error:
                 text = "".join(traceback.format_exception_only(error)).strip()
-                done = Outcome(provider.name, table, "failed", message=text[:2000])
+                done = Outcome(provider.name, table, "failed", message=text)
             outcomes.append((run, *astuple(done)))
     log = ws.store.spark.createDataFrame(
         outcomes,

@@ -1,13 +1,16 @@
 """Core and staging tables as Parquet snapshots under one root.
 
-``<root>/core/<table>/v=<n>`` holds a whole table. A run reads the newest
-complete version and writes the next one, so readers never see half a run and
-a failed run leaves nothing behind that counts. Two runs that overlap write the
-same next version; the second one fails instead of overwriting the first.
+A version is written to a folder of its own, ``<root>/core/<table>/data-<uuid>``, and
+published by creating the small file ``<root>/core/<table>/v=<n>`` that names the folder, which
+fails if the version exists. So readers never see half a run, a failed run leaves only a
+folder that nothing names, and of two runs that overlap one publishes and the other fails,
+without a row of it in the table. Staging goes to a folder per attempt; the newest finished
+attempt counts, so a run can be repeated under its id.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -23,15 +26,23 @@ class Store:
     root: str
 
     def core_path(self, table: str, version: int) -> str:
-        return f"{self.root}/core/{table}/v={version}"
+        """The folder that holds a published version."""
+        return f"{self.root}/core/{table}/{_read(self.spark, self._mark(table, version))}"
 
     def staging_path(self, provider: str, table: str, run: str) -> str:
         return f"{self.root}/staging/{provider}/{table}/run={run}"
 
+    def _mark(self, table: str, version: int) -> str:
+        return f"{self.root}/core/{table}/v={version}"
+
+    def versions(self, table: str) -> list[int]:
+        """Published versions, oldest first."""
+        found = _glob(self.spark, f"{self.root}/core/{table}/v=*")
+        return sorted(int(p.rsplit("/v=", 1)[1]) for p, _ in found)
+
     def latest(self, table: str) -> int | None:
-        """Newest version whose write has finished."""
-        found = _glob(self.spark, f"{self.root}/core/{table}/v=*/_SUCCESS")
-        return max((int(p.split("/v=")[1].split("/")[0]) for p, _ in found), default=None)
+        """Newest published version."""
+        return max(self.versions(table), default=None)
 
     def read_core(
         self, table: str, version: int | None = None, columns: Sequence[str] | None = None
@@ -46,24 +57,54 @@ class Store:
         return self.latest(table) is not None
 
     def write_core(self, table: str, df: DataFrame, after: int | None = None) -> int:
-        """Write the version after ``after``, the one the caller has read."""
+        """Write the version after ``after``, the one the caller has read, and publish it.
+
+        Fails, with the table as it was, if that version has been published meanwhile.
+        """
         version = 0 if after is None else after + 1
-        df.write.mode("errorifexists").parquet(self.core_path(table, version))
+        folder = f"data-{uuid.uuid4().hex}"
+        path = f"{self.root}/core/{table}/{folder}"
+        try:
+            df.write.mode("errorifexists").parquet(path)
+            _create(self.spark, self._mark(table, version), folder)
+        except BaseException:
+            _delete(self.spark, path)
+            raise
         return version
 
     def expire(self, table: str, keep: int = 2) -> list[int]:
-        """Drop all but the newest ``keep`` finished versions; returns what was dropped."""
-        found = _glob(self.spark, f"{self.root}/core/{table}/v=*/_SUCCESS")
-        versions = sorted(int(p.split("/v=")[1].split("/")[0]) for p, _ in found)
-        old = versions[: -max(keep, 1)]
+        """Drop all but the newest ``keep`` versions; returns what was dropped."""
+        old = self.versions(table)[: -max(keep, 1)]
         for version in old:
-            _delete(self.spark, self.core_path(table, version))
+            path = self.core_path(table, version)
+            _delete(self.spark, self._mark(table, version))
+            _delete(self.spark, path)
         return old
 
+    def expire_staging(self, provider: str, table: str, keep: int = 2) -> int:
+        """Drop all finished staging attempts but the newest ``keep``; returns their number."""
+        found = sorted((t, p.rsplit("/", 1)[0]) for p, t in self._staged(provider, table))
+        old = [path for _, path in found[: -max(keep, 1)]]
+        for path in old:
+            _delete(self.spark, path)
+        return len(old)
+
+    def orphans(self, table: str, older_than_ms: int) -> list[str]:
+        """Folders that no version names, last changed before that time; drop them with ``drop``."""
+        named = {self.core_path(table, v) for v in self.versions(table)}
+        found = _glob(self.spark, f"{self.root}/core/{table}/data-*")
+        return [p for p, t in found if t < older_than_ms and not any(p.endswith(n.rsplit("/", 1)[1]) for n in named)]
+
+    def drop(self, paths: Sequence[str]) -> None:
+        for path in paths:
+            _delete(self.spark, path)
+
+    def _staged(self, provider: str, table: str) -> list[tuple[str, int]]:
+        return _glob(self.spark, f"{self.root}/staging/{provider}/{table}/run=*/attempt=*/_SUCCESS")
+
     def latest_staging(self, provider: str, table: str) -> str | None:
         """Path of the staging run that was finished last."""
-        found = _glob(self.spark, f"{self.root}/staging/{provider}/{table}/run=*/_SUCCESS")
-        runs = [(finished, p.rsplit("/", 1)[0]) for p, finished in found]
+        runs = [(finished, p.rsplit("/", 1)[0]) for p, finished in self._staged(provider, table)]
         return max(runs)[1] if runs else None
 
     def write_staging(self, provider: str, table: str, run: str, df: DataFrame) -> DataFrame:
@@ -74,7 +115,7 @@ class Store:
         """
         seen = Observation(f"staged-{provider}-{table}-{run}")
         counts = [F.expr(f"count({quoted(c)}) AS {quoted(c)}") for c in df.columns]
-        path = self.staging_path(provider, table, run)
+        path = f"{self.staging_path(provider, table, run)}/attempt={uuid.uuid4().hex}"
         df.observe(seen, *counts).write.mode("errorifexists").parquet(path)
         filled = [c for c in df.columns if seen.get[c] > 0]
         return self.spark.read.schema(df.schema).parquet(path).selectExpr(*map(quoted, filled))
@@ -82,10 +123,6 @@ class Store:
     def complete(self, path: str) -> bool:
         return bool(_glob(self.spark, f"{path}/_SUCCESS"))
 
-    def attempts(self, provider: str, table: str, run: str) -> int:
-        """How often staging of ``run`` was begun, finished or not."""
-        return len(_glob(self.spark, f"{self.root}/staging/{provider}/{table}/run={run}-*"))
-
     def append_log(self, name: str, df: DataFrame) -> None:
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/log/{name}")
 
@@ -103,3 +140,25 @@ def _glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
 def _delete(spark: SparkSession, name: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _file(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _create(spark: SparkSession, name: str, text: str) -> None:
+    """A new small file; fails if there is one."""
+    fs, path = _file(spark, name)
+    out = fs.create(path, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read(spark: SparkSession, name: str) -> str:
+    fs, path = _file(spark, name)
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -75,8 +75,7 @@ def stream_upsert(
         if ws.store.complete(mark):
             return
         spark = batch.sparkSession
-        attempt = ws.store.attempts(provider.name, table, f"{stream}-{number:010d}")
-        done = run_table(ws, provider, table, batch, as_of, f"{stream}-{number:010d}-{attempt}")
+        done = run_table(ws, provider, table, batch, as_of, f"{stream}-{number:010d}")
         if done.status == "failed":
             raise RuntimeError(done.message)
         spark.createDataFrame([(number, done.status)], "batch bigint, status string").coalesce(

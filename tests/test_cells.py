@@ -124,6 +124,28 @@ def test_strict_casts_fail_as_the_database_would(spark, text):
     assert lenient.head()["n"] is None
 
 
+def test_anything_but_two_numbers_is_no_point(spark):
+    for text in ("1 2 3", "1", "a b", ""):
+        with pytest.raises(Exception, match="not a point"):
+            one(spark, cells.point(F.col("x")), x=text)
+        assert one(spark, cells.try_point(F.col("x")), x=text) is None
+
+
+def test_bad_casts_of_all_types(spark):
+    fields = [Field("t", "n", "INT"), Field("t", "b", "BOOLEAN"), Field("t", "g", "GEOGRAPHY"), Field("t", "s", "TEXT")]
+    df = spark.createDataFrame(
+        [("1", "yes", "1 2", "x"), ("x", "no", "1 2", "x"), ("1", "maybe", "1 2", "x"), ("1", "true", "1 2 3", "x"), (None, None, None, None)],
+        "n string, b string, g string, s string",
+    )
+    assert [tuple(r)[:3] for r in conform.bad_casts(df, fields).collect()] == [
+        ("x", "no", "1 2"),
+        ("1", "maybe", "1 2"),
+        ("1", "true", "1 2 3"),
+    ]
+    assert conform.typed_select(df, fields, strict=False).count() == 5
+    assert sum(r.b is None for r in conform.typed_select(df, fields, strict=False).collect()) == 2
+
+
 def test_bad_casts_and_decimal_scale(spark):
     fields = [Field("t", "n", "INT"), Field("t", "d", "DECIMAL")]
     df = spark.createDataFrame([(" 12 ", "12.55"), ("x", "1"), (None, None)], "n string, d string")

@@ -91,3 +91,15 @@ def test_responses(spark):
     assert ids == [(1, "a&b", "7"), (1, "q", "8")]
     errors = sorted((tuple(r) for r in respond.response_errors(df, "t", ["b"]).collect()), key=repr)
     assert errors == [(1, "Bad"), (2, None)]
+
+
+def test_references_cdata_and_unpaired_results(spark):
+    text = (
+        '<result><field name="key"><value><![CDATA[A<1&amp;]]></value></field><field name="ID"><value>1</value></field></result>'
+        '<result><field name="key"><value>A&#39;2&#x41;&amp;lt;</value></field><field name="ID"><value>2</value></field></result>'
+        '<result><field name="key"><value>only</value></field></result><result><field name="key"><value>cut'
+    )
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "b int, t string")
+    assert sorted(tuple(r) for r in respond.response_ids(df, "t", "key").collect()) == [("A'2A&lt;", "2"), ("A<1&amp;", "1")]
+    unpaired = respond.response_unpaired(df, "t", "key", keep=["b"]).collect()
+    assert sorted((r.b, r.key) for r in unpaired if r.key) == [(1, "only")] and len(unpaired) == 2

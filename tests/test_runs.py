@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.operators.skew import heavy_keys
 from tallyloom.plans import delivery_run
@@ -218,6 +219,33 @@ def test_a_concurrent_version_is_not_overwritten(spark, ws):
         ws.store.write_core("payments", ws.core("payments"), after=None)
 
 
+def test_a_failed_write_does_not_block_the_table(spark, ws, rows):
+    run_table(ws, UPYA, "payments", pay(spark, ("t1", "2024-01-05", "A1", "g", "1")), NOW, "r1")
+    broken = ws.core("payments").withColumn("group", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        ws.store.write_core("payments", broken, after=0)
+    assert ws.store.latest("payments") == 0 and ws.store.orphans("payments", 1 << 62) == []
+    done = run_table(ws, UPYA, "payments", pay(spark, ("t2", "2024-01-06", "A1", "g", "2")), NOW, "r1")
+    assert done.version == 1 and ws.core("payments").count() == 2
+
+
+def test_of_two_overlapping_writers_one_wins(spark, ws):
+    ws.store.write_core("country", spark.range(1))
+    first, second = spark.range(2), spark.range(3)
+    assert ws.store.write_core("country", first, after=0) == 1
+    with pytest.raises(Exception, match="(?i)exists"):
+        ws.store.write_core("country", second, after=0)
+    assert ws.store.read_core("country").count() == 2 and ws.store.orphans("country", 1 << 62) == []
+
+
+def test_a_run_can_be_repeated_under_its_id(spark, ws):
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    for _ in range(3):
+        assert ws.store.write_staging("upya", "payments", "r1", df).columns == ["a"]
+    assert ws.store.latest_staging("upya", "payments") is not None
+    assert ws.store.expire_staging("upya", "payments", keep=1) == 2
+
+
 def test_old_versions_can_be_dropped(spark, ws):
     for n in range(4):
         ws.store.write_core("country", spark.range(n + 1), after=None if n == 0 else n - 1)
