@@ -115,7 +115,8 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
     found = freeze(rows.mapInArrow(lambda x: _numbered(x, min_words), f"doc {kind}, pos int, line binary"), "lines")
     # a line in very many documents combines before the shuffle; the join back splits it
     owners = found.groupBy("line").agg(F.min(F.struct("doc", "pos")).alias("owner"), F.count("*").alias("df"))
-    met = found.join(owners.where("df > 1"), "line", "left").select(
+    owners = freeze(owners.where("df > 1"), "owners")
+    met = found.join(owners, "line", "left").select(
         "doc", "pos", F.col("owner.doc").alias("partner"), F.col("owner.pos").alias("owner_pos"), F.coalesce("df", F.lit(1)).alias("df")
     )
     met = freeze(met, "met")

@@ -91,10 +91,9 @@ def measure(docs: DataFrame, text: str = "text", into: str = "q") -> DataFrame:
         " 0L, (a, x) -> a + x)"
     )
     df = df.withColumn("n_repeat_words", repeat)
-    return df.select(
-        *[F.col("row").getField(c).alias(c) for c in kept],
-        F.struct(*COUNTS, "n_lines").alias(into),
-    )
+    # a generator keeps later filters above it: pushed down, they would repeat the steps above
+    df = df.select(F.explode(F.array(F.struct("row", F.struct(*COUNTS, "n_lines").alias("q")))).alias("x"))
+    return df.select(*[F.col("x.row").getField(c).alias(c) for c in kept], F.col("x.q").alias(into))
 
 
 def _features(q: str) -> Column:

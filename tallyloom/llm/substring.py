@@ -131,7 +131,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id:
     pieces = freeze(pieces, "pieces")
     # copies of a minimiser combine before the shuffle; the join back is split where it is hot
     met = pieces.groupBy("m").agg(F.count("*").alias("copies"), (F.min("p") == F.max("p")).alias("equal")).where("copies > 1")
-    met = freeze(pieces.join(met.select("m", "equal"), "m"), "met")
+    # written before the join, or the join could not split a minimiser that very many texts share
+    met = freeze(pieces.join(freeze(met.select("m", "equal"), "minimisers"), "m"), "met")
     equal = met.where("equal").select("doc_id", "key", "start", "n")
 
     branching = met.where("not equal")
@@ -148,6 +149,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id:
     edges = freeze(edges.dropDuplicates(["m", "p", "offset"]), "edges")
     again = edges.groupBy("m", "edge").agg(F.sum("copies").alias("copies")).where("copies > 1").select("m", "edge")
     offsets = edges.join(again, ["m", "edge"]).groupBy("m", "p").agg(F.collect_list("offset").alias("offsets"))
+    offsets = freeze(offsets, "offsets")
     single = branching.join(offsets, ["m", "p"]).select("doc_id", "key", "start", F.explode("offsets").alias("offset"))
     return equal.union(single.select("doc_id", "key", (F.col("start") + F.col("offset")).alias("start"), F.lit(1).alias("n")))
 
