@@ -452,8 +452,7 @@ def new_members(spark, sf):
 
 @check(
     "new_members_pair",
-    """WITH dim AS (SELECT DISTINCT p_brand AS product, 'Q' || p_size AS grp FROM part
-            WHERE p_type = 'SMALL'),
+    """WITH dim AS (SELECT DISTINCT p_brand AS product, 'Q' || p_size AS grp FROM part),
     first AS (SELECT DISTINCT l_returnflag AS product, 'Q' || CAST(l_quantity * 2 AS INTEGER) AS grp
         FROM lineitem),
     one AS (SELECT * FROM dim UNION ALL SELECT * FROM first
@@ -463,12 +462,8 @@ def new_members(spark, sf):
     SELECT * FROM one UNION ALL SELECT * FROM second WHERE grp NOT IN (SELECT grp FROM one)""",
 )
 def new_members_pair(spark, sf):
-    known = (
-        table(spark, sf, "part")
-        .filter("p_type = 'SMALL'")
-        .selectExpr("p_brand AS product", "concat('Q', p_size) AS grp")
-        .distinct()
-    )
+    part = table(spark, sf, "part")
+    known = part.selectExpr("p_brand AS product", "concat('Q', p_size) AS grp").distinct()
     first = table(spark, sf, "lineitem").selectExpr(
         "l_returnflag AS product", "concat('Q', cast(l_quantity * 2 AS int)) AS grp"
     )

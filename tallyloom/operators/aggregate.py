@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.lookup import lookup
@@ -56,11 +56,19 @@ def new_member_pairs(
 ) -> DataFrame:
     """``dim`` plus distinct rows of ``columns`` whose ``key`` alone it lacks.
 
-    A new key that comes with two partners adds two rows; a later source is
-    tested against what the earlier ones added, so the steps stay separate.
+    A new key that comes with two partners adds two rows. Sources are inserted one
+    after the other, so of several that bring a new key the first one counts.
     """
-    for source in sources:
-        rows = source.filter(F.col(quoted(key)).isNotNull())
-        found = rows.select(*[F.col(quoted(c)) for c in columns]).distinct()
-        dim = dim.unionByName(lacking(found, key, dim, key), allowMissingColumns=True)
-    return dim
+    if not sources:
+        return dim
+    given = [
+        s.filter(F.col(quoted(key)).isNotNull()).select(
+            *[F.col(quoted(c)) for c in columns], F.lit(number).alias("__source")
+        )
+        for number, s in enumerate(sources)
+    ]
+    # distinct before the window, so a key holds its partners and not its rows
+    rows = reduce(DataFrame.unionAll, given).distinct()
+    earliest = F.min("__source").over(Window.partitionBy(F.col(quoted(key))))
+    found = rows.withColumn("__first", earliest).where("__source = __first").drop("__source", "__first")
+    return dim.unionByName(lacking(found, key, dim, key), allowMissingColumns=True)
