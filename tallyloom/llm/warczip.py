@@ -126,7 +126,7 @@ def directory(ranges: Ranges) -> list[Member]:
     tail_at = max(0, ranges.size - 22 - FULL16)
     tail = ranges.read(tail_at, ranges.size - tail_at)
     at = tail.rfind(struct.pack("<I", END))
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
         at = tail.rfind(struct.pack("<I", END), 0, at)  # a signature inside the comment
     if at < 0:
         raise ValueError("no end of central directory")
