@@ -18,17 +18,11 @@ from tallyloom.session import freeze
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the fitted cutoffs reject."""
     prepare(spark)
-    measured = quality.measure(docs, into="_q").select("doc_id", "lang", F.xxhash64("text").alias("_key"), "_q")
-    narrow = freeze(measured, "quality")
-    judged = quality.judge(narrow, quality.fit(narrow, table(spark, sf_dir, "labels"), q="_q"), q="_q", into="_verdict")
-    gone = judged.where("not _verdict.kept").select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "lang", "_key")]).distinct()
-    gone = freeze(gone, "rejected")
-    same = (
-        docs["doc_id"].eqNullSafe(gone["_doc_id"])
-        & docs["lang"].eqNullSafe(gone["_lang"])
-        & (F.xxhash64(docs["text"]) == gone["__key"])
-    )
-    return docs.join(gone, same, "left_anti")
+    narrow = freeze(quality.measure(docs, into="_q").select("doc_id", "lang", "_q"), "quality")
+    cutoffs = freeze(quality.fit(narrow, table(spark, sf_dir, "labels"), q="_q"), "cutoffs")
+    # measured again instead of joined back, so texts stay where they are
+    judged = quality.judge(quality.measure(docs, into="_q"), cutoffs, q="_q", into="_verdict")
+    return judged.where("_verdict.kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
