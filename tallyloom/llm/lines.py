@@ -139,6 +139,8 @@ def dedup_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, i
     )
     rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns) if c != text] or [F.lit(0).alias("c")]
     rows = docs.select(F.struct(*rest).alias("row"), F.col(text).alias("text"), _doc(id, text).alias("doc"))
+    # the documents that lose lines grow with the corpus, so they are never broadcast
+    gone = gone.hint("merge")
     joined = rows.join(gone, rows["doc.id"].eqNullSafe(gone["id"]) & (rows["doc.key"] == gone["key"]), "left")
     joined = joined.select("row", "text", "gone", F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"), F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
     kind = joined.schema["row"].dataType.simpleString()
