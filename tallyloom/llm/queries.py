@@ -16,8 +16,9 @@ ORACLE: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
-# Rows per Arrow batch: operators cut batches by bytes, this bounds what one batch holds.
-BATCH_ROWS = "256"
+# Rows per Arrow batch: operators cut batches by bytes, this bounds what one batch of very long
+# texts, or of their shingle sets, holds.
+BATCH_ROWS = "64"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
