@@ -2,21 +2,24 @@
 
 Lines are compared with surrounding white space cut off, by a 128-bit hash; the r-th time a
 line stands in a document it is the entry (line, r), so entries are unique in a document. The
-earliest document that has an entry owns it, and a document meets the owners of its entries,
-never all documents that share a line: entries are the unit of work, and a line in a third of
-all documents costs one row per document.
+earliest document that has an entry owns it. A document's lines as a whole are one more entry.
 
-An owner and a later document overlap when they share a rare line: one in at most ``rare``
-documents, or, where all lines of the later document are in more, its rarest. Overlapping
-documents are aligned by patience: of their common entries, the longest sequence that rises in
-both. Aligned entries of consecutive lines form blocks, and blocks are deleted from the later
-document. Every deleted line stays in its owner.
+Entries choose partners: a document meets the owner of each entry that is in at most ``rare``
+documents, or, where all it shares are in more, of the rarest one. Entries that only it has say
+nothing. Each pair is then aligned by patience on all lines the two share, frequent ones and
+those of third owners included: of their common entries, the longest sequence that rises in
+both. Aligned consecutive lines form blocks, and
+blocks are deleted from the later document. A deleted line stays in the earliest document it
+aligns down to.
+
+A pair costs the shared lines of the later document, and a document has at most as many partners
+as lines.
 
 Defined cases: a null text has no lines; blank lines and lines under ``min_words`` words are
-never compared and stay; order is by id, then by a hash of the text, nulls last, so rows that
-share an id are told apart and identical rows are one document, given as often as before. A
-document that loses every line with a word becomes empty and is marked ``emptied``. An empty
-table gives no rows. Texts are read whole.
+never compared and stay; order is by id, then by a hash of the text, nulls
+last, so rows that share an id are told apart and identical rows are one document, given as
+often as before. A document that loses every line with a word becomes empty and is marked
+``emptied``. An empty table gives no rows. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import freeze
@@ -36,22 +39,32 @@ MIN_WORDS = 4
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Entries; position -1 is the whole document."""
     space = b" \t\r\x0b\x0c"
     for batch in batches:
         doc, pos, line = [], [], []
         for row, text in enumerate(batch["text"]):
             seen: dict[bytes, int] = {}
+            whole = hashlib.blake2b(digest_size=16, person=b"whole")
             for i, raw in enumerate((text.as_py() or "").encode().split(b"\n")):
                 cut = raw.strip(space)
+                if not cut:
+                    continue
+                whole.update(cut + b"\n")
                 if len(cut) < 2 * min_words - 1 or len(cut.split(None, min_words - 1)) < min_words:
                     continue
                 seen[cut] = rank = seen.get(cut, -1) + 1
                 doc.append(row)
                 pos.append(i)
                 line.append(hashlib.blake2b(cut, digest_size=16, salt=rank.to_bytes(8, "little")).digest())
+            if seen:
+                doc.append(row)
+                pos.append(-1)
+                line.append(whole.digest())
         if doc:
             taken = batch["doc"].take(pa.array(doc))
-            yield pa.RecordBatch.from_arrays([taken, pa.array(pos, pa.int32()), pa.array(line, pa.binary())], names=["doc", "pos", "line"])
+            columns = [taken, pa.array(pos, pa.int32()), *(pa.array(x, pa.binary()) for x in (line,))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "pos", "line"])
 
 
 def longest_rise(values: list[int]) -> list[int]:
@@ -73,12 +86,12 @@ def longest_rise(values: list[int]) -> list[int]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per pair: positions in the later document that align with the owner, and the number of blocks."""
+    """Per pair: positions in the later document that align with the partner, and the number of blocks."""
     for batch in batches:
         deleted, blocks = [], []
         for listed in batch["common"]:
-            pairs = sorted((x["pos"], x["owner_pos"]) for x in listed.as_py())
-            kept = [pairs[i] for i in longest_rise([p[1] for p in pairs])]
+            pairs = sorted(listed.as_py(), key=lambda x: x["pos"])
+            kept = [(pairs[i]["pos"], pairs[i]["owner_pos"]) for i in longest_rise([x["owner_pos"] for x in pairs])]
             deleted.append([p for p, _ in kept])
             blocks.append(sum(i == 0 or (p - kept[i - 1][0], q - kept[i - 1][1]) != (1, 1) for i, (p, q) in enumerate(kept)))
         yield pa.RecordBatch.from_arrays(
@@ -114,17 +127,18 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
     kind = rows.schema["doc"].dataType.simpleString()
     found = freeze(rows.mapInArrow(lambda x: _numbered(x, min_words), f"doc {kind}, pos int, line binary"), "lines")
     # a line in very many documents combines before the shuffle; the join back splits it
-    owners = found.groupBy("line").agg(F.min(F.struct("doc", "pos")).alias("owner"), F.count("*").alias("df"))
+    owners = found.groupBy("line").agg(F.min("doc").alias("partner"), F.count("*").alias("df"))
     owners = freeze(owners.where("df > 1"), "owners")
-    met = found.join(owners, "line", "left").select(
-        "doc", "pos", F.col("owner.doc").alias("partner"), F.col("owner.pos").alias("owner_pos"), F.coalesce("df", F.lit(1)).alias("df")
-    )
-    met = freeze(met, "met")
-    limits = met.groupBy("doc").agg(F.greatest(F.min("df"), F.lit(rare)).alias("limit"))
-    # a pair holds at most the lines of the later document; identical rows fall together
-    pairs = met.where(F.col("partner").isNotNull() & (F.col("partner") != F.col("doc"))).groupBy("doc", "partner")
-    pairs = pairs.agg(F.collect_set(F.struct("pos", "owner_pos")).alias("common"), F.min("df").alias("least"))
-    pairs = pairs.join(limits, "doc").where("least <= limit").select("doc", "common")
+    # identical rows fall together
+    met = freeze(found.join(owners, "line").distinct(), "met")
+    pairs = met.where(F.col("partner") != F.col("doc")).groupBy("doc", "partner").agg(F.min("df").alias("least"))
+    rarest = F.min("least").over(Window.partitionBy("doc"))
+    pairs = pairs.withColumn("limit", F.greatest(rarest, F.lit(rare))).where("least <= limit").select("doc", "partner")
+    lines = met.where("pos >= 0")
+    theirs = lines.select(F.col("doc").alias("partner"), "line", F.col("pos").alias("owner_pos"))
+    common = pairs.join(lines.drop("partner", "df"), "doc").join(theirs, ["partner", "line"])
+    both = F.struct("pos", "owner_pos")
+    pairs = common.groupBy("doc", "partner").agg(F.collect_list(both).alias("common")).select("doc", "common")
     aligned = pairs.mapInArrow(_align, f"doc {kind}, deleted array<int>, blocks long")
     return aligned.groupBy("doc").agg(
         F.flatten(F.collect_list("deleted")).alias("gone"), F.sum("blocks").alias("n_blocks"), F.count("*").alias("n_partners")
