@@ -8,15 +8,16 @@ Entries choose partners: a document meets the owner of each entry that is in at
 documents, or, where all it shares are in more, of the rarest one. Entries that only it has say
 nothing. Each pair is then aligned by patience on all lines the two share, frequent ones and
 those of third owners included: of their common entries, the longest sequence that rises in
-both. Aligned consecutive lines form blocks, and
+both. Lines under ``min_words`` words choose no partner; next to an aligned line they align as
+far as both documents go on alike, blank lines aside. Aligned consecutive lines form blocks, and
 blocks are deleted from the later document. A deleted line stays in the earliest document it
 aligns down to.
 
 A pair costs the shared lines of the later document, and a document has at most as many partners
 as lines.
 
-Defined cases: a null text has no lines; blank lines and lines under ``min_words`` words are
-never compared and stay; order is by id, then by a hash of the text, nulls
+Defined cases: a null text has no lines; blank lines are never compared and stay, as do short
+lines of a document without a longer one; order is by id, then by a hash of the text, nulls
 last, so rows that share an id are told apart and identical rows are one document, given as
 often as before. A document that loses every line with a word becomes empty and is marked
 ``emptied``. An empty table gives no rows. Texts are read whole.
@@ -25,6 +26,7 @@ often as before. A document that loses every line with a word becomes empty and
 from __future__ import annotations
 
 import hashlib
+import struct
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -38,33 +40,44 @@ RARE = 64
 MIN_WORDS = 4
 
 
+# An element of a run of short lines: position and hash.
+_SHORT = struct.Struct("<i16s")
+
+
 def _numbered(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """Entries; position -1 is the whole document."""
+    """Entries, with the runs of short lines before and after each; position -1 is the whole document."""
     space = b" \t\r\x0b\x0c"
     for batch in batches:
-        doc, pos, line = [], [], []
+        doc, pos, line, before, after = [], [], [], [], []
         for row, text in enumerate(batch["text"]):
             seen: dict[bytes, int] = {}
-            whole = hashlib.blake2b(digest_size=16, person=b"whole")
+            whole, run = hashlib.blake2b(digest_size=16, person=b"whole"), b""
             for i, raw in enumerate((text.as_py() or "").encode().split(b"\n")):
                 cut = raw.strip(space)
                 if not cut:
                     continue
                 whole.update(cut + b"\n")
                 if len(cut) < 2 * min_words - 1 or len(cut.split(None, min_words - 1)) < min_words:
+                    run += _SHORT.pack(i, hashlib.blake2b(cut, digest_size=16).digest())
                     continue
+                if seen:
+                    after.append(run or None)
                 seen[cut] = rank = seen.get(cut, -1) + 1
                 doc.append(row)
                 pos.append(i)
                 line.append(hashlib.blake2b(cut, digest_size=16, salt=rank.to_bytes(8, "little")).digest())
+                before.append(run or None)
+                run = b""
             if seen:
+                after += [run or None, None]
                 doc.append(row)
                 pos.append(-1)
                 line.append(whole.digest())
+                before.append(None)
         if doc:
             taken = batch["doc"].take(pa.array(doc))
-            columns = [taken, pa.array(pos, pa.int32()), *(pa.array(x, pa.binary()) for x in (line,))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "pos", "line"])
+            columns = [taken, pa.array(pos, pa.int32()), *(pa.array(x, pa.binary()) for x in (line, before, after))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "pos", "line", "before", "after"])
 
 
 def longest_rise(values: list[int]) -> list[int]:
@@ -85,13 +98,35 @@ def longest_rise(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def _alike(mine: bytes | None, theirs: bytes | None, back: bool) -> list[tuple[int, int]]:
+    """Positions at which two runs of short lines are alike, from their start or from their end."""
+    runs = [list(_SHORT.iter_unpack(x or b"")) for x in (mine, theirs)]
+    out = []
+    for (p, a), (q, b) in zip(*(reversed(r) if back else r for r in runs), strict=False):
+        if a != b:
+            break
+        out.append((p, q))
+    return out[::-1] if back else out
+
+
+def _with_short(kept: list[dict]) -> list[tuple[int, int]]:
+    """Positions of aligned lines and of the short lines beside them; both rise."""
+    out: list[tuple[int, int]] = []
+    for x in kept:
+        last = out[-1] if out else (-1, -1)
+        out += [(p, q) for p, q in _alike(x["before"], x["owner_before"], True) if p > last[0] and q > last[1]]
+        out.append((x["pos"], x["owner_pos"]))
+        out += _alike(x["after"], x["owner_after"], False)
+    return out
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per pair: positions in the later document that align with the partner, and the number of blocks."""
     for batch in batches:
         deleted, blocks = [], []
         for listed in batch["common"]:
             pairs = sorted(listed.as_py(), key=lambda x: x["pos"])
-            kept = [(pairs[i]["pos"], pairs[i]["owner_pos"]) for i in longest_rise([x["owner_pos"] for x in pairs])]
+            kept = _with_short([pairs[i] for i in longest_rise([x["owner_pos"] for x in pairs])])
             deleted.append([p for p, _ in kept])
             blocks.append(sum(i == 0 or (p - kept[i - 1][0], q - kept[i - 1][1]) != (1, 1) for i, (p, q) in enumerate(kept)))
         yield pa.RecordBatch.from_arrays(
@@ -125,7 +160,7 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
     """(doc, gone, n_blocks, n_partners) of documents that lose lines; ``gone`` holds line positions."""
     rows = docs.select(_doc(id, text).alias("doc"), F.col(text).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
-    found = freeze(rows.mapInArrow(lambda x: _numbered(x, min_words), f"doc {kind}, pos int, line binary"), "lines")
+    found = freeze(rows.mapInArrow(lambda x: _numbered(x, min_words), f"doc {kind}, pos int, line binary, before binary, after binary"), "lines")
     # a line in very many documents combines before the shuffle; the join back splits it
     owners = found.groupBy("line").agg(F.min("doc").alias("partner"), F.count("*").alias("df"))
     owners = freeze(owners.where("df > 1"), "owners")
@@ -135,9 +170,11 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
     rarest = F.min("least").over(Window.partitionBy("doc"))
     pairs = pairs.withColumn("limit", F.greatest(rarest, F.lit(rare))).where("least <= limit").select("doc", "partner")
     lines = met.where("pos >= 0")
-    theirs = lines.select(F.col("doc").alias("partner"), "line", F.col("pos").alias("owner_pos"))
+    theirs = lines.select(
+        F.col("doc").alias("partner"), "line", F.col("pos").alias("owner_pos"), F.col("before").alias("owner_before"), F.col("after").alias("owner_after")
+    )
     common = pairs.join(lines.drop("partner", "df"), "doc").join(theirs, ["partner", "line"])
-    both = F.struct("pos", "owner_pos")
+    both = F.struct("pos", "owner_pos", "before", "after", "owner_before", "owner_after")
     pairs = common.groupBy("doc", "partner").agg(F.collect_list(both).alias("common")).select("doc", "common")
     aligned = pairs.mapInArrow(_align, f"doc {kind}, deleted array<int>, blocks long")
     return aligned.groupBy("doc").agg(

@@ -107,3 +107,20 @@ def test_equals_plain_version(docs, seed, rare):
         rows.append((i, "\n".join(text) if rng.random() < 0.7 or not rows else rng.choice(rows)[1]))
     got = lost(docs, rows, rare=rare)
     assert [got[i].line_dedup.n_deleted for i, _ in rows] == [len(x) for x in deleted(rows, rare)]
+
+
+def test_short_lines_go_with_their_block(docs):
+    text = ["Title", "", *own(1)[:3], "Part two", "ok", *own(1)[3:], "", "End"]
+    rows = [(1, "\n".join(text)), (2, "\n".join(text)), (3, "\n".join(["Other title", *text[1:5], "Part three", "ok", *text[7:]])), (4, "Title\nPart two")]
+    got = lost(docs, rows)
+    assert got[1].text == rows[0][1] and got[4].text == rows[3][1]
+    assert got[2].line_dedup.emptied and got[2].text == ""
+    assert [x for x in got[3].text.split("\n") if x] == ["Other title", "Part three"]
+    assert [got[i].line_dedup.n_deleted for i, _ in rows] == [len(x) for x in deleted(rows)]
+
+
+def test_short_lines_align_once():
+    short = [lines._SHORT.pack(i, bytes(16)) for i in range(10)]
+    first = {"pos": 0, "owner_pos": 0, "before": None, "owner_before": None, "after": short[1] + short[2], "owner_after": short[1]}
+    last = {"pos": 3, "owner_pos": 2, "before": short[1] + short[2], "owner_before": short[1], "after": None, "owner_after": None}
+    assert lines._with_short([first, last]) == [(0, 0), (1, 1), (3, 2)]
