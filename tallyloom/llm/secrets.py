@@ -5,7 +5,9 @@ Base kinds: ``assign`` (a secret-like name and its value), ``access`` (key ident
 its characters are walked with a window whose symbol counts change by one symbol in and one
 out, so the Shannon entropy ``log2(w) - sum(c * log2(c)) / w`` is updated from two counts per
 step. A run is reported when some window reaches the class's entropy, it is not on the allow
-list and it overlaps no base span.
+list and it overlaps no base span and no span of an earlier class. The classes are hex, base64
+(a digit, a lower-case and an upper-case letter), lower case with digits and upper case with
+digits; runs of letters alone are never reported.
 
 Positions come from ``split`` and ``regexp_extract_all`` with one pattern: the lengths of the
 texts between matches and of the matches add up to the offsets, in code points.
@@ -46,6 +48,9 @@ class CharClass:
 CLASSES = (
     CharClass("entropy_hex", "0-9A-Fa-f", 3.0, needs="(?=.*[0-9])(?=.*[A-Fa-f])"),
     CharClass("entropy_base64", "A-Za-z0-9+/_=-", 3.8, needs="(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
+    # base36 and base32: fewer symbols, so the entropy of a random window is lower
+    CharClass("entropy_lower", "a-z0-9", 3.5, needs="(?=.*[0-9])(?=.*[g-z])"),
+    CharClass("entropy_upper", "A-Z0-9", 3.5, needs="(?=.*[0-9])(?=.*[G-Z])"),
 )
 WINDOW = 20
 
@@ -137,9 +142,9 @@ def find_secrets(
     )
     df = df.withColumn("base", _listed([(k, F.col(k)) for k in KINDS], 0)).withColumn("named", F.concat("assign", "access"))
     allowed = "^(?:" + "|".join(f"(?:{p})" for p in allow) + ")$"
-    for c in classes:
+    for n, c in enumerate(classes):
         df = _located(df, c.name, c.pattern())
-        df = df.withColumn(c.name, F.filter(c.name, _suspect(c, allowed, window)))
+        df = df.withColumn(c.name, F.filter(c.name, _suspect(c, allowed, window, ["named", *(x.name for x in classes[:n])])))
     df = df.withColumn("added", _listed([(c.name, F.col(c.name)) for c in classes], len(KINDS)))
     names = [*KINDS, *(c.name for c in classes)]
     return df.select(
@@ -152,11 +157,13 @@ def find_secrets(
 
 
 
-def _suspect(c: CharClass, allowed: str, window: int) -> Callable[[Column], Column]:
+def _suspect(c: CharClass, allowed: str, window: int, before: list[str]) -> Callable[[Column], Column]:
     def keep(x: Column) -> Column:
-        # every class holds the hex digits, so a hex span lies inside a run that holds one
+        # a class holds all lower-case hex digits or no letter of them, so a hex span lies inside a run that holds one
         shaped = x["hit"].rlike(f"^{c.needs}") & ~x["hit"].rlike(allowed) & ~x["hit"].rlike(HEX)
-        free = ~F.exists("named", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+        free = F.lit(True)
+        for spans in before:
+            free = free & ~F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
         return shaped & free & (window_entropy(x["hit"], window) >= c.bits)
 
     return keep
