@@ -35,12 +35,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id."""
-    found = neardup.near_duplicates(docs)
-    gone = found.where("node is not null and not kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    gone = freeze(gone, "copies")
-    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_key"])
-    return docs.join(gone, same, "left_anti")
+    """One document of each group of near duplicates: the smallest by id, nulls last, then by text hash."""
+    found = neardup.near_duplicates(docs).where("node is not null").select("doc_id", "key", "component")
+    found = freeze(found, "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = found.groupBy("component").agg(F.min(place).alias("first"))
+    marks = found.groupBy("component", "doc_id", "key").agg(F.count("*").alias("copies")).join(first, "component")
+    marks = marks.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), (place == F.col("first")).alias("_first"), "copies")
+    marks = freeze(marks.where("not _first or copies > 1"), "copies")
+    same = docs["doc_id"].eqNullSafe(marks["_id"]) & (F.xxhash64(docs["text"]) == marks["_key"])
+    kept = docs.join(marks, same, "left_anti")
+    twice = marks.where("_first")
+    if twice.isEmpty():
+        return kept
+    # rows given several times, with one id and text, are combined before the shuffle
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    given = docs.join(twice, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *rest)).alias("rest"))
+    return kept.unionByName(given.select("doc_id", "text", "rest.*").select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -308,16 +308,17 @@ def _open_lists(named: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool = True, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept, node (its class, null without shingles), key (hash of the text)."""
+    """Per row: doc_id, n_shingles, component_id, kept, node (its class, null without shingles), key (hash of the text), component (of the class)."""
     sketched = sketches(docs, k, lower, id, text)
     labels = components(links(docs, sketched, k, lower, percent, id, text))
     classes = sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(lowest, "component").select("node", "component_id")
+    named = named.join(lowest, "component").select("node", "component_id", "component")
     # copies may be a third of all rows: their class is a hot key of the side that is split
     full = sketched.where("n > 0").select("doc_id", "key", "n", "node").join(named, "node", "left")
     bare = sketched.where("n = 0").select("doc_id", "key", "n", "node").withColumn("component_id", F.col("doc_id"))
+    bare = bare.withColumn("component", F.lit(None).cast(sketched.schema["node"].dataType))
     return full.unionByName(bare).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -325,4 +326,5 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
         "node",
         "key",
+        "component",
     )
