@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import containment, lines, neardup, oracles, packing, pii, quality, secrets, substring, urls, warczip
+from tallyloom.llm import ann, containment, hardneg, lines, neardup, oracles, packing, periodic, pii, quality, secrets, substring, urls, warczip
 from tallyloom.session import configure, freeze, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,59 @@ def line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def _with_periods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every tenth document, by the hash of its id, repeats its words from some place on."""
+    for batch in batches:
+        texts = []
+        for text, h in zip(batch["text"], batch["h"].to_pylist(), strict=True):
+            words = (text.as_py() or "").encode().split()
+            if h is not None and h % 10 == 0 and words:
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                words = words[:a] + (words[a : a + p] * (1 + (n - a) // p))[: n - a]
+            texts.append(b" ".join(words).decode())
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+
+@query("op11_periodic_runs")
+def find_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, the strongest one, and digests."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    docs = docs.mapInArrow(_with_periods, "doc_id long, text string")
+    found = periodic.periodic_runs(docs, texts=False)
+
+    def stronger(a, b):
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        tie = F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"]))
+        return F.when(left > right, -1).when(left < right, 1).otherwise(tie.cast("int"))
+
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    return found.select("doc_id", "n_words", "runs", "collapsed_sha256", F.get(F.array_sort("runs", stronger), 0).alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+        "n_words",
+    )
+
+
+@query("op12_nearest_vectors")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows found for every hundredth vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "id % 100 = 0")
+
+
+@query("op13_hard_negatives", oracles.HARD)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh row's label is changed first."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.withColumn("label", label), "id % 100 = 0")

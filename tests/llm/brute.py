@@ -170,3 +170,27 @@ def contained(docs, items, k=5, percent=80):
             if w and 100 * len(w & s) >= percent * len(w):
                 out.append((d, i, len(w & s), len(w)))
     return out
+
+
+def runs(w, min_words=6, min_periods=4):
+    """(start, length, period) of every periodic run, straight from the definition."""
+    out = []
+    for q in range(1, len(w) // min_periods + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            length = j + q - i
+            stretch = w[i : i + length]
+            if j > i and length >= max(min_words, min_periods * q):
+                smaller = any(all(stretch[x] == stretch[x + p] for x in range(length - p)) for p in range(1, q))
+                if not smaller:
+                    out.append((i, length, q))
+            i = max(j, i + 1) if j > i else i + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
