@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.cells import decimal_text
 from tallyloom.operators.conform import delivered_columns, outbound_select
+from tallyloom.operators.numbering import assign_batches
 from tallyloom.spec import Delivery, Field, Mapping, quoted
 
 # Fixed value: payloads above this many characters are refused by the receiver.
@@ -126,6 +127,15 @@ def render_update(
     return df.withColumn(out, update_record(df, cols or df.columns, id_col))
 
 
+def envelope(root: str, application: str, form: str) -> tuple[str, str]:
+    """What stands before and after the records of a payload."""
+    head = (
+        f'<{root}><applicationlist><application name="{application}">'
+        f'<formlist><form name="{form}">'
+    )
+    return head, f"</form></formlist></application></applicationlist></{root}>"
+
+
 def build_payloads(
     df: DataFrame,
     order: Sequence[str],
@@ -139,11 +149,7 @@ def build_payloads(
 
     A group holds one batch, so its size is bounded by the batch size.
     """
-    head = (
-        f'<{root}><applicationlist><application name="{application}">'
-        f'<formlist><form name="{form}">'
-    )
-    tail = f"</form></formlist></application></applicationlist></{root}>"
+    head, tail = envelope(root, application, form)
     rows = F.struct(*[F.col(quoted(c)) for c in order], F.col(record).alias("__record"))
     ordered = F.transform(F.array_sort(F.collect_list(rows)), lambda r: r["__record"])
     return (
@@ -157,6 +163,75 @@ def build_payloads(
     )
 
 
+def split_oversize(
+    df: DataFrame, chars: int, record: str = "record"
+) -> tuple[DataFrame, DataFrame]:
+    """Records that a payload with room for ``chars`` characters can hold, and those it cannot."""
+    fits = F.coalesce(F.length(record) <= chars, F.lit(True))
+    return df.where(fits), df.where(~fits)
+
+
+def _cuts(lengths: Column, chars: int) -> Column:
+    """For each of some records, in order, the number of the payload it goes into.
+
+    A payload takes records as long as they fit; the next one starts a new payload.
+    """
+    start = F.struct(
+        F.array().cast("array<int>").alias("parts"), F.lit(0).alias("part"), F.lit(0).alias("used")
+    )
+
+    def step(acc: Column, n: Column) -> Column:
+        full = (acc["used"] > 0) & (acc["used"] + n > chars)
+        part = F.when(full, acc["part"] + 1).otherwise(acc["part"])
+        used = F.when(full, n).otherwise(acc["used"] + n)
+        return F.struct(
+            F.array_append(acc["parts"], part).alias("parts"), part.alias("part"), used.alias("used")
+        )
+
+    return F.aggregate(lengths, start, step, lambda acc: acc["parts"])
+
+
+def bounded_payloads(
+    df: DataFrame,
+    order: Sequence[str],
+    size: int,
+    root: str,
+    application: str,
+    form: str,
+    limit: int = MAX_PAYLOAD_CHARS,
+    keep: Sequence[str] = (),
+    record: str = "record",
+) -> DataFrame:
+    """Payloads of at most ``size`` records and ``limit`` characters, in order.
+
+    Records are cut into batches of ``size``, as ever; a batch whose payload would be longer
+    than ``limit`` is cut again, into parts that each take the next records as long as they
+    fit. So a long record moves no other batch, and a group is one batch. ``members`` holds
+    the ``keep`` columns of each part's records. Records too long for any payload must be set
+    aside before (``split_oversize``).
+    """
+    head, tail = envelope(root, application, form)
+    batched = assign_batches(df, order, size)
+    names = list(dict.fromkeys([*order, *keep]))
+    row = F.struct(*[F.col(quoted(c)) for c in names], F.col(record).alias("__record"))
+    grouped = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    lengths = F.transform("rows", lambda r: F.coalesce(F.length(r["__record"]), F.lit(0)))
+    cut = grouped.withColumn("cuts", _cuts(lengths, limit - len(head) - len(tail)))
+    parts = F.sequence(F.lit(0), F.element_at("cuts", -1))
+    cut = cut.select("batch_id", "rows", "cuts", F.explode(parts).alias("part"))
+    own = F.filter("rows", lambda r, i: F.get("cuts", i) == F.col("part"))
+    cut = cut.select("batch_id", "part", own.alias("rows"))
+    body = F.array_join(F.transform("rows", lambda r: r["__record"]), "")
+    members = F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in keep])) if keep else None
+    return cut.select(
+        "batch_id",
+        "part",
+        F.size("rows").cast("bigint").alias("records"),
+        *([members.alias("members")] if keep else []),
+        F.concat(F.lit(head), body, F.lit(tail)).alias("payload"),
+    )
+
+
 def oversize(payloads: DataFrame, limit: int = MAX_PAYLOAD_CHARS) -> DataFrame:
     """Payloads the receiver would refuse."""
     return payloads.filter(F.length("payload") > limit)

@@ -42,10 +42,10 @@ def _decoded(text: Column) -> Column:
 
 
 def _named(fragment: Column, name: str) -> Column:
-    """Text of the value under the element of that name, at any depth; null if none."""
+    """Undecoded text of the value under the element of that name, at any depth; empty if none."""
     value = r"((?:<!\[CDATA\[.*?\]\]>|[^<])*)"
     pattern = rf"""(?s)\bname\s*=\s*["']{re.escape(name)}["'][^>]*>\s*<value>{value}</value>"""
-    return F.nullif(_decoded(F.regexp_extract(fragment, pattern, 1)), F.lit(""))
+    return F.regexp_extract(fragment, pattern, 1)
 
 
 def response_errors(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -63,13 +63,17 @@ def response_errors(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataF
     return df.select(*kept, F.explode(rows).alias("status"))
 
 
-def _results(df: DataFrame, text: str, key: str, id_col: str, keep: Sequence[str]) -> DataFrame:
-    results = F.regexp_extract_all(F.col(quoted(text)), F.lit(_RESULT), F.lit(0))
-    pairs = F.transform(
-        results,
-        lambda r: F.struct(_named(r, key).alias(key), _named(r, id_col).alias(id_col), r.alias("result")),
-    )
-    return df.select(*[F.col(quoted(c)) for c in keep], F.inline(pairs))
+def results(df: DataFrame, text: str, key: str, id_col: str = "ID", keep: Sequence[str] = ()) -> DataFrame:
+    """Every result with its key and identifier, null where it names none, and its own text.
+
+    Results become rows before anything is read from them, so each pattern runs once per
+    result in compiled code, and only values with a reference or a section are decoded.
+    """
+    found = F.explode(F.regexp_extract_all(F.col(quoted(text)), F.lit(_RESULT), F.lit(0)))
+    rows = df.select(*[F.col(quoted(c)) for c in keep], found.alias("result"))
+    raw = rows.withColumns({"__key": _named(F.col("result"), key), "__id": _named(F.col("result"), id_col)})
+    decoded = [F.nullif(_decoded(F.col(c)), F.lit("")).alias(name) for c, name in (("__key", key), ("__id", id_col))]
+    return raw.select(*[F.col(quoted(c)) for c in keep], *decoded, "result")
 
 
 def response_ids(
@@ -79,7 +83,7 @@ def response_ids(
 
     A result that lacks either field gives no row here; ``response_unpaired`` lists it.
     """
-    found = _results(df, text, key, id_col, keep)
+    found = results(df, text, key, id_col, keep)
     return found.where(F.col(quoted(key)).isNotNull() & F.col(quoted(id_col)).isNotNull()).drop("result")
 
 
@@ -87,7 +91,7 @@ def response_unpaired(
     df: DataFrame, text: str, key: str, id_col: str = "ID", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Results without a readable key or identifier, with their text, and results cut short."""
-    found = _results(df, text, key, id_col, keep)
+    found = results(df, text, key, id_col, keep)
     lacking = found.where(F.col(quoted(key)).isNull() | F.col(quoted(id_col)).isNull())
     rest = F.regexp_replace(F.col(quoted(text)), _RESULT, "")
     cut = F.regexp_extract(rest, r"(?s)<result\b.*", 0)

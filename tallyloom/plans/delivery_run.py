@@ -1,32 +1,179 @@
-"""Delivery as files: payload tables out, response tables in, identifiers back."""
+"""Delivery as files: payload tables out, response tables in, identifiers back.
+
+A delivery run sends what the ledger of the table says has to be sent, enters what it sent,
+and is closed by ``settle``, which reads the responses. Payloads are written under the run
+before they are entered, and marked when they are, so a run can be repeated under its id: it
+finds its payloads, sends the same ones and enters them once. Each step publishes a new version of the ledger or of the core.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.deliver import build_payloads, delivery, render_add, render_update
+from tallyloom.operators.deliver import (
+    MAX_PAYLOAD_CHARS,
+    bounded_payloads,
+    build_payloads,
+    delivery,
+    envelope,
+    render_add,
+    render_update,
+    split_oversize,
+)
+from tallyloom.operators.ledger import (
+    ACKNOWLEDGED,
+    LEDGER,
+    OVERSIZE,
+    SENT,
+    confirmed,
+    digest,
+    entered,
+    member_states,
+    to_send,
+)
 from tallyloom.operators.lookup import write_back
 from tallyloom.operators.numbering import assign_batches
 from tallyloom.operators.respond import response_ids
 from tallyloom.plans.table_run import Workspace
-from tallyloom.spec import Delivery
+from tallyloom.session import freeze, scratch_scope
+from tallyloom.spec import Delivery, quoted
+
+
+def rendered(ws: Workspace, spec: Delivery, known: bool) -> tuple[DataFrame, list[str]]:
+    """Records of one delivery pass with their text in ``record``, and the columns that order them."""
+    records = delivery(ws.core(spec.table), ws.mapping, spec, known, ws.remote_id)
+    keys = [ws.mapping.surrogate(spec.table), ws.mapping.business_key(spec.table)]
+    order = [c for c in dict.fromkeys(keys) if c in records.columns]
+    return render_update(records) if known else render_add(records), order
 
 
 def payloads(
     ws: Workspace, spec: Delivery, known: bool, root: str, application: str
 ) -> DataFrame:
-    """Ordered payloads of one delivery pass."""
-    core = ws.core(spec.table)
-    pk = ws.mapping.surrogate(spec.table)
-    key = ws.mapping.business_key(spec.table)
-    records = delivery(core, ws.mapping, spec, known, ws.remote_id)
-    order = [c for c in dict.fromkeys([pk, key]) if c in records.columns]
-    rendered = render_update(records) if known else render_add(records)
-    batched = assign_batches(rendered.select(*order, "record"), order, spec.slice_length)
+    """Ordered payloads of one delivery pass over all records, whatever was sent before."""
+    records, order = rendered(ws, spec, known)
+    batched = assign_batches(records.select(*order, "record"), order, spec.slice_length)
     return build_payloads(batched, order, root, application, spec.form)
 
 
+def _ledger_name(table: str) -> str:
+    return f"ledger_{table}"
+
+
+def ledger(ws: Workspace, table: str) -> DataFrame:
+    """The ledger of a core table; empty before its first delivery run."""
+    name = _ledger_name(table)
+    if not ws.store.has_core(name):
+        return ws.store.spark.createDataFrame([], LEDGER)
+    return ws.store.read_core(name)
+
+
+def _enter(ws: Workspace, table: str, events: DataFrame) -> int:
+    name = _ledger_name(table)
+    version = ws.store.latest(name)
+    return ws.store.write_core(name, entered(ledger(ws, table), events), after=version)
+
+
+def payload_path(ws: Workspace, table: str, run: str, known: bool) -> str:
+    return f"{ws.store.root}/delivery/{table}/run={run}/{'update' if known else 'add'}"
+
+
+def read_payloads(ws: Workspace, table: str, run: str, known: bool) -> DataFrame:
+    """(batch_id, part, records, members, payload) of a delivery run."""
+    return ws.store.spark.read.parquet(payload_path(ws, table, run, known))
+
+
+def send(
+    ws: Workspace,
+    spec: Delivery,
+    known: bool,
+    root: str,
+    application: str,
+    run: str,
+    limit: int = MAX_PAYLOAD_CHARS,
+) -> DataFrame:
+    """Write the payloads of what has to be sent, enter it as sent, and return the payloads.
+
+    Records that no payload can hold are entered as ``oversize`` and left out.
+    """
+    path = payload_path(ws, spec.table, run, known)
+    key = ws.mapping.business_key(spec.table)
+    with scratch_scope(ws.store.spark):
+        records, order = rendered(ws, spec, known)
+        records = records.select(
+            *order, "record", F.col(quoted(key)).cast("string").alias("key"), digest(F.col("record")).alias("digest")
+        )
+        records = to_send(records.where("key IS NOT NULL"), ledger(ws, spec.table), known)
+        room = limit - sum(map(len, envelope(root, application, spec.form)))
+        fitting, large = split_oversize(freeze(records, "records"), room)
+        if not ws.store.complete(path):
+            built = bounded_payloads(
+                fitting, order, spec.slice_length, root, application, spec.form, limit, keep=["key", "digest"]
+            )
+            built.write.mode("overwrite").parquet(path)
+        if not ws.store.marked(path):
+            sent = read_payloads(ws, spec.table, run, known).select("batch_id", "part", F.inline("members"))
+            none = F.lit(None)
+            large = large.select(none.alias("batch_id"), none.alias("part"), "key", "digest", F.lit(OVERSIZE).alias("state"))
+            events = sent.withColumn("state", F.lit(SENT)).unionByName(large).withColumns(
+                {"run": F.lit(run), "known": F.lit(known), "status": none, "remote_id": none}
+            )
+            _enter(ws, spec.table, events)
+            ws.store.mark(path)
+    return read_payloads(ws, spec.table, run, known)
+
+
+def settle(
+    ws: Workspace, spec: Delivery, known: bool, run: str, responses: DataFrame, text: str
+) -> None:
+    """Enter what the responses (batch_id, part, text) say, and write new identifiers into the core.
+
+    Responses may come in several lots: only records still waiting for one are entered.
+    """
+    key = ws.mapping.business_key(spec.table)
+    waiting = ledger(ws, spec.table).where(
+        (F.col("run") == run) & (F.col("known") == known) & (F.col("state") == SENT)
+    )
+    members = waiting.drop("state", "status", "remote_id", "delivered")
+    with scratch_scope(ws.store.spark):
+        events = freeze(member_states(members, responses, text, key), "events")
+        # the ledger last: what is interrupted before it is simply done again
+        if not known:
+            _write_ids(ws, spec.table, events)
+        _enter(ws, spec.table, events.where(F.col("state") != SENT))
+
+
+def confirm(ws: Workspace, spec: Delivery, report: DataFrame, complete: bool = False) -> None:
+    """Settle unpaired records by a report (business key, ``ID``) of what the remote system holds."""
+    key = ws.mapping.business_key(spec.table)
+    pairs = report.select(F.col(quoted(key)).cast("string").alias("key"), F.col("ID").try_cast("bigint").alias("remote_id"))
+    with scratch_scope(ws.store.spark):
+        events = freeze(confirmed(ledger(ws, spec.table), pairs, complete), "events")
+        _write_ids(ws, spec.table, events.where("NOT known"))
+        _enter(ws, spec.table, events)
+
+
+def open_payloads(ws: Workspace, table: str, run: str, known: bool) -> DataFrame:
+    """Payloads of a run that nothing has been heard of: to be sent again as they are."""
+    waiting = ledger(ws, table).where(
+        (F.col("run") == run) & (F.col("known") == known) & (F.col("state") == SENT)
+    )
+    rows = read_payloads(ws, table, run, known)
+    return rows.join(waiting.select("batch_id", "part").distinct(), ["batch_id", "part"], "left_semi")
+
+
+def _write_ids(ws: Workspace, table: str, events: DataFrame) -> int | None:
+    """Identifiers of acknowledged records into the next core version, if there are any."""
+    key = ws.mapping.business_key(table)
+    ids = events.where(F.col("state") == ACKNOWLEDGED).select(F.col("key").alias(key), F.col("remote_id").alias("ID"))
+    if ids.isEmpty():
+        return None
+    version = ws.store.latest(table)
+    core = write_back(ws.core(table, version), ids, key, ws.remote_id)
+    return ws.store.write_core(table, core, after=version)
+
+
 def store_identifiers(ws: Workspace, table: str, responses: DataFrame, text: str) -> int | None:
     """Write the identifiers that responses hold into the next core version."""
     version = ws.store.latest(table)

@@ -123,6 +123,13 @@ class Store:
     def complete(self, path: str) -> bool:
         return bool(_glob(self.spark, f"{path}/_SUCCESS"))
 
+    def mark(self, path: str) -> None:
+        """Note, beside a written table, that what follows its writing has been done."""
+        _create(self.spark, f"{path}.done", "")
+
+    def marked(self, path: str) -> bool:
+        return bool(_glob(self.spark, f"{path}.done"))
+
     def append_log(self, name: str, df: DataFrame) -> None:
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/log/{name}")
 
