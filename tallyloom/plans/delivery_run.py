@@ -37,6 +37,7 @@ from tallyloom.operators.numbering import assign_batches
 from tallyloom.operators.respond import response_ids
 from tallyloom.plans.table_run import Workspace
 from tallyloom.session import freeze, scratch_scope
+from tallyloom.sources.snapshots import bucket_of
 from tallyloom.spec import Delivery, quoted
 
 
@@ -70,9 +71,17 @@ def ledger(ws: Workspace, table: str) -> DataFrame:
 
 
 def _enter(ws: Workspace, table: str, events: DataFrame) -> int:
-    name = _ledger_name(table)
+    """Events into the next version of the ledger, which is kept in buckets if its table is."""
+    name, buckets = _ledger_name(table), ws.buckets.get(table)
     version = ws.store.latest(name)
-    return ws.store.write_core(name, entered(ledger(ws, table), events), after=version)
+    if buckets is None:
+        return ws.store.write_core(name, entered(ledger(ws, table), events), after=version)
+    touched = None
+    if version is not None and ws.store.layout(name, version).buckets == buckets:
+        found = events.select(bucket_of("key", buckets).alias("b")).distinct()
+        touched = sorted(r["b"] for r in found.collect())  # one number a bucket
+    old = ledger(ws, table) if touched is None else ws.store.read_core(name, version, buckets=touched)
+    return ws.store.write_buckets(name, entered(old, events), "key", buckets, version, touched)
 
 
 def payload_path(ws: Workspace, table: str, run: str, known: bool) -> str:
@@ -169,25 +178,21 @@ def _write_ids(ws: Workspace, table: str, events: DataFrame) -> int | None:
     ids = events.where(F.col("state") == ACKNOWLEDGED).select(F.col("key").alias(key), F.col("remote_id").alias("ID"))
     if ids.isEmpty():
         return None
+    return _write_back(ws, table, ids)
+
+
+def _write_back(ws: Workspace, table: str, ids: DataFrame) -> int:
+    """Identifiers by business key into the next core version; of a table in buckets, into theirs."""
+    key = ws.mapping.business_key(table)
     version = ws.store.latest(table)
-    core = write_back(ws.core(table, version), ids, key, ws.remote_id)
-    return ws.store.write_core(table, core, after=version)
+    return ws.change(table, version, ids, key, lambda core: write_back(core, ids, key, ws.remote_id))
 
 
 def store_identifiers(ws: Workspace, table: str, responses: DataFrame, text: str) -> int | None:
     """Write the identifiers that responses hold into the next core version."""
-    version = ws.store.latest(table)
-    key = ws.mapping.business_key(table)
-    ids = response_ids(responses, text, key)
-    core = write_back(ws.core(table, version), ids, key, ws.remote_id)
-    return ws.store.write_core(table, core, after=version)
+    return _write_back(ws, table, response_ids(responses, text, ws.mapping.business_key(table)))
 
 
 def backfill_identifiers(ws: Workspace, table: str, fixes: DataFrame) -> int | None:
     """The same from a repair file with the business key and ``ID`` as text."""
-    version = ws.store.latest(table)
-    key = ws.mapping.business_key(table)
-    core = write_back(
-        ws.core(table, version), fixes.select(key, F.col("ID")), key, ws.remote_id
-    )
-    return ws.store.write_core(table, core, after=version)
+    return _write_back(ws, table, fixes.select(ws.mapping.business_key(table), F.col("ID")))

@@ -6,7 +6,8 @@ the same row are one join; guards that differ are put into the expressions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -502,6 +503,36 @@ KEYS: dict[str, Sequence[str]] = {
 }
 
 
+
+@dataclass(frozen=True)
+class Reads:
+    """What a rule set takes from another table: rows by ``on`` (own column: its column)."""
+
+    table: str
+    on: Mapping[str, str]
+    columns: Sequence[str]
+
+
+# Rule sets whose result for a row follows from the row and the rows it looks up, and that
+# change nothing when they are run again over the same inputs: a run need only cover rows
+# that are staged or that look up a changed row. Not so where time passes (accounts), where a
+# second run goes on from what the first one has filled (applications), or where rows of one
+# table meet each other (stock).
+STEADY: dict[str, Sequence[Reads]] = {
+    "payments": (
+        Reads(
+            "accounts",
+            {ACCOUNT: ACCOUNT},
+            ("account_id", "unit_number", "pricing_group", "responsible_user_id", "responsible_user_external_id"),
+        ),
+        Reads("users", {"responsible_user_id": "user_id"}, ("username", "user_angaza_id", "user_upya_id")),
+        Reads("country", {"country": "country_name"}, ("country_id",)),
+    ),
+    "users": (),
+    "account_events": (),
+}
+
+
 def apply_rules(df: DataFrame, table: str, ctx: Context) -> DataFrame:
     for rule in RULES.get(table, ()):
         df = rule(df, ctx)

@@ -3,13 +3,17 @@
 The new core version appears as a whole or not at all. From the staged rows to the
 new version it is one job; only rules that read their own table a second time get
 a frozen copy of the upserted rows.
+
+A table that the workspace keeps in buckets is rewritten bucket by bucket: a run covers the
+buckets of the staged keys and, where a rule set looks things up, those of rows that look up
+a row changed since the table's last version. All other buckets are named again as they are.
 """
 
 from __future__ import annotations
 
 import traceback
-from collections.abc import Callable, Sequence
-from dataclasses import astuple, dataclass
+from collections.abc import Callable, Iterable, Mapping as MappingType, Sequence
+from dataclasses import astuple, dataclass, field
 from datetime import datetime
 from functools import cache
 
@@ -23,10 +27,10 @@ from tallyloom.operators.skew import heavy_keys
 from tallyloom.operators.upsert import lacking, null_keys, one_per_key, upsert
 from tallyloom.plans import prep
 from tallyloom.plans.context import REMOTE_ID, Context, core_schema, instant, shaped
-from tallyloom.plans.rules import KEYS, READ_TWICE, apply_rules
+from tallyloom.plans.rules import KEYS, READ_TWICE, STEADY, Reads, apply_rules
 from tallyloom.session import freeze, scratch_scope
 from tallyloom.sources.extracts import has_rows
-from tallyloom.sources.snapshots import Store
+from tallyloom.sources.snapshots import Store, bucket_of
 from tallyloom.spec import Mapping, Provider, TableFeed, quoted
 
 # The providers whose staged rows feed prep steps, in their order.
@@ -44,26 +48,82 @@ class Outcome:
 
 @dataclass(frozen=True)
 class Workspace:
-    """The store, the mapping, and how core tables are read through them."""
+    """The store, the mapping, and how core tables are read and written through them.
+
+    ``buckets`` gives the number of buckets of the tables to be kept in buckets of their
+    business key; about the size of the table by 256 MB is a good number.
+    """
 
     store: Store
     mapping: Mapping
     remote_id: str = REMOTE_ID
+    buckets: MappingType[str, int] = field(default_factory=dict)
 
-    def core(self, table: str, version: int | None = None) -> DataFrame:
-        """A core table with all declared columns; empty before its first run."""
+    def core(self, table: str, version: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """A core table, or some of its buckets, with all declared columns; empty before its first run."""
         schema = core_schema(self.mapping, table, self.remote_id)
         version = self.store.latest(table) if version is None else version
         if version is None:
             return shaped(self.store.spark.range(0).select(), schema)
-        return shaped(self.store.read_core(table, version), schema)
+        return shaped(self.store.read_core(table, version, buckets=buckets), schema)
+
+    def in_buckets(self, table: str, version: int | None) -> bool:
+        """Whether the version can be rewritten bucket by bucket."""
+        if table not in self.buckets or version is None:
+            return False
+        layout = self.store.layout(table, version)
+        return (layout.key, layout.buckets) == (self.mapping.business_key(table), self.buckets[table])
+
+    def touched(self, table: str, keys: DataFrame, key: str, keyless: bool = False) -> list[int]:
+        """Buckets of the keys: as many numbers as the table has buckets, at most.
+
+        Keys are read as the table's type. ``keyless`` counts those that are null.
+        """
+        kind = core_schema(self.mapping, table, self.remote_id)[key].dataType
+        typed = keys.select(F.col(quoted(key)).try_cast(kind).alias(key))
+        if not keyless:
+            typed = typed.where(F.col(quoted(key)).isNotNull())
+        numbers = typed.select(bucket_of(key, self.buckets[table]).alias("b"))
+        return sorted(r["b"] for r in numbers.distinct().collect())
+
+    def write(
+        self,
+        table: str,
+        df: DataFrame,
+        after: int | None,
+        touched: Iterable[int] | None = None,
+        inputs: MappingType[str, int | None] | None = None,
+    ) -> int:
+        """The next version of a core table, in buckets if it is kept in buckets."""
+        if table not in self.buckets:
+            return self.store.write_core(table, df, after=after)
+        key, serial = self.mapping.business_key(table), self.mapping.surrogate(table)
+        kind = df.schema[serial].dataType.typeName() if serial in df.columns else ""
+        tops = [serial] if kind in ("integer", "long", "short", "byte") else []
+        return self.store.write_buckets(table, df, key, self.buckets[table], after, touched, tops, inputs)
+
+    def change(
+        self, table: str, version: int | None, keys: DataFrame, key: str, apply: Callable[[DataFrame], DataFrame]
+    ) -> int:
+        """``apply`` over the rows of some ``keys``, as the next version; it may add no rows."""
+        if not self.in_buckets(table, version):
+            return self.write(table, apply(self.core(table, version)), version)
+        touched = self.touched(table, keys, key)
+        done = apply(self.core(table, version, touched))
+        # nothing that rules read has been read
+        return self.write(table, done, version, touched, self.store.layout(table, version).inputs)
 
     def staged(self, provider: str, table: str) -> DataFrame | None:
         path = self.store.latest_staging(provider, table)
         return None if path is None else self.store.spark.read.parquet(path)
 
-    def context(self, as_of: datetime, geo_parity: bool = False, hot=None) -> Context:
-        return Context(cache(self.core), instant(as_of), self.remote_id, geo_parity, hot or {})
+    def context(
+        self, as_of: datetime, geo_parity: bool = False, hot=None, pins: MappingType[str, int | None] | None = None
+    ) -> Context:
+        """Inputs of rules; ``pins`` names the versions of tables to be read."""
+        pins = pins or {}
+        read = cache(lambda table: self.core(table, pins.get(table)))
+        return Context(read, instant(as_of), self.remote_id, geo_parity, hot or {})
 
 
 def conform_extract(
@@ -83,8 +143,12 @@ def upsert_staged(
     provider: Provider,
     table: str,
     as_of: datetime,
+    top: int | None = None,
 ) -> DataFrame:
-    """Reconcile one staged run into ``core``: typed, one row per key, serials for new rows."""
+    """Reconcile one staged run into ``core``: typed, one row per key, serials for new rows.
+
+    ``core`` may be the buckets of the staged keys; ``top`` is then the table's largest serial.
+    """
     feed = provider.tables.get(table, TableFeed())
     key = ws.mapping.business_key(table)
     fields = ws.mapping.resolve(table, provider.name, system=True)
@@ -95,7 +159,7 @@ def upsert_staged(
     serial = ws.mapping.surrogate(table)
     numbered = serial != key and serial not in rows.columns
     if numbered:
-        serials = new_serials(core, staged, key, serial)
+        serials = new_serials(core, staged, key, serial, top)
         rows = rows.join(serials, F.col(quoted(key)) == F.col("__fresh"), "left").drop("__fresh")
     merged = upsert(core.withColumn("__held", F.lit(True)), rows, key, instant(as_of), unique=True)
     # What the database defaults on insert: not archived, and the next serials.
@@ -106,11 +170,12 @@ def upsert_staged(
     return merged.withColumns(filled).drop("__held", "__serial")
 
 
-def new_serials(core: DataFrame, staged: DataFrame, key: str, serial: str) -> DataFrame:
+def new_serials(core: DataFrame, staged: DataFrame, key: str, serial: str, top: int | None = None) -> DataFrame:
     """The next serial for each staged key that the core lacks, in key order."""
     keys = staged.selectExpr(f"{quoted(key)} AS __fresh").filter("__fresh IS NOT NULL")
     fresh = lacking(keys.distinct(), "__fresh", core, key)
-    top = core.agg(F.max(F.col(quoted(serial))).alias("top")).head()["top"] or 0
+    if top is None:
+        top = core.agg(F.max(F.col(quoted(serial))).alias("top")).head()["top"] or 0
     numbered = assign_serials(fresh, "__serial", ["__fresh"], after=int(top))
     kind = core.schema[serial].dataType
     return numbered.select("__fresh", F.col("__serial").cast(kind).alias("__serial"))
@@ -154,7 +219,51 @@ def run_prep(ws: Workspace, provider: Provider, table: str) -> None:
 
 def _rewrite(ws: Workspace, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
     version = ws.store.latest(table)
-    ws.store.write_core(table, change(ws.core(table, version)), after=version)
+    ws.write(table, change(ws.core(table, version)), version)
+
+
+def affected(
+    ws: Workspace, table: str, version: int, reads: Reads, old: int | None, new: int | None
+) -> DataFrame | None:
+    """Keys of rows of ``table`` that look up a row which differs between two versions.
+
+    Only the key columns of the table are scanned. None stands for all rows: there is no
+    older version to compare with.
+    """
+    key = ws.mapping.business_key(table)
+    if old == new:
+        return ws.core(table, version, []).select(quoted(key))
+    if old is None or new is None:
+        return None
+    changed = ws.store.changed_rows(reads.table, old, new, [*reads.on.values(), *reads.columns])
+    changed = changed.select(*[F.col(quoted(c)).alias(f"__k{i}") for i, c in enumerate(reads.on.values())]).distinct()
+    rows = ws.core(table, version).select(quoted(key), *map(quoted, reads.on))
+    meets = [F.col(quoted(c)) == F.col(f"__k{i}") for i, c in enumerate(reads.on)]
+    return rows.join(changed, meets, "left_semi").select(quoted(key))
+
+
+def buckets_to_run(
+    ws: Workspace,
+    table: str,
+    version: int | None,
+    staged: DataFrame,
+    rules: str | None,
+    pins: MappingType[str, int | None],
+) -> list[int] | None:
+    """Buckets that a run of the table has to cover; None for the whole table."""
+    if not ws.in_buckets(table, version) or (rules and rules not in STEADY):
+        return None
+    key = ws.mapping.business_key(table)
+    touched = set(ws.touched(table, staged, key))
+    before = ws.store.layout(table, version).inputs
+    for reads in STEADY.get(rules, ()) if rules else ():
+        if reads.table not in before:
+            return None
+        more = affected(ws, table, version, reads, before[reads.table], pins[reads.table])
+        if more is None:
+            return None
+        touched.update(ws.touched(table, more, key, keyless=True))
+    return sorted(touched)
 
 
 def run_table(
@@ -180,15 +289,18 @@ def run_table(
     if key not in staged.columns:
         return Outcome(provider.name, table, "failed", message=f"staging has no {key}")
     version = ws.store.latest(table)
-    core = ws.core(table, version)
+    pins = {r.table: ws.store.latest(r.table) for r in STEADY.get(feed.rules, ())}
     with scratch_scope(ws.store.spark):
-        merged = upsert_staged(ws, core, staged, provider, table, as_of)
+        touched = buckets_to_run(ws, table, version, staged, feed.rules, pins)
+        core = ws.core(table, version, touched)
+        top = None if touched is None else ws.store.layout(table, version).tops.get(ws.mapping.surrogate(table), 0)
+        merged = upsert_staged(ws, core, staged, provider, table, as_of, top)
         if feed.rules:
             if feed.rules in READ_TWICE:
                 merged = freeze(merged, f"upsert-{table}")
             hot = skewed_keys(ws, core, staged, provider, table, feed.rules)
-            merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot))
-        written = ws.store.write_core(table, merged, after=version)
+            merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot, pins))
+        written = ws.write(table, merged, version, touched, pins)
     skipped = null_keys(staged, key).count()
     message = f"{skipped} staged rows without {key}" if skipped else None
     return Outcome(provider.name, table, "written", written, message)
