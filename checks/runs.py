@@ -295,11 +295,10 @@ def accounts_run(spark, sf):
 # -- the other rule sets ----------------------------------------------------
 
 
-@check(
-    "payments_rules",
-    f"""WITH {CONTEXT_SQL},
+def _payments_sql(paid_at: str) -> str:
+    return f"""WITH {CONTEXT_SQL},
     pay AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id,
-        CASE WHEN l_returnflag <> 'R' THEN 'A' || l_orderkey END AS k, l_shipdate AS paid_at,
+        CASE WHEN l_returnflag <> 'R' THEN 'A' || l_orderkey END AS k, {paid_at} AS paid_at,
         CASE WHEN l_linestatus = 'F' THEN -1 END AS account_id,
         CASE WHEN l_quantity > 25 THEN 'own' END AS unit, nullif(l_returnflag, 'N') AS grp,
         CASE WHEN l_linenumber = 3 THEN 5 END AS uid, CASE WHEN l_linenumber = 4 THEN 'kept' END AS
@@ -309,7 +308,9 @@ def accounts_run(spark, sf):
     one AS (SELECT pay.*, a.account_id AS aid, a.unit_number AS aunit, a.pricing_group AS agrp,
         a.account_external_id IS NOT NULL AS hit,
         CASE WHEN uid IS NULL AND paid_at >= TIMESTAMP '2020-02-22' THEN a.responsible_user_id ELSE uid
-            END AS ruid FROM pay LEFT JOIN accounts a ON a.account_external_id = k)
+            END AS ruid, CASE WHEN a.account_external_id IS NOT NULL AND uid IS NULL AND paid_at >= TIMESTAMP '2020-02-22'
+            THEN a.responsible_user_external_id ELSE 'ext' END AS rext
+        FROM pay LEFT JOIN accounts a ON a.account_external_id = k)
     SELECT id AS payment_external_id, coalesce(one.account_id, aid) AS account_id,
         coalesce(unit, aunit) AS unit_number,
         CASE WHEN hit AND grp IS NOT NULL THEN agrp ELSE grp END AS pricing_group,
@@ -317,15 +318,16 @@ def accounts_run(spark, sf):
         CASE WHEN uname IS NULL AND u.user_id IS NOT NULL THEN u.username ELSE uname END
             AS responsible_user,
         CASE WHEN uname IS NULL AND u.user_id IS NOT NULL THEN CASE sys WHEN 'angaza' THEN
-            u.user_angaza_id WHEN 'upya' THEN u.user_upya_id END ELSE 'ext' END
+            u.user_angaza_id WHEN 'upya' THEN u.user_upya_id END ELSE rext END
             AS responsible_user_ext_id, coalesce(cid, n_nationkey) AS country_id
-    FROM one LEFT JOIN users u ON u.user_id = ruid LEFT JOIN nation ON n_name = country""",
-)
-def payments_rules(spark, sf):
+    FROM one LEFT JOIN users u ON u.user_id = ruid LEFT JOIN nation ON n_name = country"""
+
+
+def paid(spark, sf, paid_at: str):
     payments = table(spark, sf, "lineitem").selectExpr(
         "concat(l_orderkey, '-', l_linenumber, '-', l_partkey) AS payment_external_id",
         "CASE WHEN l_returnflag <> 'R' THEN concat('A', l_orderkey) END AS account_external_id",
-        "cast(l_shipdate AS timestamp) AS effective_utc",
+        f"cast({paid_at} AS timestamp) AS effective_utc",
         "CASE WHEN l_linestatus = 'F' THEN -1 END AS account_id",
         "CASE WHEN l_quantity > 25 THEN 'own' END AS unit_number",
         "nullif(l_returnflag, 'N') AS pricing_group",
@@ -341,6 +343,17 @@ def payments_rules(spark, sf):
     return done.drop("account_external_id", "effective_utc", "external_sys", "country")
 
 
+@check("payments_rules", _payments_sql("l_shipdate"))
+def payments_rules(spark, sf):
+    return paid(spark, sf, "l_shipdate")
+
+
+@check("payments_assigned", _payments_sql("l_shipdate + INTERVAL 20 YEAR"))
+def payments_assigned(spark, sf):
+    """The same payments twenty years on: most are due to the user of their account."""
+    return paid(spark, sf, "l_shipdate + INTERVAL 20 YEAR")
+
+
 @check(
     "applications_rules",
     f"""WITH {CONTEXT_SQL},

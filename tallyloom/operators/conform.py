@@ -96,6 +96,29 @@ def bad_casts(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return df.filter(reduce(Column.__or__, refused, F.lit(False)))
 
 
+REFUSED = "__refused"
+
+
+def refused_cells(df: DataFrame, fields: Sequence[Field]) -> Column:
+    """Cells of a staged row that their declared type refuses, as array<struct<column, value, type>>.
+
+    Null where there are none, so that rows can be told apart by the column alone.
+    """
+    kind = "array<struct<column:string,value:string,type:string>>"
+    cells_ = [
+        F.when(
+            F.col(quoted(f.name)).isNotNull() & _untyped(f).isNull(),
+            F.struct(F.lit(f.name).alias("column"), F.col(quoted(f.name)).alias("value"), F.lit(f.type).alias("type")),
+        )
+        for f in fields
+        if f.name in df.columns and f.type != "TEXT"
+    ]
+    if not cells_:
+        return F.lit(None).cast(kind)
+    found = F.array_compact(F.array(*cells_)).cast(kind)
+    return F.when(F.size(found) > 0, found)
+
+
 def _untyped(f: Field) -> Column:
     """The value of a staged text, or null where a strict cast would fail."""
     c = F.col(quoted(f.name))

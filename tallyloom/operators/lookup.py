@@ -226,12 +226,43 @@ def _own_first(column: str) -> Setter:
 
 
 def null_on_match(
-    facts: DataFrame, dim: DataFrame, on: Mapping[str, str], target: str, *, dim_where, row_key=()
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Mapping[str, str],
+    target: str,
+    *,
+    dim_where: Column | str | None = None,
+    row_key: Sequence[str] = (),
+    hot: Sequence = (),
 ) -> DataFrame:
     """Clear ``target`` where its key meets a lookup row that passes ``dim_where``."""
-    return lookup(
-        facts, dim, on, {target: lambda d: F.lit(None)}, dim_where=dim_where, row_key=row_key
-    )
+    cleared = {target: lambda d: F.lit(None)}
+    return lookup(facts, dim, on, cleared, dim_where=dim_where, row_key=row_key, hot=hot)
+
+
+def join_every(
+    left: DataFrame,
+    right: DataFrame,
+    on: tuple[str, str],
+    row_key: Sequence[str],
+    hot: Sequence = (),
+) -> DataFrame:
+    """Every pair of rows with equal keys, null keys aside; ``right`` has few rows of a key.
+
+    Rows of ``left`` under ``hot`` values are spread over salts by ``row_key``, the rows of
+    ``right`` repeated once per salt.
+    """
+    mine, theirs = map(quoted, on)
+    row = f"xxhash64({', '.join(quoted(c) for c in row_key)})"
+    listed = ", ".join(literal(v) if isinstance(v, str) else str(v) for v in hot)
+    # without hot values the salt still keeps the join from reusing a shuffle that AQE cannot split
+    salt, salts = f"pmod(xxhash64({mine}), 1)", f"array(pmod(xxhash64({theirs}), 1))"
+    if hot:
+        salt = f"CASE WHEN {mine} IN ({listed}) THEN pmod({row}, {HOT_SPLITS}) ELSE 0 END"
+        salts = f"CASE WHEN {theirs} IN ({listed}) THEN sequence(0L, {HOT_SPLITS - 1}L) ELSE array(0L) END"
+    salted = right.where(f"{theirs} IS NOT NULL").selectExpr("*", f"explode({salts}) AS __salt")
+    rows = left.where(f"{mine} IS NOT NULL")
+    return rows.join(salted, F.expr(f"{salt} = __salt AND {mine} = {theirs}")).drop("__salt")
 
 
 def set_if_exists(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import cells
 from tallyloom.operators.aggregate import count_fill
 from tallyloom.operators.derive import account_figures, set_where
-from tallyloom.operators.lookup import lookup, lookup_any_key, null_on_match, recode, set_if_exists
+from tallyloom.operators.lookup import join_every, lookup, lookup_any_key, null_on_match, recode, set_if_exists
 from tallyloom.plans.context import Context, Rule
 
 # Provider names, codes and dates the rules test.
@@ -330,17 +330,26 @@ def stock_codes(df: DataFrame, ctx: Context) -> DataFrame:
 
 
 def stock_account(df: DataFrame, ctx: Context) -> DataFrame:
-    accounts = ctx.table("accounts")
-    df = lookup(
-        df, accounts, {k: k for k in ASSET}, {"account_id": "account_id"}, row_key=[STOCK]
+    return lookup(
+        df,
+        ctx.table("accounts"),
+        {k: k for k in ASSET},
+        {"account_id": "account_id"},
+        row_key=[STOCK],
+        hot=ctx.heavy("asset_number"),
     )
+
+
+def stock_detached(df: DataFrame, ctx: Context) -> DataFrame:
+    """Tests the account also where the rule before has just filled it."""
     return null_on_match(
         df,
-        accounts,
+        ctx.table("accounts"),
         {"account_id": "account_id"},
         "account_id",
         dim_where="asset_number IS NULL",
         row_key=[STOCK],
+        hot=ctx.heavy("account_id"),
     )
 
 
@@ -406,12 +415,13 @@ def replacement_users(df: DataFrame, ctx: Context) -> DataFrame:
 
 
 def derive_replacements(
-    accounts: DataFrame, stock: DataFrame, replacements: DataFrame
+    accounts: DataFrame, stock: DataFrame, replacements: DataFrame, hot: Sequence = ()
 ) -> DataFrame:
     """Replacement events implied by accounts that name a previous unit.
 
     One row per account and live stock item of that unit, unless the event is
-    already recorded. All of them: there is no row limit.
+    already recorded. All of them: there is no row limit. ``hot`` lists unit
+    numbers that very many accounts name (``heavy_keys`` finds them).
     """
     old = stock.filter(F.col("archived") == F.lit(False)).select(
         F.col("stock_id").alias("old_stock_id"),
@@ -423,7 +433,8 @@ def derive_replacements(
     ).withColumn(REPLACEMENT, F.concat(F.lit("R"), F.col("previous_unit_number")))
     known = replacements.select(F.col(REPLACEMENT).alias("__known")).filter("__known IS NOT NULL")
     fresh = moved.join(known, F.col(REPLACEMENT) == F.col("__known"), "left_anti")
-    return fresh.join(old, F.col("previous_unit_number") == F.col("old_unit_number")).select(
+    pairs = join_every(fresh, old, ("previous_unit_number", "old_unit_number"), ["account_id"], hot)
+    return pairs.select(
         REPLACEMENT,
         "external_sys",
         "product",
@@ -468,7 +479,7 @@ RULES: dict[str, Sequence[Rule]] = {
     ),
     "clients": (client_phone, client_location, client_user, _country(CLIENT, only_null=False)),
     "payments": (payment_account, payment_user, _country(PAYMENT, only_null=True)),
-    "stock": (stock_codes, stock_account, stock_holder, _country(STOCK, only_null=False)),
+    "stock": (stock_codes, stock_account, stock_detached, stock_holder, _country(STOCK, only_null=False)),
     "users": (user_system,),
     "account_events": (event_replaced_unit,),
     "replacements": (
@@ -498,11 +509,19 @@ KEYS: dict[str, Sequence[str]] = {
     ),
     "clients": ("responsible_user_external_id",),
     "payments": (ACCOUNT, "responsible_user_id"),
-    "stock": ("holder_external_id",),
+    "stock": ("asset_number", "account_id", "holder_external_id"),
     "replacements": ("responsible_user_ext_id", "acc_responsible_user_ext_id"),
 }
 
 
+# Keys of a lookup that an earlier rule of the set fills, and that rule: values may be heavy
+# after it that were heavy in no input.
+FILLED: dict[str, Mapping[str, Rule]] = {
+    "applications": {ACCOUNT: application_account_key},
+    "payments": {"responsible_user_id": payment_account},
+    "stock": {"account_id": stock_account},
+}
+
 
 @dataclass(frozen=True)
 class Reads:

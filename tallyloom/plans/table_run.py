@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.clean import clean_extract
-from tallyloom.operators.conform import project_mapping, stamp_source, typed_select
+from tallyloom.operators.conform import REFUSED, project_mapping, refused_cells, stamp_source, typed_select
 from tallyloom.operators.numbering import assign_serials
-from tallyloom.operators.skew import heavy_keys
+from tallyloom.operators.skew import FLOOR, heavy_keys
 from tallyloom.operators.upsert import lacking, null_keys, one_per_key, upsert
 from tallyloom.plans import prep
 from tallyloom.plans.context import REMOTE_ID, Context, core_schema, instant, shaped
-from tallyloom.plans.rules import KEYS, READ_TWICE, STEADY, Reads, apply_rules
+from tallyloom.plans.rules import FILLED, KEYS, READ_TWICE, STEADY, Reads, apply_rules
 from tallyloom.session import freeze, scratch_scope
 from tallyloom.sources.extracts import has_rows
 from tallyloom.sources.snapshots import Store, bucket_of
@@ -191,8 +191,9 @@ def skewed_keys(
 ) -> dict[str, list]:
     """Heavy values of the keys the rules join on, from both inputs of the upsert.
 
-    What is heavy after it was heavy in one of them, and both are stored tables,
-    so only their key columns are read.
+    What is heavy after the upsert was heavy in one of them, and both are stored
+    tables, so only their key columns are read. Keys that a rule fills are left
+    to ``filled_keys``.
     """
     keys = KEYS.get(rules, ())
     fields = [f for f in ws.mapping.resolve(table, provider.name, system=True) if f.name in keys]
@@ -200,6 +201,18 @@ def skewed_keys(
     return {k: sorted({v for hot in found for v in hot.get(k, [])}) for k in keys}
 
 
+def filled_keys(merged: DataFrame, rules: str, ctx: Context, floor: int = FLOOR) -> dict[str, list]:
+    """Heavy values of keys that one rule fills and a later one joins on.
+
+    The rule is run over the columns it reads alone, and the sketch taken of what it fills.
+    """
+    found: dict[str, list] = {}
+    for column, rule in FILLED.get(rules, {}).items():
+        if column in merged.columns:
+            found.update(heavy_keys(rule(merged, ctx), [column], floor=floor))
+    return found
+
+
 def run_prep(ws: Workspace, provider: Provider, table: str) -> None:
     kind = provider.tables.get(table, TableFeed()).prep
     if kind == "core":
@@ -281,11 +294,17 @@ def run_table(
     if not has_rows(extract):
         return Outcome(provider.name, table, "unchanged", message="empty extract")
     feed = provider.tables.get(table, TableFeed())
-    staged = ws.store.write_staging(
-        provider.name, table, run, conform_extract(extract, ws.mapping, provider, table)
-    )
-    run_prep(ws, provider, table)
     key = ws.mapping.business_key(table)
+    rows = conform_extract(extract, ws.mapping, provider, table)
+    if feed.set_aside:
+        # judged while it is written; where nothing is refused, the column is empty and so dropped
+        rows = rows.withColumn(REFUSED, refused_cells(rows, ws.mapping.resolve(table, provider.name, system=True)))
+    staged = ws.store.write_staging(provider.name, table, run, rows)
+    refused = 0
+    if REFUSED in staged.columns:
+        refused = _set_aside(ws, provider, table, run, staged, key)
+        staged = staged.where(F.col(REFUSED).isNull()).drop(REFUSED)
+    run_prep(ws, provider, table)
     if key not in staged.columns:
         return Outcome(provider.name, table, "failed", message=f"staging has no {key}")
     version = ws.store.latest(table)
@@ -299,11 +318,33 @@ def run_table(
             if feed.rules in READ_TWICE:
                 merged = freeze(merged, f"upsert-{table}")
             hot = skewed_keys(ws, core, staged, provider, table, feed.rules)
+            if feed.rules in FILLED and core.count() + staged.count() > FLOOR:
+                filled = filled_keys(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot, pins))
+                hot = {k: sorted({*hot.get(k, []), *filled.get(k, [])}) for k in {*hot, *filled}}
             merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot, pins))
         written = ws.write(table, merged, version, touched, pins)
     skipped = null_keys(staged, key).count()
-    message = f"{skipped} staged rows without {key}" if skipped else None
-    return Outcome(provider.name, table, "written", written, message)
+    said = [f"{skipped} staged rows without {key}"] if skipped else []
+    said += [f"{refused} staged rows set aside for cells of another type"] if refused else []
+    return Outcome(provider.name, table, "written", written, "; ".join(said) or None)
+
+
+def _set_aside(ws: Workspace, provider: Provider, table: str, run: str, staged: DataFrame, key: str) -> int:
+    """Write the refused cells of a staged run, one row a cell; returns the number of rows they stand in."""
+    own = F.col(quoted(key)) if key in staged.columns else F.lit(None).cast("string")
+    rows = staged.where(F.col(REFUSED).isNotNull()).select(own.alias("key"), REFUSED)
+    cells = rows.select("key", F.inline(REFUSED))
+    path = ws.store.refused_path(provider.name, table, run)
+    cells.write.mode("overwrite").parquet(path)
+    return rows.count()
+
+
+def refused(ws: Workspace, provider: Provider, table: str, run: str) -> DataFrame:
+    """(key, column, value, type) of the cells that a run has set aside; empty if it has none."""
+    path = ws.store.refused_path(provider.name, table, run)
+    if not ws.store.complete(path):
+        return ws.store.spark.createDataFrame([], "key string, column string, value string, type string")
+    return ws.store.spark.read.parquet(path)
 
 
 def run_all(

@@ -263,6 +263,9 @@ class Store:
     def marked(self, path: str) -> bool:
         return bool(_glob(self.spark, f"{path}.done"))
 
+    def refused_path(self, provider: str, table: str, run: str) -> str:
+        return f"{self.root}/refused/{provider}/{table}/run={run}"
+
     def append_log(self, name: str, df: DataFrame) -> None:
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/log/{name}")
 

@@ -101,6 +101,7 @@ class TableFeed:
     rules: str | None = None  # name of the rules run after the upsert
     order_by: tuple[str, ...] = ()  # which of several staged rows of a key wins
     geo_parity: bool = False
+    set_aside: bool = False  # rows with a cell of another type, instead of failing the run
 
 
 @dataclass(frozen=True)
