@@ -9,14 +9,17 @@ at least one sketched shingle in the document: the search loses no hit. Document
 a partition's least size allows skip it. Candidates are verified by the exact shingles, as
 words, not hashes.
 
+An item of fewer words than a shingle is one shingle, its whole sequence of words; such items
+are searched by the hashes of that many consecutive words and verified by the words.
+
 Words are runs of letters and digits, lower-cased, so punctuation and case do not hide a copy.
 Items are searched in blocks of a bounded number of bytes: each block's sketches travel to all
 tasks and every document is read once per block.
 
-Defined cases: null or empty texts contain nothing; items with fewer words than a shingle are
-not searched (a few words say nothing); a null item id is an id. Identical rows give identical
-hits, equal items each give theirs. An empty table on either side gives no hits. Documents are
-read whole.
+Defined cases: null texts and texts without words contain nothing and are contained in nothing;
+a null item id is an id. Identical rows give identical hits, equal items each give theirs; rows
+that share an id are told apart by ``key``, a hash of their text. An empty table on either side
+gives no hits. Documents are read whole.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyloom.llm.words import mix, sequence_hash
 
@@ -73,59 +77,69 @@ def _hashes(words: list[str], vocabulary: _Vocabulary, k: int) -> np.ndarray:
 
 
 class Sketches:
-    """The sketches of a block of items, by size partition."""
+    """The sketches of a block of items, by shingle length and size partition."""
 
     def __init__(self, items: list[tuple[object, str]], k: int, percent: int) -> None:
         self.k, self.percent = k, percent
         vocabulary = _Vocabulary()
+        # (item, its shingles, their length)
         self.sets: list[tuple[object, set[Shingle], int]] = []
-        posted: dict[int, list[int]] = defaultdict(list)
+        posted: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for item_id, text in items:
             words = normal_words(text)
-            exact = shingles(words, k)
-            if not exact:
+            length = min(k, len(words))
+            if not length:
                 continue
+            exact = shingles(words, length)
             # partition: sizes from u / 2 + 1 to u, u a power of two
             u = 1 << (len(exact) - 1).bit_length()
-            least = -(-percent * (u // 2 + 1) // 100)
             number = len(self.sets)
-            self.sets.append((item_id, exact, least))
-            for h in np.unique(_hashes(words, vocabulary, k))[: (100 - percent) * u // 100 + 1]:
-                posted[int(h)].append(number)
-        self.values = np.array(sorted(posted), np.uint64)
-        self.items = [posted[int(v)] for v in self.values]
-
-    def candidates(self, hashes: np.ndarray) -> set[int]:
-        if not len(self.values) or not len(hashes):
-            return set()
-        at = np.minimum(np.searchsorted(self.values, hashes), len(self.values) - 1)
-        found = {i for a in np.unique(at[self.values[at] == hashes]).tolist() for i in self.items[a]}
-        return {i for i in found if len(hashes) >= self.sets[i][2]}
-
-
-def _searcher(sketches, kind: pa.DataType, item_kind: pa.DataType):
+            self.sets.append((item_id, exact, length))
+            for h in np.unique(_hashes(words, vocabulary, length))[: (100 - percent) * u // 100 + 1]:
+                posted[length, u][int(h)].append(number)
+        # per partition: shingle length, least number of shingles of a document, sketched hashes, their items
+        self.parts = [
+            (length, -(-percent * (u // 2 + 1) // 100), np.array(sorted(p), np.uint64), [p[h] for h in sorted(p)])
+            for (length, u), p in sorted(posted.items())
+        ]
+
+    def candidates(self, words: list[str], vocabulary: _Vocabulary) -> set[int]:
+        found: set[int] = set()
+        hashes: dict[int, np.ndarray] = {}
+        for length, least, values, items in self.parts:
+            if length not in hashes:
+                hashes[length] = _hashes(words, vocabulary, length)
+            own = hashes[length]
+            if len(own) < least or not len(own):
+                continue  # too small for any item of the partition
+            at = np.minimum(np.searchsorted(values, own), len(values) - 1)
+            found.update(i for a in np.unique(at[values[at] == own]).tolist() for i in items[a])
+        return found
+
+
+def _searcher(sketches, item_kind: pa.DataType):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Sketches = sketches.value
         vocabulary = _Vocabulary()
         for batch in batches:
             hits = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for row, text in enumerate(batch["text"]):
                 words = normal_words(text.as_py() or "")
-                candidates = block.candidates(_hashes(words, vocabulary, block.k))
-                if not candidates:
-                    continue
-                exact = shingles(words, block.k)
+                candidates = block.candidates(words, vocabulary)
+                exact: dict[int, set[Shingle]] = {}
                 for i in candidates:
-                    item_id, wanted, _ = block.sets[i]
-                    both = len(wanted & exact)
+                    item_id, wanted, length = block.sets[i]
+                    if length not in exact:
+                        exact[length] = shingles(words, length)
+                    both = len(wanted & exact[length])
                     if 100 * both >= block.percent * len(wanted):
-                        hits.append((doc_id.as_py(), item_id, both, len(wanted)))
+                        hits.append((row, item_id, both, len(wanted)))
             if hits:
-                columns = zip(*hits, strict=True)
-                kinds = (kind, item_kind, pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "n_found", "n_shingles"]
-                )
+                rows, *columns = zip(*hits, strict=True)
+                kinds = (item_kind, pa.int64(), pa.int64())
+                found = [batch[c].take(pa.array(rows)) for c in ("doc_id", "key")]
+                found += [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(found, names=["doc_id", "key", "item_id", "n_found", "n_shingles"])
 
     return search
 
@@ -141,19 +155,18 @@ def find_items(
     item_text: str = "text",
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """(doc_id, item_id, n_found, n_shingles): items contained in documents to ``percent``."""
+    """(doc_id, key, item_id, n_found, n_shingles): items contained in documents to ``percent``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     wanted = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
-    kinds = [df.schema[0].dataType.simpleString() for df in (rows, wanted)]
-    arrow = [pa.int64() if x == "bigint" else pa.int32() if x == "int" else pa.string() for x in kinds]
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_found long, n_shingles long"
+    kind, item_kind = (df.schema[0].dataType for df in (rows, wanted))
+    schema = f"doc_id {kind.simpleString()}, key long, item_id {item_kind.simpleString()}, n_found long, n_shingles long"
     found = spark.createDataFrame([], schema)
     block, size = [], 0
 
     def searched(block) -> DataFrame:
         sketches = spark.sparkContext.broadcast(Sketches(block, k, percent))
-        return rows.mapInArrow(_searcher(sketches, *arrow), schema)
+        return rows.mapInArrow(_searcher(sketches, to_arrow_type(item_kind)), schema)
 
     # a block at a time on the driver, at most block_chars and one item of text
     for item in wanted.orderBy("item_id", "text").toLocalIterator():

@@ -183,8 +183,11 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
 
 
 def dedup_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id: str = "doc_id", text: str = "text", into: str = "line_dedup") -> DataFrame:
-    """``docs`` without the deleted lines, and the struct ``into``: n_deleted, n_blocks, n_partners, emptied."""
-    columns = docs.columns
+    """``docs`` without the deleted lines, and the struct ``into``: n_deleted, n_blocks, n_partners, emptied.
+
+    ``into`` replaces a column of that name.
+    """
+    columns = [c for c in docs.columns if c.lower() != into.lower()]
     gone = freeze(deletions(docs, rare, min_words, id, text), "gone").select(
         F.col("doc.id").alias("id"), F.col("doc.key").alias("key"), "gone", "n_blocks", "n_partners"
     )

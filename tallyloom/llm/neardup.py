@@ -155,7 +155,8 @@ def sketches(docs: DataFrame, k: int, lower: bool, id: str = "doc_id", text: str
 
 def links(docs: DataFrame, sketched: DataFrame, k: int, lower: bool, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b): similar classes, enough links to connect all that are connected."""
-    classes = sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    source = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    classes = sketched.where("n > 0").groupBy("node").agg(F.min(source).alias("source"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     classes = freeze(classes, "classes")
     posted = classes.select("node", F.posexplode("sig").alias("c", "v"))
     counts = posted.groupBy("c", "v").agg(F.count("*").alias("df")).where("df > 1")
@@ -166,9 +167,11 @@ def links(docs: DataFrame, sketched: DataFrame, k: int, lower: bool, percent: in
     wanted = own.join(classes, "node").withColumn("mask", F.expr("aggregate(list, 0, (a, x) -> a | shiftleft(1, x.c))"))
     wanted = freeze(wanted, "candidates")
 
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    ids = wanted.select("node", F.col("doc_id").alias("id"))
-    texts = rows.join(ids, rows["id"].eqNullSafe(ids["id"])).select("node", "text")
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
+    ids = wanted.select("node", F.col("source.doc_id").alias("id"), F.col("source.key").alias("key"))
+    same = rows["id"].eqNullSafe(ids["id"]) & (rows["key"] == ids["key"])
+    # one text per class: rows that agree in id and text combine before the shuffle
+    texts = rows.join(ids, same).select("node", "text").dropDuplicates(["node"])
     sets = texts.mapInArrow(_set_maker(k, lower), "node binary, own binary, shingles binary, fine array<tinyint>")
     sets = freeze(sets.where("node = own").drop("own").dropDuplicates(["node"]), "sets")
     postings = freeze(wanted.select("node", F.explode("list").alias("e")).select("node", "e.c", "e.v"), "postings")

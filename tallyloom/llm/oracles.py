@@ -80,13 +80,14 @@ FROM words d LEFT JOIN kept USING (doc_id)
 LEAKS = """
 WITH items AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL),
 docs AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
-a AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
-      FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM items WHERE len(w) >= 5)),
-b AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs WHERE len(w) >= 5)),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM items WHERE len(w) > 0),
+a AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+      FROM (SELECT item_id, w, least(len(w), 5) AS k, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM items WHERE len(w) > 0)),
+b AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, lengths WHERE len(w) >= k)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM a GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS n_found, any_value(n_shingles) AS n_shingles
-FROM a JOIN b USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id
+FROM a JOIN b USING (k, s) JOIN n USING (item_id) GROUP BY doc_id, item_id
 HAVING 100 * count(*) >= 80 * any_value(n_shingles)
 """
 

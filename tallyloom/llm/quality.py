@@ -46,8 +46,8 @@ MAX_BROADCAST_STRATA = 10_000
 
 
 def measure(docs: DataFrame, text: str = "text", into: str = "q") -> DataFrame:
-    """``docs`` with the counts of each text as the struct column ``into``."""
-    kept = docs.columns
+    """``docs`` with the counts of each text as the struct column ``into``, which replaces one of that name."""
+    kept = [c for c in docs.columns if c.lower() != into.lower()]
     t = F.coalesce(F.col(text), F.lit(""))
     df = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
@@ -185,11 +185,11 @@ def fit(
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang", q: str = "q", into: str = "verdict") -> DataFrame:
-    """``measured`` with the struct ``into``: base_failed, kept, and the features that reject."""
-    kept = measured.columns
+    """``measured`` with the struct ``into``: base_failed, kept, and what rejects; it replaces a column of that name."""
+    kept = [c for c in measured.columns if c.lower() != into.lower()]
     small = cutoffs.limit(MAX_BROADCAST_STRATA + 1).count() <= MAX_BROADCAST_STRATA
     name = F.coalesce(F.concat(F.lit("="), F.col(stratum)), F.lit("null"))
-    df = measured.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), name.alias("stratum"))
+    df = measured.select(F.struct(*[F.col(f"`{c}`") for c in {**dict.fromkeys(kept), q: None}]).alias("row"), name.alias("stratum"))
     # a handful of strata; with very many the planner shuffles and splits hot ones
     df = df.join(F.broadcast(cutoffs) if small else cutoffs, "stratum", "left")
     failed = base_failed(f"row.{q}")

@@ -15,8 +15,9 @@ Repeated pieces and edges go back to source coordinates, where touching ones clo
 long spans. Identity is by 128 bits (minimiser and piece or edge hash from different bases).
 
 Defined cases: a null text has no words; texts shorter than ``width`` have no windows. Rows are
-documents of their own: a row repeated whole repeats all its windows. Rows that share an id
-are told apart by a hash of their words. An empty table gives no rows. Texts are read whole.
+documents of their own: a row repeated whole repeats all its windows. Rows that share an id,
+or have none, are told apart by a hash of their text. An empty table gives no rows. Texts are
+read whole.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.words import Block, blocks, sequence_hash
@@ -48,11 +49,6 @@ def _sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def text_keys(block: Block) -> np.ndarray:
-    """A hash of each text's words."""
-    return sequence_hash(block.hash, block.first[:-1], np.diff(block.first), _EDGE_BASE)
-
-
 def _pieces(block: Block, width: int, probe: int):
     """(text, first window, windows, minimiser hash, piece hash) of every piece."""
     n = len(block.hash)
@@ -85,7 +81,7 @@ def _piece_rows(width: int, probe: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].take(pa.array(doc + block.row)),
-                        pa.array(text_keys(block).view(np.int64)[doc]),
+                        batch["key"].take(pa.array(doc + block.row)),
                         pa.array(start.astype(np.int32)),
                         pa.array(count.astype(np.int32)),
                         pa.array(minimiser),
@@ -97,19 +93,13 @@ def _piece_rows(width: int, probe: int):
     return rows
 
 
-def _spans_of(rows: pa.ListArray, i: int, key: int) -> list[dict]:
-    listed = rows[i].as_py() or []
-    return [x for x in listed if x["key"] == key]
-
-
 def _edge_rows(width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
-                keys = text_keys(block).view(np.int64)
                 m, p, offset, at, copies = [], [], [], [], []
                 for t in range(block.texts):
-                    for x in _spans_of(batch["pieces"], block.row + t, keys[t]):
+                    for x in batch["pieces"][block.row + t].as_py():
                         m.append(np.full(x["n"], x["m"]))
                         p.append(np.full(x["n"], x["p"]))
                         copies.append(np.full(x["n"], x["copies"]))
@@ -123,9 +113,17 @@ def _edge_rows(width: int):
     return rows
 
 
+def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
+    return docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"))
+
+
+def _same(rows: DataFrame, listed: DataFrame) -> Column:
+    return rows["doc_id"].eqNullSafe(listed["id"]) & (rows["key"] == listed["text_key"])
+
+
 def repeated_spans(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, key, start, n): runs of n repeated windows from the word ``start`` on; they may touch or overlap."""
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    rows = _keyed(docs, id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     pieces = rows.mapInArrow(_piece_rows(width, probe), f"doc_id {kind}, key long, start int, n int, m long, p long")
     pieces = freeze(pieces, "pieces")
@@ -140,10 +138,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id:
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "key", "start", "n")).alias("source")
     )
     # at most the pieces of one text per group
-    sources = distinct.groupBy(F.col("source.doc_id").alias("id")).agg(
-        F.collect_list(F.struct("source.key", "source.start", "source.n", "m", "p", "copies")).alias("pieces")
+    sources = distinct.groupBy(F.col("source.doc_id").alias("id"), F.col("source.key").alias("text_key")).agg(
+        F.collect_list(F.struct("source.start", "source.n", "m", "p", "copies")).alias("pieces")
     )
-    opened = rows.join(sources, rows["doc_id"].eqNullSafe(sources["id"])).select("text", "pieces")
+    opened = rows.join(sources, _same(rows, sources)).select("text", "pieces")
     edges = opened.mapInArrow(_edge_rows(width), "m long, p long, offset int, copies long, edge long")
     # two rows of one id and text open the same pieces twice
     edges = freeze(edges.dropDuplicates(["m", "p", "offset"]), "edges")
@@ -158,12 +156,11 @@ def _remover(width: int, texts_too: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch["text"]):
-                keys = text_keys(block).view(np.int64)
                 texts = batch["text"].slice(block.row, block.texts)
                 total, gone, kept, digests = [], [], [], []
                 for t, text in enumerate(texts):
                     words = (text.as_py() or "").encode().split()
-                    spans = _spans_of(batch["spans"], block.row + t, keys[t])
+                    spans = batch["spans"][block.row + t].as_py()
                     if spans:
                         edge = np.zeros(len(words) + 1, np.int64)
                         start = np.array([x["start"] for x in spans])
@@ -187,10 +184,10 @@ def _remover(width: int, texts_too: bool):
 def remove_repeats(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id: str = "doc_id", text: str = "text", texts_too: bool = True) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and (if wanted) the kept words joined by a space."""
     spans = repeated_spans(docs, width, probe, id, text)
-    # at most the windows of one text per group
-    listed = spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("key", "start", "n")).alias("spans"))
+    # at most the windows of one text per group: identical rows have the same ones, which are kept once
+    listed = spans.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("text_key")).agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     listed = freeze(listed, "spans")
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    rows = _keyed(docs, id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    joined = rows.join(listed, rows["doc_id"].eqNullSafe(listed["id"]), "left").select("doc_id", "text", "spans")
+    joined = rows.join(listed, _same(rows, listed), "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_remover(width, texts_too), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")

@@ -5,6 +5,11 @@ texts is one byte buffer; words, their hashes and the hashes of k-word windows c
 prefix sums over it, so the cost is a fixed number of passes per byte and per word. Blocks
 are cut by bytes, so memory does not depend on how many rows an Arrow batch holds; a single
 text longer than a block makes a block of its own.
+
+A word's hash is the sum of a mixed value for each pair of a byte and its place in the word. A
+polynomial of the bytes modulo 2**64 would not do: words of a thousand letters can be made, and
+occur in generated text, on which all such polynomials agree. Windows are polynomials of word
+hashes, over fewer words than such a construction needs.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ BLOCK_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE_BASE = 0x9E3779B97F4A7C15
+_BYTE_STEP = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
 
@@ -125,10 +130,22 @@ def _block(row: int, data: np.ndarray, bounds: np.ndarray) -> Block:
     after[bounds[1:] - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    hashes = sequence_hash(data.astype(np.uint64) + np.uint64(1), start, end - start, _BYTE_BASE)
+    hashes = _word_hashes(data, start, end)
     return Block(row, texts, data, start, end, np.searchsorted(start, bounds), hashes)
 
 
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    length = end - start
+    if not len(start):
+        return np.empty(0, np.uint64)
+    first = np.cumsum(length) - length
+    place = np.arange(length.sum()) - np.repeat(first, length)
+    letters = data[place + np.repeat(start, length)]
+    # place and byte are one number, spread by an odd factor before the bits are mixed
+    values = mix((place.astype(np.uint64) << np.uint64(8) | letters) * np.uint64(_BYTE_STEP) + np.uint64(1))
+    return mix(np.add.reduceat(values, first) + length.astype(np.uint64))
+
+
 def distinct_per_text(texts: int, doc: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ``values`` of each text, ascending, and the texts + 1 bounds of each text's part."""
     order = np.lexsort((values, doc))

@@ -118,16 +118,6 @@ def repeats(texts, width):
     return out
 
 
-def _rise(pairs):
-    """A longest strictly rising run of the second members, the one patience sorting ends on."""
-    best, back = [1] * len(pairs), [-1] * len(pairs)
-    for i, (_, q) in enumerate(pairs):
-        for j in range(i):
-            if pairs[j][1] < q and best[j] + 1 > best[i]:
-                best[i], back[i] = best[j] + 1, j
-    return max(best, default=0)
-
-
 def line_entries(text, min_words):
     seen, out = Counter(), {}
     for i, raw in enumerate((text or "").split("\n")):
@@ -138,37 +128,85 @@ def line_entries(text, min_words):
     return out
 
 
-def deleted_lines(rows, rare, min_words):
-    """Number of deleted lines per (id, text), ids distinct and in order."""
+def partners(found, rare):
+    """Per document, the earlier ones it is to be aligned with."""
     owner, df = {}, Counter()
-    found = [line_entries(t, min_words) for _, t in rows]
     for i, entries in enumerate(found):
         for e in entries:
             owner.setdefault(e, i)
             df[e] += 1
-    out = []
     for i, entries in enumerate(found):
-        limit = max(rare, min((df[e] for e in entries), default=0))
-        by = defaultdict(list)
-        for e, pos in entries.items():
+        least = defaultdict(lambda: len(found) + 1)
+        for e in entries:
             if owner[e] != i:
-                by[owner[e]].append((pos, found[owner[e]][e], df[e]))
-        out.append(sum(_rise(sorted((p, q) for p, q, _ in x)) for x in by.values() if min(d for *_, d in x) <= limit))
+                least[owner[e]] = min(least[owner[e]], df[e])
+        limit = max([rare, *([min(least.values())] if least else [])])
+        yield sorted(o for o, n in least.items() if n <= limit)
+
+
+def rise(pairs):
+    """A longest rising run, as pairs: piles of patience sorting, each card pointing to the top of the pile before."""
+    piles, back = [], {}
+    for i, (_, q) in enumerate(pairs):
+        k = next((k for k, pile in enumerate(piles) if pairs[pile[-1]][1] >= q), len(piles))
+        if k == len(piles):
+            piles.append([])
+        back[i] = piles[k - 1][-1] if k else None
+        piles[k].append(i)
+    out, i = [], piles[-1][-1] if piles else None
+    while i is not None:
+        out.append(pairs[i])
+        i = back[i]
+    return out[::-1]
+
+
+def deleted(rows, rare=64, min_words=4):
+    """Positions each (id, text) loses; ids distinct and in order."""
+    cut = [[x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")] for _, t in rows]
+    entries = [line_entries(t, min_words) for _, t in rows]
+    chosen = [dict(e) | ({("whole", tuple(x for x in c if x)): -1} if e else {}) for e, c in zip(entries, cut, strict=True)]
+    out = []
+    for i, others in enumerate(partners(chosen, rare)):
+        gone = set()
+        for j in others:
+            kept = rise(sorted((p, entries[j][e]) for e, p in entries[i].items() if e in entries[j]))
+            for p, q in kept:
+                gone.add(p)
+                for step in (1, -1):
+                    a, b = p + step, q + step
+                    while True:
+                        while 0 <= a < len(cut[i]) and not cut[i][a]:
+                            a += step
+                        while 0 <= b < len(cut[j]) and not cut[j][b]:
+                            b += step
+                        if not (0 <= a < len(cut[i]) and 0 <= b < len(cut[j])) or cut[i][a] != cut[j][b] or len(words(cut[i][a])) >= min_words:
+                            break
+                        gone.add(a)
+                        a, b = a + step, b + step
+        out.append(gone)
     return out
 
 
+def deleted_lines(rows, rare, min_words):
+    """Number of deleted lines per (id, text), ids distinct and in order."""
+    return [len(x) for x in deleted(rows, rare, min_words)]
+
+
 def contained(docs, items, k=5, percent=80):
-    def sets(text):
-        w = re.findall(r"[^\W_]+", (text or "").lower())
-        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    def split(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    def sets(w, n):
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
-    wanted = [(i, sets(t)) for i, t in items]
+    wanted = [(i, w, min(k, len(w))) for i, w in ((i, split(t)) for i, t in items) if w]
     out = []
     for d, t in docs:
-        s = sets(t)
-        for i, w in wanted:
-            if w and 100 * len(w & s) >= percent * len(w):
-                out.append((d, i, len(w & s), len(w)))
+        own = split(t)
+        for i, w, n in wanted:
+            all_, found = sets(w, n), sets(w, n) & sets(own, n)
+            if 100 * len(found) >= percent * len(all_):
+                out.append((d, i, len(found), len(all_)))
     return out
 
 

@@ -22,54 +22,6 @@ def own(i, n=6):
     return [f"document {i} has a line number {j}" for j in range(n)]
 
 
-def partners(found, rare):
-    """Per document, the earlier ones it is to be aligned with."""
-    owner, df = {}, Counter()
-    for i, entries in enumerate(found):
-        for e in entries:
-            owner.setdefault(e, i)
-            df[e] += 1
-    for i, entries in enumerate(found):
-        least = defaultdict(lambda: len(found) + 1)
-        for e in entries:
-            if owner[e] != i:
-                least[owner[e]] = min(least[owner[e]], df[e])
-        limit = max([rare, *([min(least.values())] if least else [])])
-        yield sorted(o for o, n in least.items() if n <= limit)
-
-
-def rise(pairs):
-    """A longest rising run by the same patience rule, as pairs."""
-    return [pairs[i] for i in lines.longest_rise([q for _, q in pairs])]
-
-
-def deleted(rows, rare=64, min_words=4):
-    """Positions each (id, text) loses; ids distinct and in order."""
-    cut = [[x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")] for _, t in rows]
-    entries = [brute.line_entries(t, min_words) for _, t in rows]
-    chosen = [dict(e) | ({("whole", tuple(x for x in c if x)): -1} if e else {}) for e, c in zip(entries, cut, strict=True)]
-    out = []
-    for i, others in enumerate(partners(chosen, rare)):
-        gone = set()
-        for j in others:
-            kept = rise(sorted((p, entries[j][e]) for e, p in entries[i].items() if e in entries[j]))
-            for p, q in kept:
-                gone.add(p)
-                for step in (1, -1):
-                    a, b = p + step, q + step
-                    while True:
-                        while 0 <= a < len(cut[i]) and not cut[i][a]:
-                            a += step
-                        while 0 <= b < len(cut[j]) and not cut[j][b]:
-                            b += step
-                        if not (0 <= a < len(cut[i]) and 0 <= b < len(cut[j])) or cut[i][a] != cut[j][b] or len(brute.words(cut[i][a])) >= min_words:
-                            break
-                        gone.add(a)
-                        a, b = a + step, b + step
-        out.append(gone)
-    return out
-
-
 def lost(docs, rows, **options):
     got = {r.doc_id: r for r in lines.dedup_lines(docs(rows), **options).collect()}
     return {i: got[i] for i, _ in rows}
@@ -106,7 +58,7 @@ def test_equals_plain_version(docs, seed, rare):
                 text.append(rng.choice([*common, "", f"line of document {i} only"]))
         rows.append((i, "\n".join(text) if rng.random() < 0.7 or not rows else rng.choice(rows)[1]))
     got = lost(docs, rows, rare=rare)
-    assert [got[i].line_dedup.n_deleted for i, _ in rows] == [len(x) for x in deleted(rows, rare)]
+    assert [got[i].line_dedup.n_deleted for i, _ in rows] == [len(x) for x in brute.deleted(rows, rare)]
 
 
 def test_short_lines_go_with_their_block(docs):
@@ -116,7 +68,7 @@ def test_short_lines_go_with_their_block(docs):
     assert got[1].text == rows[0][1] and got[4].text == rows[3][1]
     assert got[2].line_dedup.emptied and got[2].text == ""
     assert [x for x in got[3].text.split("\n") if x] == ["Other title", "Part three"]
-    assert [got[i].line_dedup.n_deleted for i, _ in rows] == [len(x) for x in deleted(rows)]
+    assert [got[i].line_dedup.n_deleted for i, _ in rows] == [len(x) for x in brute.deleted(rows)]
 
 
 def test_short_lines_align_once():

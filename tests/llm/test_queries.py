@@ -22,7 +22,7 @@ from tallyloom.llm.queries import ORACLE, QUERIES  # noqa: E402
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
     found = con.execute(ORACLE[name])
     names = [x[0] for x in found.description]
