@@ -15,21 +15,32 @@ from tallyloom.llm.queries import TOKENIZER, prepare, table
 from tallyloom.session import freeze
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the fitted cutoffs reject."""
     prepare(spark)
-    narrow = freeze(quality.measure(docs, into="_q").select("doc_id", "lang", "_q"), "quality")
-    cutoffs = freeze(quality.fit(narrow, table(spark, sf_dir, "labels"), q="_q"), "cutoffs")
+    counts, verdict = _unused(docs, "counts"), _unused(docs, "verdict")
+    measured = quality.measure(docs, into=counts)
+    narrow = freeze(measured.select("doc_id", "lang", counts), "quality")
+    cutoffs = freeze(quality.fit(narrow, table(spark, sf_dir, "labels"), q=counts), "cutoffs")
     # measured again instead of joined back, so texts stay where they are
-    judged = quality.judge(quality.measure(docs, into="_q"), cutoffs, q="_q", into="_verdict")
-    return judged.where("_verdict.kept").select(*docs.columns)
+    judged = quality.judge(measured, cutoffs, q=counts, into=verdict)
+    return judged.where(F.col(verdict)["kept"]).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that align with an earlier document; those left without a word go."""
-    done = lines.dedup_lines(docs, into="_lines").where("not _lines.emptied")
+    into = _unused(docs, "line_dedup")
+    done = lines.dedup_lines(docs, into=into).where(~F.col(into)["emptied"])
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("_lines.n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        changed = F.when(F.col(into)["n_deleted"] > 0, F.length("text")).otherwise(F.col("n_chars"))
         done = done.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)
 
@@ -55,10 +66,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item; rows that share an id go by their own text."""
     hits = containment.find_items(docs, table(spark, sf_dir, "benchmark"))
-    hits = freeze(hits.select(F.col("doc_id").alias("_id")).distinct(), "hits")
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_id"]), "left_anti")
+    hits = freeze(hits.select("doc_id", "key").distinct(), "hits")
+    same = docs["doc_id"].eqNullSafe(hits["doc_id"]) & (F.xxhash64(docs["text"]) == hits["key"])
+    return docs.join(hits, same, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
