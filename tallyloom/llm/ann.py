@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.vectors import dimension, finite, gathered, matrix
+from tallyloom.llm.vectors import dimension, finite, gathered, matrix, sampled
 from tallyloom.session import freeze
 
 LIST_ROWS, MAX_LISTS = 256, 4096
@@ -233,7 +233,8 @@ def nearest(rows: DataFrame, queries: Column | str, k: int = 10, id: str = "vec_
         return spark.createDataFrame([], schema)
     most = max(1, min(MAX_LISTS, LIST_BYTES // (8 * dim)))
     size = max(most, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dim)))
-    sample = rows.orderBy(F.xxhash64("id", "vector")).limit(size).select("vector").toArrow()
+    order = F.xxhash64("id", "vector", F.monotonically_increasing_id())
+    sample = sampled(rows.withColumn("order", order), total, size).select("vector").toArrow()
     built = fit(matrix(sample["vector"], dim), min(most, -(-total // LIST_ROWS)), k)
     index = spark.sparkContext.broadcast(built)
 

@@ -8,12 +8,19 @@ returns its unused neighbours by score, which fill the window in that order; the
 longer fits is cut, and what is left of it seeds the next window. So only the last window of a
 shard is short.
 
-Shards are dealt by a hash and hold about ``SHARD`` rests each, whatever the size of the
-corpus. Document frequencies are one number per token of the vocabulary.
-
-Tokenising goes by chunks, leading white space and a word, which the byte-level pre-tokeniser
-never joins, through a bounded cache of their ids; texts with other white space than ASCII or
-with a special token's string are encoded whole.
+Shards hold about ``SHARD`` rests and are made by content, so that a seed finds its neighbours
+in its own shard whatever the size of the corpus. BM25 weights, folded into ``FOLDED`` signed
+sums, are the coordinates of a rest; a bounded sample is halved at medians into leaves of equal
+size; a rest belongs to the cell of its nearest and second nearest leaf mean. Cells are laid
+out in the order of the leaves, a rest takes a random place within its cell, and every
+``SHARD`` places are a shard: like rests are neighbours there, and a cell of very many, or of
+equal, rests is many shards. Document frequencies are one number per token of the vocabulary,
+cells at most ``LEAVES`` squared.
+
+Ids are those of the ``tokenizers`` file. Its vocabulary and merges are handed to ``tiktoken``,
+which applies the same byte-level merges faster; a text with a special token's string, or with
+characters outside the Latin blocks and general punctuation, about which the libraries' tables
+could differ, is encoded by ``tokenizers`` itself, as are all texts of a file of another kind.
 
 Defined cases: a null text is empty and has the end id only. Rows are documents of their own,
 also with equal ids. An empty table gives no rows. Texts are tokenised whole.
@@ -21,10 +28,9 @@ also with equal ids. An empty table gives no rows. Texts are tokenised whole.
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
 import re
-import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -32,28 +38,50 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from tallyloom.llm.ann import balanced_means, squares
+from tallyloom.llm.vectors import gathered, sampled
+from tallyloom.llm.words import mix
 from tallyloom.session import freeze
 
 WINDOW, END_ID = 2048, 1
 SHARD = 512
 K1, B = 1.2, 0.75
-CACHE = 600_000
-
-# White space and a word, cut after a run of Latin letters that an ASCII character follows: the
-# pre-tokeniser always cuts there, and words recur more often without their punctuation.
-_CHUNK = re.compile(
-    r"[ \t\n\r\x0b\x0c]*+(?:[A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\x00-\x7F])|[^ \t\n\r\x0b\x0c]+)|[ \t\n\r\x0b\x0c]+"
-)
-_OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+FOLDED = 128
+LEAVES, SAMPLE = 256, 8192
+
+_UNUSUAL = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e]")
+# Fixed value: how byte-level tokenizers of this kind cut a text before they merge.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself, if it can be printed."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def _ranks(path: str) -> dict[bytes, int] | None:
+    """Merge ranks of a byte-level file, or None if it is of another kind."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, cut = spec.get("model") or {}, spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+    if not plain or cut.get("add_prefix_space") or spec.get("normalizer") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    special = {t["content"] for t in spec.get("added_tokens") or ()}
+    letters = _byte_letters()
+    vocabulary = {bytes(map(letters.__getitem__, t)): i for t, i in model["vocab"].items() if t not in special}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    order = [model["vocab"]["".join(m)] for m in merges]
+    # ranks can be ids only if ids follow the order of the merges
+    return vocabulary if order == sorted(order) else None
 
 
 class Encoder:
-    """Texts to ids, as little-endian unsigned 32-bit bytes."""
+    """Texts to ids."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -62,54 +90,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size()
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks, all in one call: an input word of its own each."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        for i in range(0, len(chunks), 4096):
-            part = chunks[i : i + 4096]
-            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            first = (4 * np.searchsorted(found.word_ids, np.arange(len(part) + 1))).tolist()
-            self.cache.update(zip(part, (ids[a:b] for a, b in itertools.pairwise(first)), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        odd = [
-            (not t.isascii() and _OTHER_SPACE.search(t) is not None) or any(s in t for s in self.special) for t in texts
-        ]
-        whole = iter(self._encode([t for t, o in zip(texts, odd, strict=True) if o]))
-        chunked = [None if o else _CHUNK.findall(t) for t, o in zip(texts, odd, strict=True)]
-        distinct = set(itertools.chain.from_iterable(c for c in chunked if c))
-        new = distinct.difference(self.cache)
-        if new:
-            if len(self.cache) > CACHE:
-                new = distinct
-            self._learn(list(new))
-        get = self.cache.__getitem__
-        return [next(whole) if c is None else b"".join(map(get, c)) for c in chunked]
-
-
-def _groups(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    first, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > chars:
-            yield first, texts[first:i]
-            first, size = i, 0
-        size += len(t)
-    if first < len(texts):
-        yield first, texts[first:]
+        ranks = _ranks(path)
+        self.fast = None
+        if ranks is not None:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("byte_level", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def __call__(self, text: str) -> np.ndarray:
+        unusual = self.fast is None or (not text.isascii() and _UNUSUAL.search(text)) or any(s in text for s in self.special)
+        return self._encode(text) if unusual else self.fast.encode_to_numpy(text, disallowed_special=())
 
 
 PIECES = [("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary()), ("df", pa.binary())]
 
 
 def _tokeniser(path: str, kind: pa.DataType, window: int, end_id: int) -> Callable:
-    schema = pa.schema([("doc_id", kind), *PIECES])
+    names = ["doc_id", *(n for n, _ in PIECES)]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(path)
@@ -117,26 +117,29 @@ def _tokeniser(path: str, kind: pa.DataType, window: int, end_id: int) -> Callab
         seen, counts = np.zeros(size, bool), np.zeros(size, np.int64)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch["doc_id"].to_pylist(), [t or "" for t in batch["text"].to_pylist()]
-            for first, group in _groups(texts):
-                rows = []
-                for i, raw in enumerate(encode(group), first):
-                    raw += end
-                    values = np.frombuffer(raw, "<u4")
-                    seen[values] = True
-                    counts += seen
-                    seen[values] = False
-                    n = len(values)
-                    for start in range(0, n - window + 1, window):
-                        rows.append((ids[i], start, window, zlib.crc32(raw[4 * start : 4 * (start + window)]), n, None, None))
-                    start = n - n % window
-                    if start < n:
-                        rest = values[start:].astype("<u2" if size <= 1 << 16 else "<u4").tobytes()
-                        rows.append((ids[i], start, n - start, zlib.crc32(raw[4 * start :]), n, rest, None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            rows = []
+            for i, text in enumerate(batch["text"]):
+                values = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4", copy=False)
+                raw = values.tobytes()
+                seen[values] = True
+                counts += seen
+                seen[values] = False
+                n = len(values)
+                for start in range(0, n - window + 1, window):
+                    rows.append((i, start, window, zlib.crc32(raw[4 * start : 4 * (start + window)]), n, None, None))
+                start = n - n % window
+                if start < n:
+                    rest = values[start:].astype("<u2" if size <= 1 << 16 else "<u4").tobytes()
+                    rows.append((i, start, n - start, zlib.crc32(raw[4 * start :]), n, rest, None))
+            if rows:
+                at, *columns = zip(*rows, strict=True)
+                arrays = [batch["doc_id"].take(pa.array(at)), *(pa.array(c, k) for c, (_, k) in zip(columns, PIECES, strict=True))]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
         if counts.any():
             # one row per task: how many of its documents hold each token
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([None, 0, 0, 0, 0, None, counts.tobytes()], schema, strict=True)], schema=schema)
+            values = [0, 0, 0, 0, None, counts.tobytes()]
+            arrays = [pa.nulls(1, kind), *(pa.array([v], k) for v, (_, k) in zip(values, PIECES, strict=True))]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return tokenise
 
@@ -149,6 +152,49 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(counts[token])], names=["token", "df"])
 
 
+def weigh(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of a document that say something, and their BM25 weights."""
+    t, tf = np.unique(ids, return_counts=True)
+    keep = idf[t] > 0
+    t, tf = t[keep], tf[keep]
+    return t, idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
+
+
+def fold(docs: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarray:
+    """Unit vectors: each token's weight added to, or taken from, one of ``FOLDED`` sums."""
+    spread = mix(np.arange(len(idf), dtype=np.uint64) + np.uint64(1))
+    place, sign = (spread % np.uint64(FOLDED)).astype(np.int64), np.where(spread >> np.uint64(63), 1.0, -1.0)
+    out = np.empty((len(docs), FOLDED))
+    for i, ids in enumerate(docs):
+        t, w = weigh(ids, idf, mean)
+        out[i] = np.bincount(place[t], w * sign[t], FOLDED)
+    size = np.sqrt((out * out).sum(1, keepdims=True))
+    return np.divide(out, size, out=out, where=size > 0)
+
+
+def _rests(column: pa.Array, vocabulary: int) -> list[np.ndarray]:
+    wide = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    return [np.frombuffer(x.as_buffer(), wide) for x in column]
+
+
+def _placer(idf, mean: float, means: np.ndarray):
+    """The rows with the nearest and second nearest leaf of each rest."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in gathered(batches, 512):
+            d = squares(fold(_rests(part["ids"].combine_chunks(), len(idf.value)), idf.value, mean), means)
+            first = d.argmin(1)
+            if d.shape[1] > 1:
+                d[np.arange(len(d)), first] = np.inf
+            leaves = {"leaf": pa.array(first, pa.int32()), "second": pa.array(d.argmin(1), pa.int32())}
+            part = part.combine_chunks()
+            for name, values in leaves.items():
+                part = part.append_column(name, values)
+            yield from part.to_batches()
+
+    return place
+
+
 class Index:
     """BM25 postings of some documents (arrays of token ids)."""
 
@@ -156,12 +202,10 @@ class Index:
         self.n = len(docs)
         terms, owners, weights = [], [], []
         for i, ids in enumerate(docs):
-            t, tf = np.unique(ids, return_counts=True)
-            keep = idf[t] > 0
-            t, tf = t[keep], tf[keep]
+            t, w = weigh(ids, idf, mean)
             terms.append(t)
             owners.append(np.full(len(t), i))
-            weights.append(idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean)))
+            weights.append(w)
         self.terms = terms
         flat = np.concatenate(terms) if terms else np.empty(0, np.int64)
         order = np.argsort(flat, kind="stable")
@@ -208,40 +252,46 @@ def fill_windows(lengths: list[int], index: Index, window: int) -> Iterator[list
 
 
 def _packer(kind: pa.DataType, idf, mean: float, window: int) -> Callable:
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    schema = pa.schema([("doc_id", kind), *((n, pa.int64()) for n in names[1:])])
+    names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         base = int(key[0].as_py()) << 32
-        rows = sorted(table.to_pylist(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["start"], r["crc"], r["tokens"]))
+        # an order of its own for every group, whatever the order of arrival
+        table = table.sort_by([("salt", "ascending")])
+        rows = table.drop_columns(["doc_id"]).to_pylist()
         out, number = [], 0
-        for r in rows:
+        for i, r in enumerate(rows):
             if r["ids"] is None:
-                out.append((r["doc_id"], r["start"], r["length"], r["crc"], r["tokens"], base + number, 0))
+                out.append((i, r["start"], r["length"], r["crc"], r["tokens"], base + number, 0))
                 number += 1
-        rests = [r for r in rows if r["ids"] is not None]
+        rests = [i for i, r in enumerate(rows) if r["ids"] is not None]
         wide = "<u2" if len(idf.value) <= 1 << 16 else "<u4"
-        ids = [np.frombuffer(r["ids"], wide) for r in rests]
+        ids = [np.frombuffer(rows[i]["ids"], wide) for i in rests]
         for filled in fill_windows([len(x) for x in ids], Index(ids, idf.value, mean), window):
             offset = 0
             for doc, start, length in filled:
-                r, part = rests[doc], ids[doc][start : start + length]
-                out.append((r["doc_id"], r["start"] + start, length, zlib.crc32(part.astype("<u4").tobytes()), r["tokens"], base + number, offset))
+                r, part = rows[rests[doc]], ids[doc][start : start + length]
+                out.append((rests[doc], r["start"] + start, length, zlib.crc32(part.astype("<u4").tobytes()), r["tokens"], base + number, offset))
                 offset += length
             number += 1
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        at, *columns = zip(*out, strict=True)
+        taken = table["doc_id"].take(pa.array(at))
+        return pa.Table.from_arrays([taken, *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", *names])
 
     return pack
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, shard: int = SHARD, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    name = rows.schema["doc_id"].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32()}.get(name, pa.string())
+    name, kind = rows.schema["doc_id"].dataType.simpleString(), to_arrow_type(rows.schema["doc_id"].dataType)
     columns = f"doc_id {name}, start long, length long, crc long, tokens long, ids binary, df binary"
-    pieces = freeze(rows.mapInArrow(_tokeniser(tokenizer, kind, window, end_id), columns), "tokens")
+    pieces = rows.mapInArrow(_tokeniser(tokenizer, kind, window, end_id), columns)
+    # a number of its own for each row, fixed by being written
+    pieces = freeze(pieces.withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), "tokens")
     held = pieces.where("df is not null").select("df").mapInArrow(_token_counts, "token long, df long")
     counted = held.groupBy("token").agg(F.sum("df").alias("df")).collect()  # at most the vocabulary
     sizes = pieces.where("df is null").agg(
@@ -251,13 +301,36 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     for r in counted:
         df[r["token"]] = r["df"]
     idf = np.maximum(0.0, np.log((sizes["docs"] - df + 0.5) / (df + 0.5))) if sizes["docs"] else df.astype(float)
-    shards = max(1, -(-max(sizes["rests"], sizes["all"] // 4) // SHARD))
-    dealt = pieces.where("df is null").select(
-        "doc_id", "start", "length", "crc", "tokens", "ids", F.pmod(F.xxhash64("doc_id", "start", "crc"), F.lit(shards)).alias("shard")
-    )
-    packer = _packer(kind, spark.sparkContext.broadcast(_padded(idf, tokenizer, end_id)), float(sizes["mean"] or 1), window)
+    weights, mean = _padded(idf, tokenizer, end_id), float(sizes["mean"] or 1)
+    idf = spark.sparkContext.broadcast(weights)
+    dealt = _dealt(pieces.where("df is null").drop("df"), idf, mean, sizes, shard)
     result = f"doc_id {name}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return dealt.groupBy("shard").applyInArrow(packer, result)
+    return dealt.groupBy("shard").applyInArrow(_packer(kind, idf, mean, window), result)
+
+
+def _dealt(pieces: DataFrame, idf, mean: float, sizes, shard: int) -> DataFrame:
+    """Pieces with their shard: rests by content, whole windows evenly."""
+    spark = pieces.sparkSession
+    shards = max(1, -(-max(sizes["rests"], sizes["all"] // 4) // shard))
+    evenly = F.pmod("salt", F.lit(shards))
+    if shards == 1 or not sizes["rests"]:
+        return pieces.withColumn("shard", evenly)
+    rests = pieces.where("ids is not null")
+    sample = sampled(rests.select("ids", F.xxhash64("salt").alias("order")), sizes["rests"], SAMPLE).select("ids").toArrow()["ids"].combine_chunks()
+    folded = np.unique(fold(_rests(sample, len(idf.value)), idf.value, mean), axis=0)
+    means = balanced_means(folded, max(1, min(LEAVES, len(folded) // 8, shards * 4)))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rests.schema)
+    placed = freeze(rests.mapInArrow(_placer(idf, mean, means), f"{schema}, leaf int, second int"), "placed")
+    cells = sorted(map(tuple, placed.groupBy("leaf", "second").count().collect()))  # LEAVES squared at most
+    count = np.array([n for *_, n in cells], np.int64)
+    base = np.cumsum(count) - count
+    listed = [(*c[:2], int(b), int(n)) for c, b, n in zip(cells, base, count, strict=True)]
+    cells = spark.createDataFrame(listed, "leaf int, second int, base long, count long")
+    # a place between 0 and 1 from 52 bits of the salt
+    share = F.shiftrightunsigned("salt", 12) / F.lit(float(1 << 52))
+    place = F.col("base") + F.floor(share * F.col("count"))
+    near = placed.join(F.broadcast(cells), ["leaf", "second"]).withColumn("shard", F.floor(place * shards / int(count.sum())))
+    return near.drop("leaf", "second", "base", "count").unionByName(pieces.where("ids is null").withColumn("shard", evenly))
 
 
 def _padded(idf: np.ndarray, tokenizer: str, end_id: int) -> np.ndarray:

@@ -49,3 +49,13 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
+
+
+def sampled(rows: DataFrame, total: int, size: int) -> DataFrame:
+    """At most ``size`` of about ``total`` rows, by ``order``, an even hash that differs from row to row.
+
+    Rows are thinned out before they are ordered, so that no task sees many more than ``size``.
+    """
+    share = min(1.0, 1.25 * size / max(total, 1) + 1e-6)
+    few = rows.where(F.pmod("order", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    return few.orderBy("order").limit(size)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import sys
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -377,8 +378,9 @@ def test_packing_encodes_as_the_tokenizer_does():
     rng = random.Random(3)
     parts = ["a", " ", "  ", "\n", "\xa0", "é", "'s", "don't", "\t", "<|endoftext|>", "12", "  x", "\x85", "\u3000", "\x1c", "word", "\r\n", "😀"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
-    want = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
-    assert packing.Encoder(TOKENIZER)(texts) == want
+    want = [e.ids for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
+    encode = packing.Encoder(TOKENIZER)
+    assert encode.fast is not None and [encode(t).tolist() for t in texts] == want
 
 
 def test_packing_neighbours_share_words():
@@ -393,6 +395,52 @@ def test_packing_neighbours_share_words():
     assert all(len({doc // 8 for doc, _, _ in w}) == 1 for w in windows) and len(windows) == 10
 
 
+def test_packing_encodes_all_texts_of_another_kind_of_file_itself():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode = packing.Encoder(path)
+    text = "Some Words, and  more words."
+    assert encode.fast is None and encode(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("shard", [24, 60, 10_000])
+def test_packing_by_content_at_several_shard_counts(docs, shard):
+    """Documents of a topic meet whether there are twenty shards, eight or one."""
+    rng = random.Random(8)
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    vocabulary = [w for w in map(lambda i: tokenizer.decode([i]), range(3000, 12_000)) if w[0] == " " and w[1:].isalpha() and w.isascii()][:1000]
+    rows = []
+    for i in range(480):
+        words = rng.sample(vocabulary[25 * (i % 40) : 25 * (i % 40) + 25], 20)
+        rows.append((i, "".join(rng.choices(words, k=60) + rng.sample(vocabulary, 6))))
+    rng.shuffle(rows)
+    got = packing.pack(docs(rows), TOKENIZER, window=512, shard=shard).collect()
+    by_doc, by_sequence = pieces_of(got)
+    assert len(by_doc) == 480
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append(r.doc_id % 40)
+    # neighbours of one topic, of all that share a sequence; by chance it would be one in forty
+    pairs = [(a == b) for topics in sequences.values() for i, a in enumerate(topics) for b in topics[:i]]
+    assert sum(pairs) > (0.5 if shard > 480 else 0.4) * len(pairs), sum(pairs) / len(pairs)
+    assert sum(gapless(p) < 512 for p in by_sequence.values()) <= max(1, -(-480 // shard))
+
+
+def test_packing_spreads_equal_rows(docs):
+    """Rows without id and text are many shards, not one."""
+    got = packing.pack(docs([(None, None)] * 300 + [(i, f"word{i} and more") for i in range(100)]), TOKENIZER, shard=50).collect()
+    assert sum(r.length for r in got if r.doc_id is None) == 300
+    sizes = Counter(r.sequence_id >> 32 for r in got)
+    assert len(sizes) == 8 and max(sizes.values()) < 110
+
+
+@pytest.mark.parametrize("kind,value", [("string", "k"), ("decimal(10,2)", None), ("date", None)])
+def test_packing_and_containment_take_any_id(spark, kind, value):
+    df = spark.createDataFrame([("a b c",), ("d e f",)], "text string").selectExpr(f"cast('2024' AS {kind}) AS doc_id" if kind != "date" else "date'2024-01-01' AS doc_id", "text")
+    assert packing.pack(df, TOKENIZER).count() == 2
+    items = spark.createDataFrame([("b",)], "text string").selectExpr("cast(1 AS decimal(5,1)) AS item_id", "text")
+    assert containment.find_items(df, items).count() == 1
+
+
 def test_empty_tables(docs, spark):
     none = docs([])
     assert quality.measure(none).isEmpty() and pii.find_pii(none).isEmpty() and secrets.find_secrets(none).isEmpty()
