@@ -91,7 +91,8 @@ def detect(text: str) -> dict[str, list[Span]]:
     }
 
 
-# Look-alike letters of other scripts, and digit words.
+# Look-alike letters of other scripts; digit words, signs and plus in English,
+# French, German and Spanish.
 HOMOGLYPHS = dict(
     zip(
         "аеорсухіјѕԁһкмтвнАВЕКМНОРСТУХІЈЅαοερικντυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
@@ -100,29 +101,37 @@ HOMOGLYPHS = dict(
     )
 )
 DIGIT_WORDS = {
-    "zero": "0",
+    **dict(zip("zero one two three four five six seven eight nine".split(), "0123456789", strict=True)),
+    **dict(zip("zéro un deux trois quatre cinq six sept huit neuf".split(), "0123456789", strict=True)),
+    **dict(zip("null eins zwei drei vier fünf sechs sieben acht neun".split(), "0123456789", strict=True)),
+    **dict(zip("cero uno dos tres cuatro cinco seis siete ocho nueve".split(), "0123456789", strict=True)),
     "oh": "0",
-    "one": "1",
-    "two": "2",
-    "three": "3",
-    "four": "4",
-    "five": "5",
-    "six": "6",
-    "seven": "7",
-    "eight": "8",
-    "nine": "9",
+    "une": "1",
+    "zwo": "2",
 }
-
-_DIGIT = "|".join(DIGIT_WORDS)
+AT_WORDS = ("at", "arobase", "arroba", "klammeraffe")
+DOT_WORDS = ("dot", "point", "punkt", "punto")
+PLUS_WORDS = ("plus", "más")
+
+# longer words first, so that none hides behind its beginning
+_DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_AT, _DOT_WORD, _PLUS = "|".join(AT_WORDS), "|".join(DOT_WORDS), "|".join(PLUS_WORDS)
+_SIGN = f"{_AT}|{_DOT_WORD}"
 _GLYPHS = "".join(HOMOGLYPHS) + "！-～"
+_LETTER = "A-Za-zÀ-ÿ"
 # a word of look-alikes counts when it also holds, or touches, ASCII letters, digits or address signs
 _MIXED = re.compile(rf"[A-Za-z0-9@._+-]*[{_GLYPHS}][A-Za-z0-9@._+{_GLYPHS}-]*")
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:plus[ -]+)?(?:{_DIGIT})(?:(?:[ ,-]{{1,2}}|[ ]dot[ ])(?:{_DIGIT}))+(?![A-Za-z])", re.I)
-_SPELLED_PART = re.compile(rf"plus[ -]+|{_DIGIT}|[ ]dot[ ]|[ ,-]+", re.I)
-_BRACKET = re.compile(r"[ ]{0,2}(?:\[[ ]?(at|dot)[ ]?\]|\([ ]?(at|dot)[ ]?\)|\{[ ]?(at|dot)[ ]?\}|<[ ]?(at|dot)[ ]?>)[ ]{0,2}", re.I)
-_WORDED = re.compile(r"(?<=[A-Za-z0-9_%+])([ ]at[ ])[A-Za-z0-9-]+(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9-]+)*[ ]dot[ ][A-Za-z]{2,}(?![A-Za-z])", re.I)
-_DOT = re.compile(r"[ ]dot[ ]", re.I)
-_HINT = re.compile(rf"[{_GLYPHS}]|(?:{_DIGIT})[ ,-]|[\[({{<][ ]?(?:at|dot)[ ]?[\])}}>]|[ ]dot[ ]", re.I)
+_SPELLED = re.compile(
+    rf"(?<![{_LETTER}])(?:(?:{_PLUS})[ -]+)?(?:{_DIGIT})(?:(?:[ ,-]{{1,2}}|[ ](?:{_DOT_WORD})[ ])(?:{_DIGIT}))+(?![{_LETTER}])", re.I
+)
+_SPELLED_PART = re.compile(rf"(?:{_PLUS})[ -]+|{_DIGIT}|[ ](?:{_DOT_WORD})[ ]|[ ,-]+", re.I)
+_BRACKET = re.compile(rf"[ ]{{0,2}}(?:\[[ ]?({_SIGN})[ ]?\]|\([ ]?({_SIGN})[ ]?\)|\{{[ ]?({_SIGN})[ ]?\}}|<[ ]?({_SIGN})[ ]?>)[ ]{{0,2}}", re.I)
+_WORDED = re.compile(
+    rf"(?<=[A-Za-z0-9_%+])([ ](?:{_AT})[ ])[A-Za-z0-9-]+(?:(?:[ ](?:{_DOT_WORD})[ ]|\.)[A-Za-z0-9-]+)*[ ](?:{_DOT_WORD})[ ][A-Za-z]{{2,}}(?![A-Za-z])",
+    re.I,
+)
+_DOT = re.compile(rf"[ ](?:{_DOT_WORD})[ ]", re.I)
+_HINT = re.compile(rf"[{_GLYPHS}]|(?:{_DIGIT})[ ,-]+(?:{_DIGIT}|{_DOT_WORD})|[\[({{<][ ]?(?:{_SIGN})[ ]?[\])}}>]|[ ](?:{_DOT_WORD})[ ]", re.I)
 
 Piece = tuple[int, int, str]
 
@@ -139,10 +148,11 @@ def _pieces(text: str) -> list[Piece]:
     for m in _SPELLED.finditer(text):
         for p in _SPELLED_PART.finditer(text, m.start(), m.end()):
             word = p[0].lower().strip(" ,-")
-            found.append((p.start(), p.end(), {"plus": "+", "dot": "."}.get(word, DIGIT_WORDS.get(word, ""))))
+            plain = "+" if word in PLUS_WORDS else "." if word in DOT_WORDS else DIGIT_WORDS.get(word, "")
+            found.append((p.start(), p.end(), plain))
     for m in _BRACKET.finditer(text):
         sign = next(g for g in m.groups() if g).lower()
-        found.append((m.start(), m.end(), "@" if sign == "at" else "."))
+        found.append((m.start(), m.end(), "@" if sign in AT_WORDS else "."))
     for m in _WORDED.finditer(text):
         found.append((m.start(1), m.end(1), "@"))
         found += [(d.start(), d.end(), ".") for d in _DOT.finditer(text, m.end(1) - 1, m.end())]

@@ -4,7 +4,7 @@ Base kinds: ``assign`` (a secret-like name and its value), ``access`` (key ident
 ``hex``. The method adds candidate strings of high entropy: for each character class, runs of
 its characters are walked with a window whose symbol counts change by one symbol in and one
 out, so the Shannon entropy ``log2(w) - sum(c * log2(c)) / w`` is updated from two counts per
-step. A run is reported when some window reaches the class's entropy, it is not on the allow
+step. The counts are kept, a letter for each distinct symbol of the run, and never taken again. A run is reported when some window reaches the class's entropy, it is not on the allow
 list and it overlaps no base span and no span of an earlier class. The classes are hex, base64
 (a digit, a lower-case and an upper-case letter), lower case with digits and upper case with
 digits; runs of letters alone are never reported.
@@ -53,6 +53,7 @@ CLASSES = (
     CharClass("entropy_upper", "A-Z0-9", 3.5, needs="(?=.*[0-9])(?=.*[G-Z])"),
 )
 WINDOW = 20
+_NONE = 64  # the letter of a count of 0; a window's counts stay below 64 more
 
 # Candidates that are no secrets: whole-string patterns.
 ALLOW = (
@@ -103,26 +104,45 @@ def _located(df: DataFrame, name: str, pattern: str) -> DataFrame:
 def window_entropy(text: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits, of any ``window`` symbols of ``text``; 0 for a shorter text."""
 
+    symbols = F.split(text, "")
+    alphabet = F.array_join(F.array_distinct(symbols), "")
+    # the symbol that comes in, and the one that leaves as it does, as places in the alphabet
+    moves = F.transform(
+        symbols,
+        lambda x, i: F.struct(
+            F.position(x, alphabet).alias("came"),
+            F.when(i >= window, F.position(F.get(symbols, i - window), alphabet)).alias("gone"),
+            (i >= window - 1).alias("full"),
+        ),
+    )
+
     def weight(count: Column) -> Column:
-        return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
-
-    def count(symbol: Column, inside: Column) -> Column:
-        return (F.length(inside) - F.length(F.replace(inside, symbol, F.lit("")))).cast("double")
-
-    def step(acc: Column, symbol: Column) -> Column:
-        full = F.length(acc["w"]) == window
-        rest = F.when(full, F.substring(acc["w"], 2, window)).otherwise(acc["w"])
-        gone = count(F.substring(acc["w"], 1, 1), rest)
-        came = count(symbol, rest)
-        out = F.when(full, weight(gone) - weight(gone + 1)).otherwise(F.lit(0.0))
-        total = acc["sum"] + out + weight(came + 1) - weight(came)
-        grown = F.concat(rest, symbol)
+        return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+
+    def held(counts: Column, place: Column) -> Column:
+        return F.ascii(F.substr(counts, place, F.lit(1))) - _NONE
+
+    def put(counts: Column, place: Column, count: Column) -> Column:
+        return F.overlay(counts, F.char(count + _NONE), place)
+
+    def step(acc: Column, move: Column) -> Column:
+        left = held(acc["counts"], move["gone"])
+        counts = F.when(move["gone"].isNull(), acc["counts"]).otherwise(put(acc["counts"], move["gone"], left - 1))
+        total = F.when(move["gone"].isNull(), acc["sum"]).otherwise(acc["sum"] + weight(left - 1) - weight(left))
+        return F.struct(counts.alias("counts"), total.alias("sum"), move.alias("move"), acc["best"].alias("best"))
+
+    def enter(acc: Column) -> Column:
+        place = acc["move"]["came"]
+        count = held(acc["counts"], place)
+        total = acc["sum"] + weight(count + 1) - weight(count)
         bits = F.log2(F.lit(float(window))) - total / window
-        best = F.when(F.length(grown) == window, F.greatest(acc["best"], bits)).otherwise(acc["best"])
-        return F.struct(grown.alias("w"), total.alias("sum"), best.alias("best"))
+        best = F.when(acc["move"]["full"], F.greatest(acc["best"], bits)).otherwise(acc["best"])
+        return F.struct(put(acc["counts"], place, count + 1).alias("counts"), total.alias("sum"), acc["move"].alias("move"), best.alias("best"))
 
-    start = F.struct(F.lit("").alias("w"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    return F.aggregate(F.split(text, ""), start, step, lambda acc: acc["best"])
+    none = F.struct(F.lit(1).alias("came"), F.lit(None).cast("int").alias("gone"), F.lit(False).alias("full"))
+    start = F.struct(F.repeat(F.lit(chr(_NONE)), F.length(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), none.alias("move"), F.lit(0.0).alias("best"))
+    # each step is two: one symbol out, one in
+    return F.aggregate(moves, start, lambda acc, move: enter(step(acc, move)), lambda acc: acc["best"])
 
 
 def find_secrets(

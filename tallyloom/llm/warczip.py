@@ -27,6 +27,7 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -117,7 +118,8 @@ class Ranges:
 
 
 def open_store(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path or URI and the name in it."""
+    """The file system of a path or URI and the name in it; Hadoop's names of an S3 store are known."""
+    path = re.sub(r"^s3[an]://", "s3://", path)
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
