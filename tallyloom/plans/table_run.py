@@ -28,8 +28,10 @@ from tallyloom.operators.upsert import lacking, null_keys, one_per_key, upsert
 from tallyloom.plans import prep
 from tallyloom.plans.context import REMOTE_ID, Context, core_schema, instant, shaped
 from tallyloom.plans.rules import FILLED, KEYS, READ_TWICE, STEADY, Reads, apply_rules
+from tallyloom.plans.schedule import run_jobs, table_job
 from tallyloom.session import freeze, scratch_scope
 from tallyloom.sources.extracts import has_rows
+from tallyloom.sources.landing import Landing
 from tallyloom.sources.snapshots import Store, bucket_of
 from tallyloom.spec import Mapping, Provider, TableFeed, quoted
 
@@ -347,6 +349,23 @@ def refused(ws: Workspace, provider: Provider, table: str, run: str) -> DataFram
     return ws.store.spark.read.parquet(path)
 
 
+def run_landed(
+    ws: Workspace, provider: Provider, table: str, landing: Landing, as_of: datetime, run: str, days: int = 7
+) -> Outcome:
+    """Reconcile the files of the last ``days`` days that no run has taken, and note them as taken.
+
+    They are noted after the new version is published: a run that fails in between takes them
+    once more, which changes nothing but ``change_timestamp``.
+    """
+    files = landing.pending(*landing.window(as_of, days))
+    if not files:
+        return Outcome(provider.name, table, "unchanged", message="nothing has landed")
+    done = run_table(ws, provider, table, landing.read(files, provider.sep), as_of, run)
+    if done.status != "failed":
+        landing.take(files, run)
+    return done
+
+
 def run_all(
     ws: Workspace,
     providers: Sequence[Provider],
@@ -354,17 +373,28 @@ def run_all(
     as_of: datetime,
     run: str,
     tables: Sequence[str] | None = None,
+    parallel: int = 1,
 ) -> DataFrame:
-    """Run every table of every provider; a failed one is recorded and the rest go on."""
-    outcomes = []
-    for provider in providers:
-        for table in tables or list(provider.tables):
-            try:
-                done = run_table(ws, provider, table, extracts(provider, table), as_of, run)
-            except Exception as error:
-                text = "".join(traceback.format_exception_only(error)).strip()
-                done = Outcome(provider.name, table, "failed", message=text)
-            outcomes.append((run, *astuple(done)))
+    """Run every table of every provider; a failed one is recorded and the rest go on.
+
+    With ``parallel`` above 1 runs that share no table overlap; results are those of one
+    after the other.
+    """
+    chosen = [(provider, table) for provider in providers for table in tables or list(provider.tables)]
+    jobs = []
+    for provider, table in chosen:
+        feed = provider.tables.get(table, TableFeed())
+        jobs.append(table_job(provider.name, table, feed.prep, feed.rules))
+
+    def work(i: int) -> Outcome:
+        provider, table = chosen[i]
+        try:
+            return run_table(ws, provider, table, extracts(provider, table), as_of, run)
+        except Exception as error:
+            text = "".join(traceback.format_exception_only(error)).strip()
+            return Outcome(provider.name, table, "failed", message=text)
+
+    outcomes = [(run, *astuple(done)) for done in run_jobs(ws.store.spark, jobs, work, parallel)]
     log = ws.store.spark.createDataFrame(
         outcomes,
         "run string, provider string, table string, status string, version int, message string",
