@@ -136,20 +136,23 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, counts, emptied = [], [], []
+        texts, counts, shares, emptied = [], [], [], []
         for text, gone in zip(batch["text"], batch["gone"], strict=True):
             kept, gone = text.as_py(), set(gone.as_py() or ())
+            share = 0.0
             if gone:
+                words = len(kept.encode().split())
                 kept = "\n".join(x for i, x in enumerate(kept.split("\n")) if i not in gone)
                 if not kept.strip(" \t\n\r\x0b\x0c"):
                     kept = ""
+                share = 1 - len(kept.encode().split()) / words
             texts.append(kept)
             counts.append(len(gone))
+            shares.append(share)
             emptied.append(bool(gone) and not kept)
-        yield pa.RecordBatch.from_arrays(
-            [batch["row"], pa.array(texts, pa.string()), pa.array(counts, pa.int64()), batch["n_blocks"], batch["n_partners"], pa.array(emptied)],
-            names=["row", "text", "n_deleted", "n_blocks", "n_partners", "emptied"],
-        )
+        columns = [batch["row"], pa.array(texts, pa.string()), pa.array(counts, pa.int64()), batch["n_blocks"], batch["n_partners"]]
+        columns += [pa.array(shares, pa.float64()), pa.array(emptied, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "n_deleted", "n_blocks", "n_partners", "share", "emptied"])
 
 
 def _doc(id: str, text: str) -> Column:
@@ -183,9 +186,9 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
 
 
 def dedup_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id: str = "doc_id", text: str = "text", into: str = "line_dedup") -> DataFrame:
-    """``docs`` without the deleted lines, and the struct ``into``: n_deleted, n_blocks, n_partners, emptied.
+    """``docs`` without the deleted lines, and the struct ``into``: n_deleted, n_blocks, n_partners, share, emptied.
 
-    ``into`` replaces a column of that name.
+    ``share`` is that of its words that a document loses. ``into`` replaces a column of that name.
     """
     columns = [c for c in docs.columns if c.lower() != into.lower()]
     gone = freeze(deletions(docs, rare, min_words, id, text), "gone").select(
@@ -198,8 +201,8 @@ def dedup_lines(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, i
     joined = rows.join(gone, rows["doc.id"].eqNullSafe(gone["id"]) & (rows["doc.key"] == gone["key"]), "left")
     joined = joined.select("row", "text", "gone", F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"), F.coalesce("n_partners", F.lit(0)).alias("n_partners"))
     kind = joined.schema["row"].dataType.simpleString()
-    done = joined.mapInArrow(_cut, f"row {kind}, text string, n_deleted long, n_blocks long, n_partners long, emptied boolean")
+    done = joined.mapInArrow(_cut, f"row {kind}, text string, n_deleted long, n_blocks long, n_partners long, share double, emptied boolean")
     return done.select(
         *[F.col("text").alias(c) if c == text else F.col("row").getField(f"c{i}").alias(c) for i, c in enumerate(columns)],
-        F.struct("n_deleted", "n_blocks", "n_partners", "emptied").alias(into),
+        F.struct("n_deleted", "n_blocks", "n_partners", "share", "emptied").alias(into),
     )

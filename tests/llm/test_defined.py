@@ -196,3 +196,14 @@ def quality_kept():
     from pyspark.sql import functions as F
 
     return F.avg(F.col("verdict.kept").cast("int"))
+
+
+def test_near_copies_by_lines_leave_no_stubs(spark, docs):
+    def text(i, changed=()):
+        return "\n".join(f"d{i} line {j} of some words{' changed' if j in changed else ''}" for j in range(10))
+
+    rows = [(1, text(1)), (2, text(1, [3])), (3, text(2)), (4, text(2, range(4)))]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs(rows), SMALL).collect()}
+    assert set(got) == {1, 3, 4} and got[4].count("\n") == 3
+    shares = {r.doc_id: r.line_dedup.share for r in lines.dedup_lines(docs(rows)).collect()}
+    assert shares[1] == 0 and shares[2] > 0.8 and 0.5 < shares[4] < 0.8
