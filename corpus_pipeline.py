@@ -14,6 +14,8 @@ from tallyloom.llm import containment, lines, neardup, packing, quality
 from tallyloom.llm.queries import TOKENIZER, prepare, table
 from tallyloom.session import freeze
 
+COPIED = 0.8
+
 
 def _unused(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have."""
@@ -36,9 +38,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that align with an earlier document; those left without a word go."""
+    """Documents without the lines that align with earlier documents.
+
+    A document that loses ``COPIED`` of its words or more is a near copy line by line, and goes: what is
+    left of it would be a stub that no later stage could compare with its original.
+    """
     into = _unused(docs, "line_dedup")
-    done = lines.dedup_lines(docs, into=into).where(~F.col(into)["emptied"])
+    done = lines.dedup_lines(docs, into=into).where(~F.col(into)["emptied"] & (F.col(into)["share"] < COPIED))
     if "n_chars" in docs.columns:
         changed = F.when(F.col(into)["n_deleted"] > 0, F.length("text")).otherwise(F.col("n_chars"))
         done = done.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
