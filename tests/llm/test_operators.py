@@ -340,8 +340,9 @@ def test_containment(spark, docs):
     rows += ODD
     wanted = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
     want = sorted(brute.contained(rows, items), key=repr)
-    for block_chars in (200, 1 << 20):
-        got = containment.find_items(docs(rows), wanted, block_chars=block_chars)
+    # a bitmap that lets every document through, and one that fits
+    for filter_bits in (1 << 6, 1 << 20):
+        got = containment.find_items(docs(rows), wanted, filter_bits=filter_bits)
         assert sorted(map(tuple, got.drop("key").collect()), key=repr) == want
     assert containment.find_items(docs(rows), wanted.limit(0)).isEmpty()
 
