@@ -218,7 +218,7 @@ def spans(text: str) -> tuple[dict[str, list[Span]], list[tuple[str, int, int]]]
     return base, added
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+SCHEMA = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
 
 def _join(found: list[tuple[str, int, int]]) -> str:
@@ -227,21 +227,20 @@ def _join(found: list[tuple[str, int, int]]) -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = {**{f"n_{k}": pa.int64() for k in KINDS}, "base_sha256": pa.string(), "spans": pa.string(), "n_added": pa.int64()}
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+        for text in batch["text"]:
             base, added = spans(text.as_py() or "")
             listed = [(k, s, e) for k in KINDS for s, e in base[k]]
             digest = hashlib.sha256(_join(listed).encode()).hexdigest()
-            rows.append((doc_id.as_py(), *(len(base[k]) for k in KINDS), digest, _join(listed + added), len(added)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()], strict=True)]
-            if rows
-            else [pa.array([], t) for t in [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()]],
-            names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"],
-        )
+            rows.append((*(len(base[k]) for k in KINDS), digest, _join(listed + added), len(added)))
+        columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+        found = [pa.array(c, kind) for c, kind in zip(columns, kinds.values(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *found], names=["doc_id", *kinds])
 
 
 def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: counts and digest of the base spans, and all spans as ``kind:start:end``."""
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_scan, SCHEMA)
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(_scan, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")

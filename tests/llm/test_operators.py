@@ -440,6 +440,7 @@ def test_packing_and_containment_take_any_id(spark, kind, value):
     assert packing.pack(df, TOKENIZER).count() == 2
     items = spark.createDataFrame([("b",)], "text string").selectExpr("cast(1 AS decimal(5,1)) AS item_id", "text")
     assert containment.find_items(df, items).count() == 1
+    assert pii.find_pii(df).schema["doc_id"].dataType == df.schema["doc_id"].dataType and pii.find_pii(df).count() == 2
 
 
 def test_empty_tables(docs, spark):
