@@ -52,7 +52,10 @@ def rendered(ws: Workspace, spec: Delivery, known: bool) -> tuple[DataFrame, lis
 def payloads(
     ws: Workspace, spec: Delivery, known: bool, root: str, application: str
 ) -> DataFrame:
-    """Ordered payloads of one delivery pass over all records, whatever was sent before."""
+    """Ordered payloads of one delivery pass over all records, whatever was sent before.
+
+    They read a scratch table that stays until the caller's ``scratch_scope`` ends.
+    """
     records, order = rendered(ws, spec, known)
     batched = assign_batches(records.select(*order, "record"), order, spec.slice_length)
     return build_payloads(batched, order, root, application, spec.form)

@@ -535,8 +535,8 @@ class Reads:
 # Rule sets whose result for a row follows from the row and the rows it looks up, and that
 # change nothing when they are run again over the same inputs: a run need only cover rows
 # that are staged or that look up a changed row. Not so where time passes (accounts), where a
-# second run goes on from what the first one has filled (applications), or where rows of one
-# table meet each other (stock).
+# second run goes on from what the first one has left (applications, clients, replacements), or
+# where rows of one table meet each other (stock).
 STEADY: dict[str, Sequence[Reads]] = {
     "payments": (
         Reads(
