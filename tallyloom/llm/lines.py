@@ -5,7 +5,8 @@ line stands in a document it is the entry (line, r), so entries are unique in a
 earliest document that has an entry owns it. A document's lines as a whole are one more entry.
 
 Entries choose partners: a document meets the owner of each entry that is in at most ``rare``
-documents, or, where all it shares are in more, of the rarest one. Entries that only it has say
+documents, or in at most ``SHARE`` of all, whichever is more, or, where all it shares are in more,
+of the rarest one. A line's documents grow with the corpus, and so does what counts as rare. Entries that only it has say
 nothing. Each pair is then aligned by patience on all lines the two share, frequent ones and
 those of third owners included: of their common entries, the longest sequence that rises in
 both. Lines under ``min_words`` words choose no partner; next to an aligned line they align as
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import freeze
 
-RARE = 64
+RARE, SHARE = 64, 0.0005
 MIN_WORDS = 4
 
 
@@ -171,7 +172,8 @@ def deletions(docs: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS, id:
     met = freeze(found.join(owners, "line").distinct(), "met")
     pairs = met.where(F.col("partner") != F.col("doc")).groupBy("doc", "partner").agg(F.min("df").alias("least"))
     rarest = F.min("least").over(Window.partitionBy("doc"))
-    pairs = pairs.withColumn("limit", F.greatest(rarest, F.lit(rare))).where("least <= limit").select("doc", "partner")
+    most = max(rare, int(docs.count() * SHARE))
+    pairs = pairs.withColumn("limit", F.greatest(rarest, F.lit(most))).where("least <= limit").select("doc", "partner")
     lines = met.where("pos >= 0")
     theirs = lines.select(
         F.col("doc").alias("partner"), "line", F.col("pos").alias("owner_pos"), F.col("before").alias("owner_before"), F.col("after").alias("owner_after")
