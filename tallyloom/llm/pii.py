@@ -131,7 +131,22 @@ _WORDED = re.compile(
     re.I,
 )
 _DOT = re.compile(rf"[ ](?:{_DOT_WORD})[ ]", re.I)
-_HINT = re.compile(rf"[{_GLYPHS}]|(?:{_DIGIT})[ ,-]+(?:{_DIGIT}|{_DOT_WORD})|[\[({{<][ ]?(?:{_SIGN})[ ]?[\])}}>]|[ ](?:{_DOT_WORD})[ ]", re.I)
+
+
+def _tree(words: list[str]) -> str:
+    """A pattern for any of the words, by common beginnings, so that few branches are tried at a place."""
+    out = []
+    for first in sorted({w[0] for w in words if w}):
+        rest = [w[1:] for w in words if w[:1] == first]
+        out.append(first + (f"(?:{_tree([r for r in rest if r])})" + ("?" if "" in rest else "") if any(rest) else ""))
+    return "|".join(out)
+
+
+# What lower-cased text must hold for each transducer to be worth running: cheap, and never narrower.
+_GLYPH_HINT = re.compile(f"[{_GLYPHS}]")
+_SPELLED_HINT = re.compile(rf"[^{_LETTER}](?:{_tree(list(DIGIT_WORDS))})(?:[ ,-]{{1,2}}|[ ](?:{_DOT_WORD})[ ])(?:{_tree(list(DIGIT_WORDS))})")
+_BRACKET_HINT = re.compile(rf"[\[({{<][ ]?(?:{_SIGN})[ ]?[\])}}>]")
+_WORDED_HINT = re.compile(rf"[ ](?:{_tree(list(AT_WORDS))})[ ][a-z0-9-]+(?:(?:[ ](?:{_DOT_WORD})[ ]|\.)[a-z0-9-]+)*[ ](?:{_DOT_WORD})[ ][a-z]{{2}}")
 
 Piece = tuple[int, int, str]
 
@@ -139,23 +154,28 @@ Piece = tuple[int, int, str]
 def _pieces(text: str) -> list[Piece]:
     """Source bounds and replacement of every disguised piece, in order, not overlapping."""
     found: list[Piece] = []
-    for m in _MIXED.finditer(text):
-        for i in range(m.start(), m.end()):
-            c = text[i]
-            plain = HOMOGLYPHS.get(c) or (unicodedata.normalize("NFKC", c) if "！" <= c <= "～" else None)
-            if plain:
-                found.append((i, i + 1, plain))
-    for m in _SPELLED.finditer(text):
-        for p in _SPELLED_PART.finditer(text, m.start(), m.end()):
-            word = p[0].lower().strip(" ,-")
-            plain = "+" if word in PLUS_WORDS else "." if word in DOT_WORDS else DIGIT_WORDS.get(word, "")
-            found.append((p.start(), p.end(), plain))
-    for m in _BRACKET.finditer(text):
-        sign = next(g for g in m.groups() if g).lower()
-        found.append((m.start(), m.end(), "@" if sign in AT_WORDS else "."))
-    for m in _WORDED.finditer(text):
-        found.append((m.start(1), m.end(1), "@"))
-        found += [(d.start(), d.end(), ".") for d in _DOT.finditer(text, m.end(1) - 1, m.end())]
+    low = f" {text.lower()}"
+    if not text.isascii() and _GLYPH_HINT.search(text):
+        for m in _MIXED.finditer(text):
+            for i in range(m.start(), m.end()):
+                c = text[i]
+                plain = HOMOGLYPHS.get(c) or (unicodedata.normalize("NFKC", c) if "！" <= c <= "～" else None)
+                if plain:
+                    found.append((i, i + 1, plain))
+    if _SPELLED_HINT.search(low):
+        for m in _SPELLED.finditer(text):
+            for p in _SPELLED_PART.finditer(text, m.start(), m.end()):
+                word = p[0].lower().strip(" ,-")
+                plain = "+" if word in PLUS_WORDS else "." if word in DOT_WORDS else DIGIT_WORDS.get(word, "")
+                found.append((p.start(), p.end(), plain))
+    if _BRACKET_HINT.search(low):
+        for m in _BRACKET.finditer(text):
+            sign = next(g for g in m.groups() if g).lower()
+            found.append((m.start(), m.end(), "@" if sign in AT_WORDS else "."))
+    if any(f" {w} " in low for w in DOT_WORDS) and _WORDED_HINT.search(low):
+        for m in _WORDED.finditer(text):
+            found.append((m.start(1), m.end(1), "@"))
+            found += [(d.start(), d.end(), ".") for d in _DOT.finditer(text, m.end(1) - 1, m.end())]
     kept, last = [], 0
     for piece in sorted(set(found)):
         if piece[0] >= last:
@@ -166,7 +186,7 @@ def _pieces(text: str) -> list[Piece]:
 
 def normalise(text: str) -> tuple[str, list[int], list[Piece]]:
     """The normalised text, the start of each piece in it, and the pieces."""
-    pieces = _pieces(text) if _HINT.search(text) else []
+    pieces = _pieces(text)
     if not pieces:
         return text, [], []
     out, starts, at, length = [], [], 0, 0
