@@ -8,12 +8,13 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
-from test_runs import MAPPING, NOW, UPYA, extract, pay
+from test_runs import MAPPING, NOW, PAYMENT, UPYA, extract, pay
 
 from tallyloom.plans import delivery_run
 from tallyloom.plans.rules import RULES, STEADY
-from tallyloom.plans.table_run import Workspace, buckets_to_run, run_table
+from tallyloom.plans.table_run import Workspace, affected, buckets_to_run, run_table
 from tallyloom.sources.snapshots import KEYLESS, Store, bucket_of
+from tallyloom.streaming.upsert_stream import read_landing, stream_upsert
 
 
 @pytest.fixture
@@ -183,3 +184,34 @@ def test_steady_rule_sets_change_nothing_when_run_again(spark, tmp_path, rows):
     run_table(ws, UPYA, "payments", pay(spark, ("other", "2024-01-05", None, None, "1")), NOW, "again")
     kept = ws.core("payments").where("payment_external_id <> 'other'").select(*first.columns)
     assert rows(kept) == rows(first)
+
+
+def test_only_key_columns_are_scanned_for_affected_rows(spark, tmp_path):
+    ws = ws_of(spark, tmp_path / "s", payments=4, accounts=4)
+    run_table(ws, UPYA, "accounts", extract(spark, ACCOUNT, ("A1", "U1", "S1", "Kit", "g", "P")), NOW, "r1")
+    run_table(ws, UPYA, "payments", pay(spark, ("t1", "2024-01-05", "A1", "g", "1")), NOW, "r1")
+    run_table(ws, UPYA, "accounts", extract(spark, ACCOUNT, ("A1", "U2", "S1", "Kit", "g", "P")), NOW, "r2")
+    reads = STEADY["payments"][0]
+    found = affected(ws, "payments", 0, reads, 0, 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<payment_external_id:string,account_external_id:string>" in plan
+    assert [r[0] for r in found.collect()] == ["t1"]
+    assert affected(ws, "payments", 0, reads, 1, 1).collect() == [] and affected(ws, "payments", 0, reads, None, 1) is None
+
+
+def test_stream_batches_rewrite_their_buckets(spark, tmp_path, rows):
+    ws = ws_of(spark, tmp_path / "s", payments=32)
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    head = ",".join(PAYMENT) + "\n"
+
+    def deliver(name, *ids):
+        (landing / name).write_text(head + "".join(f"{i},2024-01-05,A1,g,1\n" for i in ids))
+        stream = read_landing(spark, str(landing), PAYMENT)
+        stream_upsert(ws, UPYA, "payments", stream, NOW, str(tmp_path / "cp"), "pay").awaitTermination()
+
+    deliver("a.csv", *[f"t{i}" for i in range(60)])
+    deliver("b.csv", "t3", "new")
+    before, after = ws.store.layout("payments", 0), ws.store.layout("payments", 1)
+    assert {int(b) for b in after.folders if after.folders[b] != before.folders.get(b)} == {bucket(spark, "t3", 32), bucket(spark, "new", 32)}
+    assert ws.core("payments").count() == 61
