@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 import sys
-from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
