@@ -8,7 +8,8 @@ size, so a list that many equal rows share is many small blocks.
 
 A query walks an in-memory graph of the centroids (near neighbours, a ring, a few long links)
 from several entries, always expanding the nearest, and takes every list whose centroid is at
-most ``ratio`` times as far as the nearest one. That ratio is measured on the sample when the
+most ``ratio`` times as far as the nearest one, and further ones if those hold too few rows.
+That ratio is measured on the sample when the
 index is built: it is the one that reaches ``TARGET`` of the exact neighbours of held-out sample
 rows. Neighbours in a sample are farther off than in the whole table, so this errs upwards.
 Each (list, block) scores its queries exactly and returns its ``k`` best; the best of all are
@@ -90,6 +91,15 @@ class Lists:
         row, at = np.nonzero(far <= CLOSURE * far.min(1, keepdims=True))
         return row, near[row, at]
 
+    def enough(self, query: np.ndarray, taken: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
+        """The lists taken, with the next nearest ones until they hold ``least`` postings."""
+        if counts[taken].sum() >= least:
+            return taken
+        order = np.argsort(squares(query[None], self.centroids)[0], kind="stable")
+        order = np.concatenate([taken, order[~np.isin(order, taken)]])
+        full = np.flatnonzero(np.cumsum(counts[order]) >= least)
+        return order[: full[0] + 1] if len(full) else order
+
     def selected(self, queries: np.ndarray) -> list[np.ndarray]:
         """The lists of each query, by a walk over the graph."""
         n, lists = len(queries), len(self.centroids)
@@ -167,15 +177,24 @@ def _post(index, dim: int):
     return post
 
 
-def _ask(index, blocks, dim: int):
+def _blocks(counts: np.ndarray) -> np.ndarray:
+    """The number of blocks of lists that hold so many postings."""
+    return np.maximum(1, -(-counts // BLOCK_ROWS))
+
+
+def _ask(index, counts, dim: int, k: int):
     """The queries, once for each block of each list they select."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a row has REPLICAS postings at most, so these hold k rows besides the query
+        least = REPLICAS * (k + 1)
         for part in gathered(batches, 256):
-            chosen = index.value.selected(matrix(part["vector"], dim))
+            queries = matrix(part["vector"], dim)
+            chosen = index.value.selected(queries)
+            chosen = [index.value.enough(q, x, counts.value, least) for q, x in zip(queries, chosen, strict=True)]
             row = np.repeat(np.arange(len(chosen)), [len(x) for x in chosen])
             lists = np.concatenate(chosen)
-            count = blocks.value[lists]
+            count = _blocks(counts.value[lists])
             row, lists = np.repeat(row, count), np.repeat(lists, count)
             block = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             for start in range(0, len(row), 4096):
@@ -244,16 +263,15 @@ def nearest(rows: DataFrame, queries: Column | str, k: int = 10, id: str = "vec_
     counts = np.zeros(len(built.centroids), np.int64)
     for row in posted.groupBy("list").count().collect():  # one row a list
         counts[row["list"]] = row["count"]
-    blocks = np.maximum(1, -(-counts // BLOCK_ROWS))
-    per_list = spark.sparkContext.broadcast(blocks)
-    dealt = f"pmod(salt, element_at(array({', '.join(map(str, blocks))}), list + 1))"
+    per_list = spark.sparkContext.broadcast(counts)
+    dealt = f"pmod(salt, element_at(array({', '.join(map(str, _blocks(counts)))}), list + 1))"
     posted = posted.withColumn("block", F.expr(dealt).cast("int"))
 
     asked = rows.where(F.expr(queries) if isinstance(queries, str) else queries).distinct()
     asked = freeze(asked.select(F.col("id").alias("query_id"), F.xxhash64("vector").alias("query_key"), "vector"), "queries")
     parts = max(1, -(-asked.count() // QUERY_ROWS))
     kinds = "query_id long, query_key long, query array<double>, list int, block int"
-    asked = asked.mapInArrow(_ask(index, per_list, dim), kinds).withColumn("part", F.pmod("query_key", F.lit(parts)).cast("int"))
+    asked = asked.mapInArrow(_ask(index, per_list, dim, k), kinds).withColumn("part", F.pmod("query_key", F.lit(parts)).cast("int"))
     posted = posted.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     keys = ["list", "block", "part"]

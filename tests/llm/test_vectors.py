@@ -80,6 +80,17 @@ def test_many_copies_are_found(spark):
     assert len(found[3000]) == 10
 
 
+def test_every_query_gets_its_number_of_rows(spark):
+    """Also one that lies alone, far from lists that are full."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(1, 3000)]
+    rows += [(5000 + i, [1e6 * (i + 1), 0.0, 0.0, 0.0]) for i in range(3)]
+    found = near_found(spark, rows, 10, "id >= 5000 OR id = 1")
+    assert {q: len(x) for q, x in found.items()} == {1: 10, 5000: 10, 5001: 10, 5002: 10}
+    want = near_plain(rows, 10, lambda i: i >= 5000)
+    assert all(found[q][:2] == want[q][:2] for q in want)
+
+
 def test_lists_are_balanced_and_boundary_rows_replicated():
     sample = np.random.default_rng(1).normal(size=(4096, 16))
     built = ann.fit(sample, 16, 10)
