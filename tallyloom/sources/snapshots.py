@@ -14,8 +14,8 @@ buckets and names the other ones as they are. Beside the folders the file keeps
 the largest values of counted columns, and the versions of other tables that the run has read.
 
 Publishing relies on a file system that refuses to create a file twice. HDFS and local disks
-do; an object store has to be set to conditional creation, or two overlapping runs could both
-believe they have published.
+do; an object store has to be set to conditional creation. The file is read back, which tells a
+run that another one has overwritten it by then, but without that setting not for certain.
 """
 
 from __future__ import annotations
@@ -80,6 +80,12 @@ class Store:
     def _mark(self, table: str, version: int) -> str:
         return f"{self.root}/core/{table}/v={version}"
 
+    def _publish(self, table: str, version: int, text: str) -> None:
+        """Create the version's file; fails if there is one, or if another run's stands there afterwards."""
+        _create(self.spark, self._mark(table, version), text)
+        if _read(self.spark, self._mark(table, version)) != text:
+            raise RuntimeError(f"version {version} of {table} exists: another run has published it")
+
     def versions(self, table: str) -> list[int]:
         """Published versions, oldest first."""
         found = _glob(self.spark, f"{self.root}/core/{table}/v=*")
@@ -140,7 +146,7 @@ class Store:
         path = f"{self.root}/core/{table}/{folder}"
         try:
             df.write.mode("errorifexists").parquet(path)
-            _create(self.spark, self._mark(table, version), folder)
+            self._publish(table, version, folder)
         except BaseException:
             _delete(self.spark, path)
             raise
@@ -191,7 +197,7 @@ class Store:
                 if seen.get[c] is not None:
                     largest[c] = max(int(seen.get[c]), largest.get(c, int(seen.get[c])))
             layout = Layout(None, key, buckets, schema.json(), {**keep, **folders}, largest, dict(inputs or {}))
-            _create(self.spark, self._mark(table, version), layout.text())
+            self._publish(table, version, layout.text())
         except BaseException:
             _delete(self.spark, path)
             raise
