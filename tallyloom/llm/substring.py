@@ -10,10 +10,11 @@ twice.
   pieces of a minimiser are equal, they are repeated, or are not, as one. Where they differ, each
   distinct piece is opened into its edges at its source coordinates and edges are counted.
 - Repeated pieces and edges are the labels of a graph over their nodes. At a node with one label
-  in and one out the path does not branch: the two labels are linked. Linked labels are ranked
-  by pointer doubling, a join a round, which gives each label its path and its place on it.
-- Paths go back to source coordinates: the labels that a text has of one path at one distance
-  make a long span.
+  in and one out the path does not branch: two pieces that meet there are linked. Linked pieces
+  are ranked by pointer doubling, a join a round, which gives each its path and its place on it.
+  Edges of opened pieces stand where the graph branches and are on no path.
+- Paths go back to source coordinates: the pieces that a text has of one path at one distance
+  make a long span, and so do consecutive edges of an opened piece.
 
 A piece is told apart by its minimiser and by a digest of its words, read at its source
 coordinates; so is an edge. So a span is repeated if its words are, not if sums of hashes agree.
@@ -150,8 +151,11 @@ def _same(rows: DataFrame, listed: DataFrame) -> Column:
     return rows["doc_id"].eqNullSafe(listed["id"]) & (rows["key"] == listed["text_key"])
 
 
-def repeated_labels(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, start, n, m, p, head, tail): where repeated pieces and edges stand, with their nodes."""
+def repeated_labels(
+    docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Where repeated pieces stand (doc_id, key, start, n, m, p, head, tail), where runs of repeated edges of
+    opened pieces stand (doc_id, key, start, n), and those edges (m, p, offset, edge, head, tail)."""
     rows = _keyed(docs, id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     pieces = rows.mapInArrow(_piece_rows(width, probe), f"doc_id {kind}, key long, start int, n int, m long, p long, head long, tail long")
@@ -175,23 +179,31 @@ def repeated_labels(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id:
     # two rows of one id and text open the same pieces twice
     edges = freeze(edges.dropDuplicates(["m", "p", "offset"]), "edges")
     again = edges.groupBy("m", "edge").agg(F.sum("copies").alias("copies")).where("copies > 1").select("m", "edge")
-    # the edges of one piece
-    offsets = edges.join(again, ["m", "edge"]).groupBy("m", "p").agg(F.collect_list(F.struct("offset", "edge", "head", "tail")).alias("edges"))
-    offsets = freeze(offsets, "offsets")
-    single = branching.select("doc_id", "key", "start", "m", "p").join(offsets, ["m", "p"]).select("doc_id", "key", "start", "m", F.inline("edges"))
-    single = single.select("doc_id", "key", (F.col("start") + F.col("offset")).alias("start"), F.lit(1).alias("n"), "m", F.col("edge").alias("p"), "head", "tail")
-    return freeze(equal.union(single), "labels")
-
-
-def paths(labels: DataFrame) -> DataFrame:
-    """(m, p, path, place): labels on paths that do not branch; ``place`` counts windows from the path's start.
-
-    A path is named by the number of its first label. Labels that are linked to no other are left out.
+    edges = freeze(edges.join(again, ["m", "edge"]).select("m", "p", "offset", "edge", "head", "tail"), "repeated")
+    # the edges of one piece, as runs of consecutive ones
+    runs = edges.groupBy("m", "p").agg(F.sort_array(F.collect_list("offset")).alias("at"))
+    first = F.filter("at", lambda x, i: F.coalesce(x - F.get("at", i - 1) > 1, F.lit(True)))
+    last = F.filter("at", lambda x, i: F.coalesce(F.get("at", i + 1) - x > 1, F.lit(True)))
+    runs = runs.select("m", "p", F.inline(F.arrays_zip(first.alias("offset"), last.alias("last"))))
+    single = branching.select("doc_id", "key", "start", "m", "p").join(freeze(runs, "runs"), ["m", "p"])
+    single = single.select("doc_id", "key", (F.col("start") + F.col("offset")).alias("start"), (F.col("last") - F.col("offset") + 1).alias("n"))
+    return equal, single, edges
+
+
+def paths(pieces: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """(m, p, path, place): pieces on paths that do not branch; ``place`` counts windows from the path's start.
+
+    ``edges`` (m, edge, head, tail) are further labels at which a path may branch. A path is named
+    by the number of its first piece. Pieces that are linked to no other are left out.
     """
-    distinct = labels.groupBy("m", "p").agg(F.first("head").alias("head"), F.first("tail").alias("tail"), F.first("n").alias("n"))
+    distinct = pieces.groupBy("m", "p").agg(F.first("head").alias("head"), F.first("tail").alias("tail"), F.first("n").alias("n"))
     distinct = freeze(distinct.withColumn("label", F.monotonically_increasing_id()), "distinct")
-    ends = distinct.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("into"), F.min("label").alias("before"), F.min("n").alias("n"))
-    starts = distinct.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("out"), F.min("label").alias("label"))
+    labels = distinct.select("head", "tail", "label", "n")
+    if edges is not None:
+        more = edges.select("m", "edge", "head", "tail").distinct()
+        labels = labels.union(more.select("head", "tail", F.lit(None).cast("long"), F.lit(1)))
+    ends = labels.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("into"), F.min("label").alias("before"), F.min("n").alias("n"))
+    starts = labels.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("out"), F.min("label").alias("label"))
     links = ends.where("into = 1").join(starts.where("out = 1"), "node").where("before != label").select("label", "before", F.col("n").cast("long").alias("place"))
     links = freeze(links, "links")
     # labels that a link leads from and none leads to
@@ -218,17 +230,19 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id:
 
     Identical rows have the same spans, which are given once. Spans may touch or overlap.
     """
-    labels = repeated_labels(docs, width, probe, id, text)
-    ranked = freeze(paths(labels), "ranked")
-    placed = labels.select("doc_id", "key", "start", "n", "m", "p").join(ranked, ["m", "p"], "left")
-    # labels of a path at one distance; a label on no path is alone at its place
+    pieces, runs, edges = repeated_labels(docs, width, probe, id, text)
+    ranked = freeze(paths(pieces, edges), "ranked")
+    placed = pieces.select("doc_id", "key", "start", "n", "m", "p").join(ranked, ["m", "p"], "left").drop("m", "p")
+    none = F.lit(None).cast("long")
+    placed = placed.union(runs.select("doc_id", "key", "start", "n", none, none))
+    # pieces of a path at one distance; what is on no path is alone at its place
     shift = F.when(F.col("path").isNull(), F.col("start")).otherwise(F.col("start") - F.col("place"))
     # at most the windows of one text
     parts = placed.groupBy("doc_id", "key", "path", shift.alias("shift")).agg(F.collect_set(F.struct("start", "n")).alias("parts"))
     first, last = F.array_min(F.transform("parts", lambda x: x["start"])), F.array_max(F.transform("parts", lambda x: x["start"] + x["n"]))
     total = F.aggregate("parts", F.lit(0), lambda a, x: a + x["n"])
     long = F.array(F.struct(first.alias("start"), (last - first).alias("n")))
-    # a text may have a path with gaps, or two labels at one place
+    # a text may have a path with gaps, or two runs at one place
     spans = F.when(total == last - first, long).otherwise(F.col("parts"))
     return parts.select("doc_id", "key", spans.alias("spans")).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 

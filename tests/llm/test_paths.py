@@ -55,10 +55,10 @@ def test_long_passages_are_one_span(docs):
     rows = [(i, " ".join(f"d{i}x{rng.randrange(10**6)}" for _ in range(50)) + " " + passage + f" end{i}") for i in range(5)]
     rows += [(9, "start " + " ".join(passage.split()[100:300]) + " other")]
     got = {r["doc_id"]: [(s["start"], s["n"]) for s in r["spans"]] for r in substring.repeated_spans(docs(rows), 35).collect()}
-    # the graph branches where the shorter passage begins and ends
+    # the graph branches where the shorter passage begins and ends; without paths there would be some 26 pieces
     for i in range(5):
-        assert sum(n for _, n in got[i]) == 366 and len(got[i]) <= 5
-    assert sum(n for _, n in got[9]) == 166 and len(got[9]) <= 3
+        assert sum(n for _, n in got[i]) == 366 and len(got[i]) <= 8
+    assert sum(n for _, n in got[9]) == 166 and len(got[9]) <= 5
 
 
 @pytest.mark.parametrize("seed", range(3))
