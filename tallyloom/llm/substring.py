@@ -9,10 +9,10 @@ twice.
   have equal minimisers at equal places, so pieces meet by a join on the minimiser. Where all
   pieces of a minimiser are equal, they are repeated, or are not, as one. Where they differ, each
   distinct piece is opened into its edges at its source coordinates and edges are counted.
-- Repeated pieces and edges are the labels of a graph over their nodes. At a node with one label
-  in and one out the path does not branch: two pieces that meet there are linked. Linked pieces
-  are ranked by pointer doubling, a join a round, which gives each its path and its place on it.
-  Edges of opened pieces stand where the graph branches and are on no path.
+- Repeated pieces are the labels of a graph over their nodes. At a node with one piece in and one
+  out the path does not branch: the two are linked. Linked pieces are ranked by pointer doubling,
+  a join a round, which gives each its path and its place on it. Edges of opened pieces stand
+  where the graph branches and are on no path.
 - Paths go back to source coordinates: the pieces that a text has of one path at one distance
   make a long span, and so do consecutive edges of an opened piece.
 
@@ -137,8 +137,7 @@ def _edge_rows(width: int):
                     at = np.concatenate(at)
                     edges = Source(block).digests(at, np.full(len(at), width))
                     columns = [np.concatenate(m), np.concatenate(p), np.concatenate(offset).astype(np.int32), np.concatenate(copies), edges]
-                    columns += [_nodes(block, at, width), _nodes(block, at + 1, width)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["m", "p", "offset", "copies", "edge", "head", "tail"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["m", "p", "offset", "copies", "edge"])
 
     return rows
 
@@ -153,9 +152,9 @@ def _same(rows: DataFrame, listed: DataFrame) -> Column:
 
 def repeated_labels(
     docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id: str = "doc_id", text: str = "text"
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Where repeated pieces stand (doc_id, key, start, n, m, p, head, tail), where runs of repeated edges of
-    opened pieces stand (doc_id, key, start, n), and those edges (m, p, offset, edge, head, tail)."""
+) -> tuple[DataFrame, DataFrame]:
+    """Where repeated pieces stand (doc_id, key, start, n, m, p, head, tail), and where runs of repeated edges of
+    opened pieces stand (doc_id, key, start, n)."""
     rows = _keyed(docs, id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     pieces = rows.mapInArrow(_piece_rows(width, probe), f"doc_id {kind}, key long, start int, n int, m long, p long, head long, tail long")
@@ -175,35 +174,29 @@ def repeated_labels(
         F.collect_list(F.struct("source.start", "source.n", "m", "p", "copies")).alias("pieces")
     )
     opened = rows.join(sources, _same(rows, sources)).select("text", "pieces")
-    edges = opened.mapInArrow(_edge_rows(width), "m long, p long, offset int, copies long, edge long, head long, tail long")
+    edges = opened.mapInArrow(_edge_rows(width), "m long, p long, offset int, copies long, edge long")
     # two rows of one id and text open the same pieces twice
     edges = freeze(edges.dropDuplicates(["m", "p", "offset"]), "edges")
     again = edges.groupBy("m", "edge").agg(F.sum("copies").alias("copies")).where("copies > 1").select("m", "edge")
-    edges = freeze(edges.join(again, ["m", "edge"]).select("m", "p", "offset", "edge", "head", "tail"), "repeated")
     # the edges of one piece, as runs of consecutive ones
-    runs = edges.groupBy("m", "p").agg(F.sort_array(F.collect_list("offset")).alias("at"))
+    runs = edges.join(again, ["m", "edge"]).groupBy("m", "p").agg(F.sort_array(F.collect_list("offset")).alias("at"))
     first = F.filter("at", lambda x, i: F.coalesce(x - F.get("at", i - 1) > 1, F.lit(True)))
     last = F.filter("at", lambda x, i: F.coalesce(F.get("at", i + 1) - x > 1, F.lit(True)))
     runs = runs.select("m", "p", F.inline(F.arrays_zip(first.alias("offset"), last.alias("last"))))
     single = branching.select("doc_id", "key", "start", "m", "p").join(freeze(runs, "runs"), ["m", "p"])
     single = single.select("doc_id", "key", (F.col("start") + F.col("offset")).alias("start"), (F.col("last") - F.col("offset") + 1).alias("n"))
-    return equal, single, edges
+    return equal, single
 
 
-def paths(pieces: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+def paths(pieces: DataFrame) -> DataFrame:
     """(m, p, path, place): pieces on paths that do not branch; ``place`` counts windows from the path's start.
 
-    ``edges`` (m, edge, head, tail) are further labels at which a path may branch. A path is named
-    by the number of its first piece. Pieces that are linked to no other are left out.
+    A path is named by the number of its first piece. Pieces that are linked to no other are left out.
     """
     distinct = pieces.groupBy("m", "p").agg(F.first("head").alias("head"), F.first("tail").alias("tail"), F.first("n").alias("n"))
     distinct = freeze(distinct.withColumn("label", F.monotonically_increasing_id()), "distinct")
-    labels = distinct.select("head", "tail", "label", "n")
-    if edges is not None:
-        more = edges.select("m", "edge", "head", "tail").distinct()
-        labels = labels.union(more.select("head", "tail", F.lit(None).cast("long"), F.lit(1)))
-    ends = labels.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("into"), F.min("label").alias("before"), F.min("n").alias("n"))
-    starts = labels.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("out"), F.min("label").alias("label"))
+    ends = distinct.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("into"), F.min("label").alias("before"), F.min("n").alias("n"))
+    starts = distinct.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("out"), F.min("label").alias("label"))
     links = ends.where("into = 1").join(starts.where("out = 1"), "node").where("before != label").select("label", "before", F.col("n").cast("long").alias("place"))
     links = freeze(links, "links")
     # labels that a link leads from and none leads to
@@ -230,8 +223,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, probe: int = PROBE, id:
 
     Identical rows have the same spans, which are given once. Spans may touch or overlap.
     """
-    pieces, runs, edges = repeated_labels(docs, width, probe, id, text)
-    ranked = freeze(paths(pieces, edges), "ranked")
+    pieces, runs = repeated_labels(docs, width, probe, id, text)
+    ranked = freeze(paths(pieces), "ranked")
     placed = pieces.select("doc_id", "key", "start", "n", "m", "p").join(ranked, ["m", "p"], "left").drop("m", "p")
     none = F.lit(None).cast("long")
     placed = placed.union(runs.select("doc_id", "key", "start", "n", none, none))
