@@ -73,8 +73,8 @@ class Source:
 
 
 def _nodes(block: Block, at: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of the nodes that begin at some words."""
-    return sequence_hash(block.hash, at, width - 1, _NODE_BASE).view(np.int64)
+    """Hashes of the nodes that begin at some words: they say where paths may be joined, not what is repeated, so 32 bits do."""
+    return (sequence_hash(block.hash, at, width - 1, _NODE_BASE) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _pieces(block: Block, width: int, probe: int):
@@ -157,7 +157,7 @@ def repeated_labels(
     opened pieces stand (doc_id, key, start, n)."""
     rows = _keyed(docs, id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    pieces = rows.mapInArrow(_piece_rows(width, probe), f"doc_id {kind}, key long, start int, n int, m long, p long, head long, tail long")
+    pieces = rows.mapInArrow(_piece_rows(width, probe), f"doc_id {kind}, key long, start int, n int, m long, p long, head int, tail int")
     pieces = freeze(pieces, "pieces")
     # copies of a minimiser combine before the shuffle; the join back is split where it is hot
     met = pieces.groupBy("m").agg(F.count("*").alias("copies"), (F.min("p") == F.max("p")).alias("equal")).where("copies > 1")
