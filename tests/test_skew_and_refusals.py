@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from test_runs import NOW, UPYA, pay, ws  # noqa: F401
 
-from tallyloom.operators.lookup import join_every, null_on_match
+from tallyloom.operators.lookup import join_every, null_on_match, without_matches
 from tallyloom.plans.context import Context, instant
-from tallyloom.plans.rules import payment_account, payment_user
+from tallyloom.plans.rules import derive_replacements, payment_account, payment_user
 from tallyloom.plans.table_run import filled_keys, refused, run_table
 
 ASIDE = replace(UPYA, tables={**UPYA.tables, "payments": replace(UPYA.tables["payments"], set_aside=True)})
@@ -72,6 +72,28 @@ def test_every_pair_under_a_heavy_key(spark, no_aqe):
     assert len(sizes(join_every(left, right, ("k", "j"), ["id"], ("h",)))) > 8
 
 
+def test_rows_without_matches_under_a_heavy_key(spark, rows):
+    left = spark.createDataFrame([(1, "h"), (2, "h"), (3, "k"), (4, "m"), (5, None)], "id int, k string")
+    right = spark.createDataFrame([("h",), ("h",), ("m",), (None,)], "j string")
+    for hot in ((), ("h",), ("h", "k")):
+        assert rows(without_matches(left, right, ("k", "j"), ["id"], hot)) == [(3, "k"), (5, None)]
+
+
+def test_replacements_of_a_heavy_unit_are_spread_before_they_multiply(spark, no_aqe):
+    # the stock is broadcast, so its rows are paired where the recorded events have been met
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    accounts = spark.range(6000).selectExpr(
+        "id AS account_id", "CASE WHEN id < 5000 THEN '7' ELSE concat('u', id % 2) END AS previous_unit_number", "'s' AS external_sys", "'p' AS product",
+        "id AS stock_id", "'n' AS unit_number", "'a' AS asset_number", "timestamp'2024-01-01' AS date_of_replacement_utc",
+        "'w' AS responsible_user", "1 AS responsible_user_id", "'x' AS responsible_user_external_id",
+    )
+    stock = spark.range(5).selectExpr("id AS stock_id", "CASE WHEN id < 3 THEN '7' ELSE concat('u', id - 3) END AS unit_number", "'a' AS asset_number", "false AS archived")
+    known = spark.createDataFrame([("Ru1",), ("R9",), (None,)], "replacement_external_id string")
+    done = derive_replacements(accounts, stock, known, ["7"])
+    assert done.groupBy("replacement_external_id").count().orderBy("replacement_external_id").collect() == [("R7", 15_000), ("Ru0", 500)]
+    assert max(sizes(done)) < 5000
+
+
 def test_clearing_takes_heavy_values(spark, rows):
     facts = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, None)], "id int, a int")
     dim = spark.createDataFrame([(5, None), (6, "s")], "a int, s string")
