@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -201,6 +201,7 @@ def bounded_payloads(
     limit: int = MAX_PAYLOAD_CHARS,
     keep: Sequence[str] = (),
     record: str = "record",
+    texts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Payloads of at most ``size`` records and ``limit`` characters, in order.
 
@@ -208,10 +209,15 @@ def bounded_payloads(
     than ``limit`` is cut again, into parts that each take the next records as long as they
     fit. So a long record moves no other batch, and a group is one batch. ``members`` holds
     the ``keep`` columns of each part's records. Records too long for any payload must be set
-    aside before (``split_oversize``).
+    aside before (``split_oversize``). ``texts`` renders rows that come without their record;
+    it runs where the batches are put together, so no text is sorted or shuffled.
     """
     head, tail = envelope(root, application, form)
-    batched = assign_batches(df, order, size)
+    if texts is None:
+        batched = assign_batches(df, order, size)
+    else:
+        batched = texts(assign_batches(df, order, size, "__batch").repartition("__batch"))
+        batched = batched.withColumnRenamed("__batch", "batch_id")
     names = list(dict.fromkeys([*order, *keep]))
     row = F.struct(*[F.col(quoted(c)) for c in names], F.col(record).alias("__record"))
     grouped = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))

@@ -67,36 +67,67 @@ def member_states(members: DataFrame, responses: DataFrame, text: str, key: str,
     )
 
 
+def _packed(text: Column) -> Column:
+    """A digest as it is shuffled: half as long as its text; other texts as they are."""
+    hexed = text.rlike(r"\A[0-9a-f]{64}\z")
+    return F.struct(F.when(hexed, F.unhex(text)).alias("raw"), F.when(~hexed, text).alias("text"))
+
+
+def _unpacked(packed: Column) -> Column:
+    return F.coalesce(F.lower(F.hex(packed["raw"])), packed["text"])
+
+
+def started(events: DataFrame) -> DataFrame:
+    """The ledger after its first ``events``."""
+    delivered = F.when(F.col("state") == ACKNOWLEDGED, F.col("digest"))
+    kinds = dict(c.split() for c in LEDGER.split(", "))
+    return events.withColumn("delivered", delivered).select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+
+
 def entered(ledger: DataFrame, events: DataFrame) -> DataFrame:
     """The ledger after ``events``, one per key, in its own columns but ``delivered``.
 
     An event replaces the key's row; an acknowledged one makes its digest the delivered one.
+    Events on what the ledger holds already may come without a digest: that of the row stays.
     """
-    names = [c for c in ledger.columns if c not in ("key", "delivered")]
-    old = ledger.select("key", F.struct(*names).alias("__old"), "delivered")
-    new = events.select("key", F.struct(*[F.col(c).cast(ledger.schema[c].dataType).alias(c) for c in names]).alias("__new"))
+    given = "digest" in events.columns
+    names = [c for c in ledger.columns if c not in ("key", "digest", "delivered")]
+    held = [_packed(F.col(c)).alias(f"__{c}") for c in ("digest", "delivered")]
+    old = ledger.select("key", F.struct(*names).alias("__old"), *held)
+    fresh = [_packed(F.col("digest").cast("string")).alias("__fresh")] if given else []
+    new = events.select("key", F.struct(*[F.col(c).cast(ledger.schema[c].dataType).alias(c) for c in names]).alias("__new"), *fresh)
     both = old.join(new, "key", "full_outer")
     row = F.coalesce("__new", "__old")
-    delivered = F.when(F.col("__new.state") == ACKNOWLEDGED, F.col("__new.digest")).otherwise(F.col("delivered"))
-    done = both.select("key", row.alias("__row"), delivered.alias("delivered"))
-    return done.select(*[F.col(c) if c in ("key", "delivered") else F.col(f"__row.{c}").alias(c) for c in ledger.columns])
+    digest = F.when(F.col("__new").isNotNull(), F.col("__fresh")).otherwise(F.col("__digest")) if given else F.col("__digest")
+    delivered = F.when(F.col("__new.state") == ACKNOWLEDGED, digest).otherwise(F.col("__delivered"))
+    done = both.select("key", row.alias("__row"), _unpacked(digest).alias("digest"), _unpacked(delivered).alias("delivered"))
+    own = ("key", "digest", "delivered")
+    return done.select(*[F.col(c) if c in own else F.col(f"__row.{c}").alias(c) for c in ledger.columns])
 
 
-def to_send(records: DataFrame, ledger: DataFrame, known: bool) -> DataFrame:
+def to_send(records: DataFrame, ledger: DataFrame, known: bool, key: Column | None = None, mark: Column | None = None) -> DataFrame:
     """The ``records`` (key, digest, ..) that have to be sent.
 
     New records wait while an earlier payload with them is unanswered, unpaired or
     acknowledged; sending them again could store them twice. Known records are sent if their
     digest is not the delivered one and no payload with that digest is unanswered. A record
     that no payload can hold waits until it has changed.
+
+    ``key`` and ``mark`` give key and digest of records that are not rendered yet, so that
+    they meet the ledger without their text.
     """
+    key = F.col("key") if key is None else key
+    mark = F.col("digest") if mark is None else mark
     if known:
         done = ledger.where(F.col("delivered").isNotNull() & (F.col("state") != SENT)).select("key", F.col("delivered").alias("digest"))
         waiting = ledger.where(F.col("state").isin(SENT, OVERSIZE)).select("key", "digest")
-        return records.join(done.union(waiting), ["key", "digest"], "left_anti")
-    held = ledger.where(F.col("state").isin(SENT, UNPAIRED, ACKNOWLEDGED)).select("key")
-    large = ledger.where(F.col("state") == OVERSIZE).select("key", "digest")
-    return records.join(held, "key", "left_anti").join(large, ["key", "digest"], "left_anti")
+        gone = done.union(waiting).toDF("__key", "__digest")
+        return records.join(gone, (key == F.col("__key")) & (mark == F.col("__digest")), "left_anti")
+    large = F.col("state") == OVERSIZE
+    gone = ledger.where(F.col("state").isin(SENT, UNPAIRED, ACKNOWLEDGED, OVERSIZE)).select(
+        F.col("key").alias("__key"), (~large).alias("__held"), F.when(large, F.col("digest")).alias("__digest")
+    )
+    return records.join(gone, (key == F.col("__key")) & (F.col("__held") | (mark == F.col("__digest"))), "left_anti")
 
 
 def confirmed(ledger: DataFrame, report: DataFrame, complete: bool) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.deliver import (
     MAX_PAYLOAD_CHARS,
+    add_record,
     bounded_payloads,
     build_payloads,
     delivery,
@@ -20,6 +21,7 @@ from tallyloom.operators.deliver import (
     render_add,
     render_update,
     split_oversize,
+    update_record,
 )
 from tallyloom.operators.ledger import (
     ACKNOWLEDGED,
@@ -30,6 +32,7 @@ from tallyloom.operators.ledger import (
     digest,
     entered,
     member_states,
+    started,
     to_send,
 )
 from tallyloom.operators.lookup import write_back
@@ -37,16 +40,21 @@ from tallyloom.operators.numbering import assign_batches
 from tallyloom.operators.respond import response_ids
 from tallyloom.plans.table_run import Workspace
 from tallyloom.session import freeze, scratch_scope
-from tallyloom.sources.snapshots import bucket_of
+from tallyloom.sources.snapshots import CODEC, bucket_of
 from tallyloom.spec import Delivery, quoted
 
 
 def rendered(ws: Workspace, spec: Delivery, known: bool) -> tuple[DataFrame, list[str]]:
     """Records of one delivery pass with their text in ``record``, and the columns that order them."""
+    records, order = _records(ws, spec, known)
+    return render_update(records) if known else render_add(records), order
+
+
+def _records(ws: Workspace, spec: Delivery, known: bool) -> tuple[DataFrame, list[str]]:
+    """Records of one delivery pass, and the columns that order them."""
     records = delivery(ws.core(spec.table), ws.mapping, spec, known, ws.remote_id)
     keys = [ws.mapping.surrogate(spec.table), ws.mapping.business_key(spec.table)]
-    order = [c for c in dict.fromkeys(keys) if c in records.columns]
-    return render_update(records) if known else render_add(records), order
+    return records, [c for c in dict.fromkeys(keys) if c in records.columns]
 
 
 def payloads(
@@ -77,10 +85,13 @@ def _enter(ws: Workspace, table: str, events: DataFrame) -> int:
     """Events into the next version of the ledger, which is kept in buckets if its table is."""
     name, buckets = _ledger_name(table), ws.buckets.get(table)
     version = ws.store.latest(name)
+    if version is None:
+        rows = started(events)
+        return ws.store.write_core(name, rows) if buckets is None else ws.store.write_buckets(name, rows, "key", buckets)
     if buckets is None:
         return ws.store.write_core(name, entered(ledger(ws, table), events), after=version)
     touched = None
-    if version is not None and ws.store.layout(name, version).buckets == buckets:
+    if ws.store.layout(name, version).buckets == buckets:
         found = events.select(bucket_of("key", buckets).alias("b")).distinct()
         touched = sorted(r["b"] for r in found.collect())  # one number a bucket
     old = ledger(ws, table) if touched is None else ws.store.read_core(name, version, buckets=touched)
@@ -110,24 +121,32 @@ def send(
     Records that no payload can hold are entered as ``oversize`` and left out.
     """
     path = payload_path(ws, spec.table, run, known)
-    key = ws.mapping.business_key(spec.table)
+    rows, order = _records(ws, spec, known)
+    columns = rows.columns
+    text = (update_record if known else add_record)(rows, columns)
+    key = F.col(quoted(ws.mapping.business_key(spec.table))).cast("string")
+
+    def texts(df: DataFrame) -> DataFrame:
+        others = [c for c in df.columns if c not in columns]
+        done = df.withColumn("__text", text)
+        return done.select(*others, *order, F.col("__text").alias("record"), key.alias("key"), digest(F.col("__text")).alias("digest"))
+
     with scratch_scope(ws.store.spark):
-        records, order = rendered(ws, spec, known)
-        records = records.select(
-            *order, "record", F.col(quoted(key)).cast("string").alias("key"), digest(F.col("record")).alias("digest")
-        )
-        records = to_send(records.where("key IS NOT NULL"), ledger(ws, spec.table), known)
+        rows = rows.where(key.isNotNull())
+        if ws.store.has_core(_ledger_name(spec.table)):
+            rows = to_send(rows, ledger(ws, spec.table), known, key, digest(text))
+        # frozen, numbered and put into batches as they are: texts and digests are made where they are written
         room = limit - sum(map(len, envelope(root, application, spec.form)))
-        fitting, large = split_oversize(freeze(records, "records"), room)
+        fitting, large = split_oversize(freeze(rows, "records").withColumn("__text", text), room, "__text")
         if not ws.store.complete(path):
             built = bounded_payloads(
-                fitting, order, spec.slice_length, root, application, spec.form, limit, keep=["key", "digest"]
+                fitting.drop("__text"), order, spec.slice_length, root, application, spec.form, limit, keep=["key", "digest"], texts=texts
             )
-            built.write.mode("overwrite").parquet(path)
+            built.write.mode("overwrite").option("compression", CODEC).parquet(path)
         if not ws.store.marked(path):
             sent = read_payloads(ws, spec.table, run, known).select("batch_id", "part", F.inline("members"))
             none = F.lit(None)
-            large = large.select(none.alias("batch_id"), none.alias("part"), "key", "digest", F.lit(OVERSIZE).alias("state"))
+            large = texts(large.drop("__text")).select(none.alias("batch_id"), none.alias("part"), "key", "digest", F.lit(OVERSIZE).alias("state"))
             events = sent.withColumn("state", F.lit(SENT)).unionByName(large).withColumns(
                 {"run": F.lit(run), "known": F.lit(known), "status": none, "remote_id": none}
             )
@@ -147,7 +166,8 @@ def settle(
     waiting = ledger(ws, spec.table).where(
         (F.col("run") == run) & (F.col("known") == known) & (F.col("state") == SENT)
     )
-    members = waiting.drop("state", "status", "remote_id", "delivered")
+    # digests stay in the ledger
+    members = waiting.drop("state", "status", "remote_id", "delivered", "digest")
     with scratch_scope(ws.store.spark):
         events = freeze(member_states(members, responses, text, key), "events")
         # the ledger last: what is interrupted before it is simply done again
@@ -161,18 +181,23 @@ def confirm(ws: Workspace, spec: Delivery, report: DataFrame, complete: bool = F
     key = ws.mapping.business_key(spec.table)
     pairs = report.select(F.col(quoted(key)).cast("string").alias("key"), F.col("ID").try_cast("bigint").alias("remote_id"))
     with scratch_scope(ws.store.spark):
-        events = freeze(confirmed(ledger(ws, spec.table), pairs, complete), "events")
+        events = freeze(confirmed(ledger(ws, spec.table).drop("digest"), pairs, complete), "events")
         _write_ids(ws, spec.table, events.where("NOT known"))
         _enter(ws, spec.table, events)
 
 
 def open_payloads(ws: Workspace, table: str, run: str, known: bool) -> DataFrame:
-    """Payloads of a run that nothing has been heard of: to be sent again as they are."""
+    """Payloads of a run that nothing has been heard of: to be sent again as they are.
+
+    They are found by a scratch table of batch numbers, whose size the planner knows: no
+    payload is shuffled to meet a small one. It stays until the caller's ``scratch_scope`` ends.
+    """
     waiting = ledger(ws, table).where(
         (F.col("run") == run) & (F.col("known") == known) & (F.col("state") == SENT)
     )
     rows = read_payloads(ws, table, run, known)
-    return rows.join(waiting.select("batch_id", "part").distinct(), ["batch_id", "part"], "left_semi")
+    waiting = freeze(waiting.select("batch_id", "part").distinct(), "open")
+    return rows.join(waiting, ["batch_id", "part"], "left_semi")
 
 
 def _write_ids(ws: Workspace, table: str, events: DataFrame) -> int | None:

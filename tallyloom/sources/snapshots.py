@@ -33,6 +33,7 @@ from tallyloom.spec import quoted
 
 BUCKET, KEYLESS = "__bucket", -1
 _SCATTER = 64  # parts of the rows without a key
+CODEC = "zstd"  # halves digests and identifiers in hex, which the default codec does not
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,7 @@ class Store:
         folder = f"data-{uuid.uuid4().hex}"
         path = f"{self.root}/core/{table}/{folder}"
         try:
-            df.write.mode("errorifexists").parquet(path)
+            df.write.mode("errorifexists").option("compression", CODEC).parquet(path)
             self._publish(table, version, folder)
         except BaseException:
             _delete(self.spark, path)
@@ -180,7 +181,7 @@ class Store:
         scatter = F.when(F.col(BUCKET) == KEYLESS, F.pmod(F.xxhash64(*map(quoted, df.columns)), F.lit(_SCATTER))).otherwise(0)
         rows = df.withColumn(BUCKET, bucket_of(key, buckets)).repartition(F.col(BUCKET), scatter)
         try:
-            rows.observe(seen, *found).write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+            rows.observe(seen, *found).write.mode("errorifexists").option("compression", CODEC).partitionBy(BUCKET).parquet(path)
             written = [p for p, _ in _glob(self.spark, f"{path}/{BUCKET}=*")]
             folders = {p.rsplit("=", 1)[1]: f"{folder}/{p.rsplit('/', 1)[1]}" for p in written}
             keep: dict[str, str] = {}

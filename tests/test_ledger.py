@@ -179,3 +179,49 @@ def test_of_several_results_of_a_key_a_success_counts(spark):
     df = spark.createDataFrame([(0, 0, body)], "batch_id bigint, part int, body string")
     got = {r["key"]: (r["state"], r["remote_id"]) for r in ledger.member_states(members, df, "body", "ext").collect()}
     assert got == {"a": ("acknowledged", 7), "b": ("unpaired", None)}
+
+
+def test_events_without_a_digest_keep_that_of_the_row(spark, rows):
+    sha = "ab" * 32
+    held = spark.createDataFrame(
+        [("a", "r1", False, 0, 0, sha, "sent", None, None, None), ("b", "r1", False, 0, 0, "Short", "sent", None, None, "x"), ("c", "r1", False, 0, 0, None, "sent", None, None, sha)],
+        ledger.LEDGER,
+    )
+    events = spark.createDataFrame(
+        [("a", "r1", False, 0, 0, "acknowledged", "Success", 5), ("b", "r1", False, 0, 0, "refused", "Failed", None)],
+        "key string, run string, known boolean, batch_id bigint, part int, state string, status string, remote_id bigint",
+    )
+    done = ledger.entered(held, events)
+    assert done.columns == held.columns
+    assert rows(done, "key", "digest", "state", "remote_id", "delivered") == [
+        ("a", sha, "acknowledged", 5, sha),
+        ("b", "Short", "refused", None, "x"),
+        ("c", None, "sent", None, sha),
+    ]
+    # digests that are no sha256 in lower case come back as they are
+    others = [c * 64 for c in "AG"]
+    given = events.withColumn("digest", F.when(F.col("key") == "a", others[0]).otherwise(others[1]))
+    assert rows(ledger.entered(held, given), "key", "digest", "delivered") == [("a", others[0], others[0]), ("b", others[1], "x"), ("c", None, sha)]
+
+
+def test_records_are_chosen_before_they_are_rendered(spark, rows):
+    held = spark.createDataFrame(
+        [(k, "r1", False, 0, 0, d, state, None, None, None) for k, d, state in (("1", "x", "sent"), ("2", "old", "oversize"), ("3", "c", "oversize"), ("4", "x", "refused"))],
+        ledger.LEDGER,
+    )
+    plain = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")], "key int, text string")
+    out = ledger.to_send(plain, held, False, F.col("key").cast("string"), F.col("text"))
+    assert out.columns == ["key", "text"] and rows(out) == [(2, "b"), (4, "d"), (5, "e")]
+
+
+def test_payloads_of_rows_that_are_rendered_last(spark):
+    plain = spark.range(25).selectExpr("id", "concat('n', id % 7) AS name")
+
+    def texts(df):
+        return df.withColumns({"record": F.concat("name", F.lit("-"), "id"), "key": F.col("id").cast("string")}).drop("name")
+
+    early = deliver.bounded_payloads(texts(plain), ["id"], 10, "R", "a", "F", 120, keep=["key"])
+    late = deliver.bounded_payloads(plain, ["id"], 10, "R", "a", "F", 120, keep=["key"], texts=texts)
+    assert late.schema == early.schema
+    assert sorted(late.collect()) == sorted(early.collect())
+    assert late.agg(F.sum("records")).head()[0] == 25
