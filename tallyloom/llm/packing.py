@@ -33,6 +33,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +106,12 @@ class Encoder:
         return self._encode(text) if unusual else self.fast.encode_to_numpy(text, disallowed_special=())
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a file, kept from task to task of a worker."""
+    return Encoder(path)
+
+
 PIECES = [("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary()), ("df", pa.binary())]
 
 
@@ -112,7 +119,7 @@ def _tokeniser(path: str, kind: pa.DataType, window: int, end_id: int) -> Callab
     names = ["doc_id", *(n for n, _ in PIECES)]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         size = max(encode.size, end_id + 1)
         seen, counts = np.zeros(size, bool), np.zeros(size, np.int64)
         end = np.array([end_id], "<u4").tobytes()

@@ -207,3 +207,11 @@ def test_near_copies_by_lines_leave_no_stubs(spark, docs):
     assert set(got) == {1, 3, 4} and got[4].count("\n") == 3
     shares = {r.doc_id: r.line_dedup.share for r in lines.dedup_lines(docs(rows)).collect()}
     assert shares[1] == 0 and shares[2] > 0.8 and 0.5 < shares[4] < 0.8
+
+
+def test_an_encoder_is_kept_from_task_to_task():
+    from tallyloom.llm import packing
+    from tallyloom.llm.queries import TOKENIZER
+
+    assert packing.encoder(TOKENIZER) is packing.encoder(TOKENIZER)
+    assert packing.encoder(TOKENIZER)("a b").tolist() == packing.Encoder(TOKENIZER)("a b").tolist()
