@@ -21,6 +21,8 @@ Ids are those of the ``tokenizers`` file. Its vocabulary and merges are handed t
 which applies the same byte-level merges faster; a text with a special token's string, or with
 characters outside the Latin blocks and general punctuation, about which the libraries' tables
 could differ, is encoded by ``tokenizers`` itself, as are all texts of a file of another kind.
+Texts for ``tiktoken`` are cut, in blocks, where its pattern always starts a piece whatever lies
+around, and each distinct part of a block is encoded once.
 
 Defined cases: a null text is empty and has the end id only. Rows are documents of their own,
 also with equal ids. An empty table gives no rows. Texts are tokenised whole.
@@ -34,9 +36,11 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -51,11 +55,21 @@ SHARD = 512
 K1, B = 1.2, 0.75
 FOLDED = 128
 LEAVES, SAMPLE = 256, 8192
+BLOCK = 1 << 23  # bytes of text encoded at a time; a longer text is a block of its own
 
 _UNUSUAL = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e]")
 # Fixed value: how byte-level tokenizers of this kind cut a text before they merge.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Kinds of bytes that decide where a text may be cut; all others, parts of wider characters among them, decide nothing.
+_SPACE, _LINE, _WORD, _MARK, _WIDE = 1, 2, 4, 8, 16
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _WORD
+_KIND[[0x20, 0x0A]] = _SPACE, _LINE
+_SOLID = _WORD | _MARK | _WIDE
+_KIND[0xC3:0xCA] = _WIDE  # first bytes of U+00C0 to U+024F, none of them white space
+
 
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: itself, if it can be printed."""
@@ -97,13 +111,106 @@ class Encoder:
             import tiktoken
 
             self.fast = tiktoken.Encoding("byte_level", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.bytes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+            self.bytes[list(ranks.values())] = [*map(len, ranks)]
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _unusual(self, text: str) -> bool:
+        return self.fast is None or bool(not text.isascii() and _UNUSUAL.search(text)) or any(s in text for s in self.special)
+
     def __call__(self, text: str) -> np.ndarray:
-        unusual = self.fast is None or (not text.isascii() and _UNUSUAL.search(text)) or any(s in text for s in self.special)
-        return self._encode(text) if unusual else self.fast.encode_to_numpy(text, disallowed_special=())
+        return self._encode(text) if self._unusual(text) else self.fast.encode_to_numpy(text, disallowed_special=())
+
+    def block(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each of some texts, none of them null."""
+        out = [self._encode(t) if self._unusual(t) else None for t in texts.to_pylist()]
+        plain = [i for i, ids in enumerate(out) if ids is None]
+        if plain:
+            ids, bounds = self._joined(texts.take(pa.array(plain)).cast(pa.large_binary()))
+            for i, first, last in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                out[i] = ids[first:last]
+        return out
+
+    def _joined(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin and end."""
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[: len(texts) + 1] if data else np.zeros(len(texts) + 1, np.int64)
+        if not ends[-1]:
+            return np.empty(0, np.uint32), ends
+        at = cuts(np.frombuffer(data, np.uint8)[: ends[-1]], ends)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, ends[-1])), data])
+        parts = parts.dictionary_encode()
+        distinct = self._distinct(parts.dictionary).take(parts.indices)
+        first = np.append(np.searchsorted(at, ends[:-1]), len(at))
+        return distinct.values.to_numpy(), distinct.offsets.to_numpy()[first]
+
+    def _distinct(self, parts: pa.Array) -> pa.Array:
+        """Lists of the ids of parts. Those that begin a piece after any other are encoded as one text.
+
+        Ids stand for bytes one after the other, so bytes tell where a part's ids end.
+        """
+        _, offsets, data = parts.buffers()
+        data, begin = np.frombuffer(data, np.uint8), np.frombuffer(offsets, np.int64)[: len(parts)]
+        after = data[np.minimum(begin + 1, len(data) - 1)]
+        spaced = (data[begin] == 0x20) & (_KIND[after] & _SOLID > 0) & (pc.binary_length(parts).to_numpy() > 1)
+        order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
+        parts, joined = parts.take(pa.array(order)), int(spaced.sum())
+        size = np.cumsum(pc.binary_length(parts[:joined]).to_numpy())
+        text = parts.buffers()[2].to_pybytes()[: size[-1]].decode() if joined else ""
+        ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        last = np.searchsorted(np.cumsum(self.bytes[ids]), size) + 1
+        single = [self.fast.encode_to_numpy(p.decode(), disallowed_special=()) for p in parts[joined:].to_pylist()]
+        bounds = np.concatenate([[0], last, len(ids) + np.cumsum(np.fromiter(map(len, single), np.int64, len(single)))]).astype(np.int64)
+        lists = pa.LargeListArray.from_arrays(bounds, np.concatenate([ids, *single]).astype(np.uint32, copy=False))
+        return lists.take(pa.array(np.argsort(order)))
+
+
+def cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where parts of texts begin; ``data`` are the bytes of all texts, ``ends`` 0 and the end of each.
+
+    What ``_PATTERN`` finds in a text is what it finds in its parts: a space before something else
+    than white space begins a piece, whatever precedes it; no piece goes on from a letter or digit
+    to a mark, or from either to white space; and a line end alone between two of them is a piece.
+    """
+    kind = _KIND[data]
+    solid = (kind & _SOLID) > 0
+    line = kind == _LINE
+    cut = np.zeros(len(data), bool)
+    cut[:-1] = (kind[:-1] == _SPACE) & solid[1:]
+    cut[ends[1:] - 1] = False  # what follows there is another text
+    line[1:] &= solid[:-1]
+    line[:1] = False
+    cut |= line
+    cut[1:] |= ((kind[1:] == _MARK) & (kind[:-1] == _WORD)) | (solid[1:] & line[:-1])
+    cut[ends[:-1][ends[:-1] < len(data)]] = True
+    return np.flatnonzero(cut)
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches as ones of about ``BLOCK`` bytes, since parts repeat the more the longer a block is."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes + 256 * batch.num_rows  # what is kept of a row besides its text
+        if size >= BLOCK:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def blocks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in blocks of about ``BLOCK`` bytes, null ones empty."""
+    size = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy()
+    first = 0
+    while first < len(texts):
+        before = size[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(size, before + BLOCK, "right")))
+        yield pc.fill_null(texts.slice(first, last - first), "")
+        first = last
 
 
 @lru_cache(maxsize=1)
@@ -115,22 +222,41 @@ def encoder(path: str) -> Encoder:
 PIECES = [("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary()), ("df", pa.binary())]
 
 
+class DocumentCounts:
+    """How many documents hold each token; narrow counts are emptied into wide ones before they overflow."""
+
+    def __init__(self, size: int) -> None:
+        self.seen, self.few, self.many = np.zeros(size, np.uint8), np.zeros(size, np.uint8), np.zeros(size, np.int64)
+        self.added = 0
+
+    def add(self, ids: np.ndarray) -> None:
+        if self.added == 255:
+            self.total()
+        self.seen[ids] = 1
+        self.few += self.seen
+        self.seen[ids] = 0
+        self.added += 1
+
+    def total(self) -> np.ndarray:
+        self.many += self.few
+        self.few[:] = 0
+        self.added = 0
+        return self.many
+
+
 def _tokeniser(path: str, kind: pa.DataType, window: int, end_id: int) -> Callable:
     names = ["doc_id", *(n for n, _ in PIECES)]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         size = max(encode.size, end_id + 1)
-        seen, counts = np.zeros(size, bool), np.zeros(size, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        counts = DocumentCounts(size)
+        for batch in joined(batches):
             rows = []
-            for i, text in enumerate(batch["text"]):
-                values = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4", copy=False)
+            for i, ids in enumerate(chain.from_iterable(map(encode.block, blocks(batch["text"])))):
+                values = np.append(ids, np.uint32(end_id)).astype("<u4", copy=False)
                 raw = values.tobytes()
-                seen[values] = True
-                counts += seen
-                seen[values] = False
+                counts.add(values)
                 n = len(values)
                 for start in range(0, n - window + 1, window):
                     rows.append((i, start, window, zlib.crc32(raw[4 * start : 4 * (start + window)]), n, None, None))
@@ -142,9 +268,10 @@ def _tokeniser(path: str, kind: pa.DataType, window: int, end_id: int) -> Callab
                 at, *columns = zip(*rows, strict=True)
                 arrays = [batch["doc_id"].take(pa.array(at)), *(pa.array(c, k) for c, (_, k) in zip(columns, PIECES, strict=True))]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
-        if counts.any():
+        total = counts.total()
+        if total.any():
             # one row per task: how many of its documents hold each token
-            values = [0, 0, 0, 0, None, counts.tobytes()]
+            values = [0, 0, 0, 0, None, total.tobytes()]
             arrays = [pa.nulls(1, kind), *(pa.array([v], k) for v, (_, k) in zip(values, PIECES, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 

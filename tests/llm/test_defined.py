@@ -215,3 +215,56 @@ def test_an_encoder_is_kept_from_task_to_task():
 
     assert packing.encoder(TOKENIZER) is packing.encoder(TOKENIZER)
     assert packing.encoder(TOKENIZER)("a b").tolist() == packing.Encoder(TOKENIZER)("a b").tolist()
+
+
+def test_texts_encoded_in_blocks_have_the_ids_of_whole_texts(monkeypatch):
+    import random
+
+    from tallyloom.llm import packing
+    from tallyloom.llm.queries import TOKENIZER
+
+    signs = ["a", "word", "'", "'s", "'ll", " ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "1", ",", ".", "é", "×", "’", "中", "<|endoftext|>", "x" * 9]
+    draw = random.Random(5)
+    texts = ["".join(draw.choices(signs, k=draw.randrange(14))) for _ in range(20_000)] + [None, "", " ", "a ", " a"]
+    encode = packing.Encoder(TOKENIZER)
+    for size in (1, 1 << 9, 1 << 24):
+        monkeypatch.setattr(packing, "BLOCK", size)
+        got = [ids for block in packing.blocks(pa.array(texts)) for ids in encode.block(block)]
+        assert [ids.tolist() for ids in got] == [encode(t or "").tolist() for t in texts]
+
+
+def test_each_distinct_part_of_a_block_is_encoded_once():
+    from tallyloom.llm import packing
+    from tallyloom.llm.queries import TOKENIZER
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.seen = inner, 0
+
+        def encode_to_numpy(self, text, **more):
+            self.seen += len(text)
+            return self.inner.encode_to_numpy(text, **more)
+
+    encode = packing.Encoder(TOKENIZER)
+    whole = encode("The quick, brown fox.\n" * 500)
+    encode.fast = Counted(encode.fast)
+    assert [ids.tolist() for ids in encode.block(pa.array(["The quick, brown fox.\n" * 500] * 20))] == [whole.tolist()] * 20
+    assert encode.fast.seen < 100
+
+
+def test_documents_holding_a_token_are_counted_beyond_a_byte():
+    from tallyloom.llm import packing
+
+    counts = packing.DocumentCounts(4)
+    for i in range(700):
+        counts.add(np.array([1, 1, 2] if i % 2 else [1]))
+    assert counts.total().tolist() == [0, 700, 350, 0]
+
+
+def test_small_batches_of_texts_are_encoded_together():
+    from tallyloom.llm import packing
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b", None]})
+    assert [b.num_rows for b in packing.joined(iter([batch] * 50))] == [100]
+    large = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a" * packing.BLOCK]})
+    assert [b.num_rows for b in packing.joined(iter([batch, large, large, batch]))] == [3, 1, 2]
