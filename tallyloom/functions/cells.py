@@ -46,8 +46,14 @@ def strip_literal(sql: str, text: str = STRIPPED_LITERAL) -> str:
 
 
 def clean_cell(sql: str) -> str:
-    """Null tokens first: a cell emptied by the later steps stays ``''``, not null."""
-    return strip_literal(strip_chars(null_token(sql)))
+    """Null tokens first: a cell emptied by the later steps stays ``''``, not null.
+
+    Characters are deleted one by one, so only from cells that hold one.
+    """
+    held = " OR ".join(f"contains({sql}, {literal(c)})" for c in STRIPPED_CHARS)
+    kept = f"CASE WHEN {held} THEN {strip_chars(sql)} ELSE {sql} END"
+    listed = ", ".join(literal(t) for t in NULL_TOKENS)
+    return f"CASE WHEN {sql} NOT IN ({listed}) THEN {strip_literal(kept)} END"
 
 
 def left_trim(c: Column) -> Column:

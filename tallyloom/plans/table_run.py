@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.clean import clean_extract
 from tallyloom.operators.conform import REFUSED, project_mapping, refused_cells, stamp_source, typed_select
 from tallyloom.operators.numbering import assign_serials
-from tallyloom.operators.skew import FLOOR, heavy_keys
+from tallyloom.operators.skew import FLOOR, SHARE, heavy_keys
 from tallyloom.operators.upsert import lacking, null_keys, one_per_key, upsert
 from tallyloom.plans import prep
 from tallyloom.plans.context import REMOTE_ID, Context, core_schema, instant, shaped
@@ -203,18 +203,32 @@ def skewed_keys(
     return {k: sorted({v for hot in found for v in hot.get(k, [])}) for k in keys}
 
 
-def filled_keys(merged: DataFrame, rules: str, ctx: Context, floor: int = FLOOR) -> dict[str, list]:
+def filled_keys(rows: DataFrame, rules: str, ctx: Context, floor: int = FLOOR) -> dict[str, list]:
     """Heavy values of keys that one rule fills and a later one joins on.
 
     The rule is run over the columns it reads alone, and the sketch taken of what it fills.
+    ``rows`` may hold a row as it was and as it is staged, hence half the share.
     """
     found: dict[str, list] = {}
     for column, rule in FILLED.get(rules, {}).items():
-        if column in merged.columns:
-            found.update(heavy_keys(rule(merged, ctx), [column], floor=floor))
+        if column in rows.columns:
+            found.update(heavy_keys(rule(rows, ctx), [column], share=SHARE / 2, floor=floor))
     return found
 
 
+def both_inputs(ws: Workspace, core: DataFrame, staged: DataFrame, provider: Provider, table: str) -> DataFrame | None:
+    """Core and typed staged rows, one below the other: what is heavy after the upsert is so here, without its joins.
+
+    None if the run lacks a column that the provider delivers: its rows are then part staged, part core.
+    """
+    feed = provider.tables.get(table, TableFeed())
+    if any(f.name not in staged.columns for f in ws.mapping.resolve(table, provider.name)):
+        return None
+    fields = ws.mapping.resolve(table, provider.name, system=True)
+    typed = typed_select(staged.alias("a").filter(feed.filter) if feed.filter else staged, fields)
+    return core.unionByName(typed, allowMissingColumns=True)
+
+
 def run_prep(ws: Workspace, provider: Provider, table: str) -> None:
     kind = provider.tables.get(table, TableFeed()).prep
     if kind == "core":
@@ -321,7 +335,8 @@ def run_table(
                 merged = freeze(merged, f"upsert-{table}")
             hot = skewed_keys(ws, core, staged, provider, table, feed.rules)
             if feed.rules in FILLED and core.count() + staged.count() > FLOOR:
-                filled = filled_keys(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot, pins))
+                rows = both_inputs(ws, core, staged, provider, table)
+                filled = filled_keys(merged if rows is None else rows, feed.rules, ws.context(as_of, feed.geo_parity, hot, pins))
                 hot = {k: sorted({*hot.get(k, []), *filled.get(k, [])}) for k in {*hot, *filled}}
             merged = apply_rules(merged, feed.rules, ws.context(as_of, feed.geo_parity, hot, pins))
         written = ws.write(table, merged, version, touched, pins)
