@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import replace
 from statistics import median
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_runs import NOW, UPYA, pay, ws  # noqa: F401
 
-from tallyloom.operators.lookup import join_every, null_on_match, without_matches
+from tallyloom.operators.lookup import FOLD, _folded, join_every, null_on_match, without_matches
 from tallyloom.plans.context import Context, instant
 from tallyloom.plans.rules import derive_replacements, payment_account, payment_user
 from tallyloom.plans.table_run import filled_keys, refused, run_table
@@ -72,6 +73,25 @@ def test_every_pair_under_a_heavy_key(spark, no_aqe):
     assert len(sizes(join_every(left, right, ("k", "j"), ["id"], ("h",)))) > 8
 
 
+def test_rows_of_a_heavy_key_are_met_in_arrays(spark, no_aqe):
+    left = spark.range(60).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'h' WHEN id % 3 = 1 THEN 'k' END AS k")
+    # 700 rows of the heavy key, each of them twice, and a key that is not heavy on the left
+    right = spark.range(1500).selectExpr("CASE WHEN id < 700 THEN 'h' WHEN id < 703 THEN 'k' WHEN id < 1400 THEN 'x' END AS j", "cast(id div 2 AS int) AS v", "'a' AS `w.x`")
+    plain, folded = (join_every(left, right, ("k", "j"), ["id"], hot) for hot in ((), ("h",)))
+    assert folded.schema == plain.schema
+    counts = [Counter(map(tuple, df.collect())) for df in (plain, folded)]
+    assert counts[0] == counts[1] and counts[1].total() == 20 * 700 + 20 * 3
+    assert set(v for (_, k, *_), v in counts[1].items() if k == "h") == {2}
+    # what the join gives before the arrays are unfolded
+    plan = folded._jdf.queryExecution().executedPlan()
+    assert plan.toString().index("Generate inline") < plan.toString().index("Join")
+    folds = _folded(right, "j", ("h",)).selectExpr("__key", "size(__rows) AS n").collect()
+    assert sorted(r["n"] for r in folds if r["__key"] == "h") == [700 - 2 * FOLD, FOLD, FOLD]
+    assert Counter(r["n"] for r in folds if r["__key"] != "h") == {1: 700}
+    only = join_every(left, right.select("j"), ("k", "j"), ["id"], ("h",))
+    assert only.columns == ["id", "k", "j"] and only.count() == counts[1].total()
+
+
 def test_rows_without_matches_under_a_heavy_key(spark, rows):
     left = spark.createDataFrame([(1, "h"), (2, "h"), (3, "k"), (4, "m"), (5, None)], "id int, k string")
     right = spark.createDataFrame([("h",), ("h",), ("m",), (None,)], "j string")
